@@ -45,19 +45,19 @@ def partitioned_write(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "event_type", "value")
 
 
+_LAYOUT = "country={country}/year={year:04d}/month={month:02d}"
+
+
 def _write_feed(spark, sf_dir, root, test):
-    """Orders as ``root/<country>/<yyyy>/<mm>/``, one country per order status."""
-    od = table(spark, sf_dir, "orders").where(test)
-    laid_out = od.select(
+    """Orders as a country/year/month feed, one country per order status."""
+    laid_out = table(spark, sf_dir, "orders").where(test).select(
         "o_orderkey", "o_totalprice",
-        F.concat_ws("/", "o_orderstatus", F.date_format("o_orderdate", "yyyy/MM")).alias("place"),
+        F.col("o_orderstatus").alias("country"),
+        F.date_format("o_orderdate", "yyyy").alias("year"),
+        F.date_format("o_orderdate", "MM").alias("month"),
     )
-    # Plain directory names, so a country/year/month feed is written branch by branch.
-    for status in ("F", "O", "P"):
-        for year in (1997, 1998):
-            for month in (3, 4):
-                part = laid_out.where(F.col("place") == f"{status}/{year}/{month:02d}").drop("place")
-                sinks.write_files(part, f"{root}/{status}/{year}/{month:02d}")
+    place = ["country", "year", "month"]
+    sinks.write_files(laid_out.repartition(*place), root, partition_by=place)
 
 
 @query(
@@ -72,22 +72,27 @@ def feed_period(spark, sf_dir):
     _write_feed(spark, sf_dir, main, "o_orderstatus <> 'P'")
     _write_feed(spark, sf_dir, restricted, "o_orderstatus = 'P'")
     return files.read_period(
-        spark, [main, restricted], ["F", "O", "P", "NONE"], 1998, 4, merge_schema=True
+        spark, [main, restricted], ["F", "O", "P", "NONE"], 1998, 4, merge_schema=True,
+        layout=_LAYOUT,
     )
 
 
 @query(
     "feed_history",
-    """SELECT o_orderkey, o_totalprice FROM orders
-       WHERE year(o_orderdate) IN (1997, 1998) AND month(o_orderdate) IN (3, 4)""",
+    """SELECT o_orderkey, o_totalprice, o_orderstatus AS feed_country,
+              CAST(year(o_orderdate) AS INTEGER) AS feed_year,
+              CAST(month(o_orderdate) AS INTEGER) AS feed_month FROM orders""",
 )
 def feed_history(spark, sf_dir):
     """All files of a feed by one glob per root, a missing root skipped."""
     root = scratch_dir(spark, "feed")
     _write_feed(spark, sf_dir, root, "true")
-    return files.read_feed(
+    feed = files.read_feed(
         spark, [root, root + "-absent"], merge_schema=True, skip_missing=True
     )
+    return files.with_period(feed).select(
+        "o_orderkey", "o_totalprice", "feed_country", "feed_year", "feed_month"
+    )
 
 
 _TURN = "named_struct('pumpNumber', CAST(turn AS INT), 'productCode', role, 'additionalProductInfo', text)"

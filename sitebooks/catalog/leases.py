@@ -173,28 +173,23 @@ owner AS (
 
 @query(
     "quantity_rules",
-    f"""WITH {_OWNER_SQL}, q AS (
-          SELECT l_orderkey, max(l_shipdate) AS newest FROM lineitem GROUP BY 1),
-        one AS (SELECT l.* FROM lineitem l JOIN q ON l.l_orderkey = q.l_orderkey
-                  AND l.l_shipdate = q.newest
-                WHERE (SELECT 1) = 1),
-        single AS (SELECT l_orderkey FROM one GROUP BY 1 HAVING count(*) = 1)
+    f"""WITH {_OWNER_SQL},
+        one AS (SELECT * FROM (
+          SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC,
+                      CAST(l_partkey AS VARCHAR), l_returnflag, l_extendedprice,
+                      CAST(l_suppkey AS VARCHAR)) AS rank_no FROM lineitem) WHERE rank_no = 1)
         SELECT CAST(one.l_orderkey AS VARCHAR) AS Transaction_Id,
                CAST(one.l_partkey AS VARCHAR) AS Lease_Clause_Legacy_Id,
                one.l_returnflag AS Sales_Category, one.l_extendedprice AS Min_LC_Amount,
                CAST(one.l_suppkey AS VARCHAR) AS Lease_Transaction_Id,
                owner.company AS Company_Code, owner.country AS Country_Code
-        FROM one JOIN single USING (l_orderkey)
-        JOIN part ON one.l_partkey = p_partkey AND p_size < 20
+        FROM one JOIN part ON one.l_partkey = p_partkey AND p_size < 20
         LEFT JOIN owner ON owner.id = CAST(one.l_suppkey AS VARCHAR)""",
 )
 def quantity_rules(spark, sf_dir):
-    """Rules whose newest version is unique (a tie's survivor is an arbitrary choice)."""
+    """The newest version of each rule; equal dates are settled by the other columns."""
     rules = _rules(spark, sf_dir, lease.QUANTITY_RULE_NAMES)
-    newest = rules.groupBy("TRI_ID_TX", "TRI_MODIFIED_DATE_SY").agg(F.count(F.lit(1)).alias("_n"))
-    tops = newest.groupBy("TRI_ID_TX").agg(F.max_by("_n", "TRI_MODIFIED_DATE_SY").alias("_n"))
-    unique = rules.join(tops.where("_n = 1"), "TRI_ID_TX", "left_semi")
-    out = lease.quantity_rules(unique, _curated(spark, sf_dir), _clauses(spark, sf_dir))
+    out = lease.quantity_rules(rules, _curated(spark, sf_dir), _clauses(spark, sf_dir))
     return out.select(
         "Transaction_Id", "Lease_Clause_Legacy_Id", "Sales_Category", "Min_LC_Amount",
         "Lease_Transaction_Id", "Company_Code", "Country_Code",

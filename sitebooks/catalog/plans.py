@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sitebooks.catalog.registry import PLAN_SQL, plan_lines, query, table
 from sitebooks.plans import estimate, planning, publish, staging
+from sitebooks.runtime import materialise
 
 RUN = dt.date(2000, 6, 15)
 _FY_SQL = """
@@ -36,6 +37,10 @@ _SITE = dict(
 _DAYS = ("Create_Date", "Update_Date")
 
 
+def _staged(df):
+    return materialise(df, "monthly-plan")
+
+
 @query(
     "plan_full_year",
     f"""WITH {PLAN_SQL}
@@ -55,7 +60,7 @@ def plan_full_year(spark, sf_dir):
         SELECT r.*, 'CUR-' || substr(Company_Code, 1, 1) AS Local_Currency FROM r""",
 )
 def plan_month_ytd_fy(spark, sf_dir):
-    return planning.month_ytd_full_year(plan_lines(spark, sf_dir), RUN).drop(*_DAYS)
+    return planning.month_ytd_full_year(plan_lines(spark, sf_dir), RUN, stage=_staged).drop(*_DAYS)
 
 
 @query(
@@ -66,7 +71,7 @@ def plan_month_ytd_fy(spark, sf_dir):
 )
 def plan_site_month_ytd_fy(spark, sf_dir):
     out = planning.month_ytd_full_year(
-        plan_lines(spark, sf_dir), RUN, site_level=True, years_around=1
+        plan_lines(spark, sf_dir), RUN, site_level=True, years_around=1, stage=_staged
     )
     return out.withColumn("Site_ID", F.col("Site_ID").cast("long")).drop(
         *_DAYS, "Lease_ID", "Transaction_ID", "Legally_Committed", "Auto_Renewal_Y_N"

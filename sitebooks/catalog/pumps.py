@@ -54,8 +54,11 @@ def _relevant(spark, sf_dir):
     return pumps.with_relevance(rows, pumps.grade_profiles(rows, TX_MARKERS))
 
 
-def _ongoing(spark, sf_dir):
-    return pumps.ongoing_counts(_relevant(spark, sf_dir))
+_COUNTING = ("transactionStartTime", "transactionEndTime", "class_no", "reach")
+
+
+def _ongoing(spark, sf_dir, columns=sizing.INPUT):
+    return pumps.ongoing_counts(_relevant(spark, sf_dir).select(*columns, *_COUNTING))
 
 
 def _set_text(df):
@@ -138,7 +141,7 @@ def pump_summary(spark, sf_dir):
                comb AS txn_ongoing_mogas_diesel_combined FROM ongoing""",
 )
 def ongoing_counts(spark, sf_dir):
-    return _ongoing(spark, sf_dir).select(
+    return _ongoing(spark, sf_dir, ["PartitionKey", "GlobalSiteId", "event_id"]).select(
         "event_id", plain_ts(F.col("transactionStartTime")).alias("start_ts"), *pumps.COUNTS
     )
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 DATE_IN_PATH = r"/(\d{4})/(\d{1,2})/(\d{1,2})(?:/|$)"
-PERIOD_IN_PATH = r"/([^/]+)/(\d{4})/(\d{1,2})(?:/|$)"
+# A directory may be a plain value or ``name=value``.
+PERIOD_IN_PATH = r"/(?:[^/=]+=)?([^/=]+)/(?:[^/=]+=)?(\d{4})/(?:[^/=]+=)?(\d{1,2})(?:/|$)"
 
 
 def parsed(column: Column, schema: DataType | str) -> Column:

@@ -1,6 +1,6 @@
 """Matching and counting on the time axis without pairing rows.
 
-Both operators merge the two inputs into one time-ordered stream per key and
+The operators merge their two inputs into one time-ordered stream per key and
 read the answer off a running window.  Their cost is one sort of the input, no
 matter how many pairs would meet, and the stream of a key is cut into time
 buckets so that a hot key is spread over many tasks.
@@ -14,9 +14,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Width of a time bucket.  It only balances work: narrower buckets split a hot
+#: key further, wider ones repeat fewer intervals.
+BUCKET_SECONDS = 12 * 3600
+
 
 def _bucket(ts: Column, seconds: int) -> Column:
-    return F.floor(F.unix_micros(ts) / (seconds * 1_000_000))
+    return F.floor(F.unix_micros(ts) / (seconds * 1_000_000)).cast("long")
+
+
+def packed(df: DataFrame) -> Column:
+    """All columns as a one-element array: null in the rows that only steer a window.
+
+    Spark would spread a plain struct over one column per field, which every
+    steering row would then carry.
+    """
+    return F.array(F.struct(*[F.col(c) for c in df.columns]))
 
 
 def _all_known(*names: str) -> Column:
@@ -31,6 +44,7 @@ def match_nearest(
     right_ts: str,
     seconds: int,
     out: str = "matched_at",
+    bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """Add to each left row the nearest right instant with equal keys within ``seconds``.
 
@@ -38,14 +52,16 @@ def match_nearest(
     earlier one wins; ``out`` is null when there is none (also for null keys or
     a null instant), so one call yields the match and the anti-match.
 
-    A right row is offered to its own time bucket and to both neighbours; each
-    left row sits in one bucket, where it sees every right row in reach.
+    A left row sits in one time bucket; a right row is offered to every bucket its
+    reach extends into, so a left row sees all right rows within the tolerance.
     """
+    width = max(bucket_seconds, seconds)
+    reach_by = F.make_dt_interval(secs=F.lit(seconds))
     usable = _all_known(*keys, left_ts)
-    payload = F.struct(*[F.col(c) for c in left.columns])
+    payload = packed(left)
     probes = left.where(usable).select(
         *keys,
-        _bucket(F.col(left_ts), seconds).alias("_b"),
+        _bucket(F.col(left_ts), width).alias("_b"),
         F.col(left_ts).alias("_t"),
         F.lit(1).alias("_kind"),
         F.lit(None).cast("timestamp").alias("_ref"),
@@ -58,9 +74,9 @@ def match_nearest(
         .withColumn(
             "_b",
             F.explode(
-                F.transform(
-                    F.array(F.lit(-1), F.lit(0), F.lit(1)),
-                    lambda d: _bucket(F.col("_ref"), seconds) + d,
+                F.sequence(
+                    _bucket(F.col("_ref") - reach_by, width),
+                    _bucket(F.col("_ref") + reach_by, width),
                 )
             ),
         )
@@ -74,7 +90,7 @@ def match_nearest(
         )
     )
     stream = probes.unionByName(refs)
-    place = Window.partitionBy(*keys, "_b")
+    place = Window.partitionBy("_b", *keys)
     so_far = (Window.unboundedPreceding, Window.currentRow)
     # The later neighbour is a running value of the reversed order: a frame that
     # runs to the end of the partition would be recomputed for every row.
@@ -100,12 +116,71 @@ def match_nearest(
                 F.col("_before"),
             ).when(F.col("_da") <= micros, F.col("_after")),
         )
-        .select("_row.*", out)
+        .select(F.inline("_row"), out)
     )
     rest = left.where(~usable).withColumn(out, F.lit(None).cast("timestamp"))
     return found.unionByName(rest)
 
 
+def cut_to_buckets(
+    df: DataFrame, start: str, end: str, live: Column, bucket_seconds: int
+) -> DataFrame:
+    """One copy of each interval per time bucket it covers.
+
+    Adds the bucket ``_b``, the buckets ``_first`` and ``_last`` of start and end,
+    and ``_live``.  A row that is not live keeps one
+    copy, in the bucket of its start.
+    """
+    first, last = _bucket(F.col(start), bucket_seconds), _bucket(F.col(end), bucket_seconds)
+    return df.select(
+        "*",
+        live.alias("_live"),
+        first.alias("_first"),
+        F.when(live, last).otherwise(first).alias("_last"),
+    ).select("*", F.explode(F.sequence("_first", "_last")).alias("_b"))
+
+
+def interval_steps(start: str, end: str, bucket_seconds: int) -> list[Column]:
+    """The steps of one interval copy within its bucket, null where there is none.
+
+    A step is ``(_t, _kind, _sign)``.  An interval that began in an earlier
+    bucket opens at the bucket's start, before anything asked there (kind -1);
+    otherwise steps follow what is asked at the same instant (kind 1).
+    """
+    begins_here = F.col("_b") == F.col("_first")
+    bucket_start = F.timestamp_micros(
+        (F.col("_b") * (bucket_seconds * 1_000_000)).cast("long")
+    )
+    opening = F.struct(
+        F.when(begins_here, F.col(start)).otherwise(bucket_start).alias("_t"),
+        F.when(begins_here, 1).otherwise(-1).alias("_kind"),
+        F.lit(1).alias("_sign"),
+    )
+    closing = F.struct(
+        F.col(end).alias("_t"), F.lit(1).alias("_kind"), F.lit(-1).alias("_sign")
+    )
+    ends_here = F.col("_b") == F.col("_last")
+    return [F.when(F.col("_live"), opening), F.when(F.col("_live") & ends_here, closing)]
+
+
+def running_counts(stream: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Answer the questions of a step stream.
+
+    The stream has the keys, ``_b``, ``_t``, ``_kind``, one column of signed
+    steps per name and ``_row``, which holds the asking row (kind 0) or null.
+    """
+    so_far = (
+        Window.partitionBy("_b", *keys)
+        .orderBy("_t", "_kind")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        stream.select("_kind", "_row", *[F.sum(n).over(so_far).alias(f"_n_{n}") for n in names])
+        .where("_kind = 0")
+        .select(F.inline("_row"), *[F.col(f"_n_{n}").alias(n) for n in names])
+    )
+
+
 def open_counts(
     probes: DataFrame,
     intervals: DataFrame,
@@ -114,7 +189,7 @@ def open_counts(
     start: str,
     end: str,
     weights: Mapping[str, str],
-    bucket_seconds: int = 3600,
+    bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """Add to each probe the weight of the intervals open just before it.
 
@@ -123,62 +198,33 @@ def open_counts(
     ``intervals`` (a column of ones counts them).  Intervals that do not end
     after they start are never open; null keys never match.
 
-    Sweep line: each interval adds its weight at ``start`` and takes it back
-    after ``end``.  Changes are summed per time bucket first (a small table), a
-    running sum over buckets gives the weight carried into each bucket, and the
-    exact order is only resolved inside a bucket.
+    Sweep line: an interval adds its weight at ``start`` and takes it back after
+    ``end``, and a probe reads the running sum.  An interval is repeated in every
+    time bucket it covers, so buckets do not depend on each other; make them
+    longer than the usual interval.
     """
-    names = list(weights)
-    zero = F.lit(0).cast("long")
-    live = intervals.where(_all_known(*keys) & (F.col(start) < F.col(end)))
-    steps = F.array(
-        F.struct(F.col(start).alias("_t"), F.lit(1).alias("_sign")),
-        F.struct(F.col(end).alias("_t"), F.lit(-1).alias("_sign")),
-    )
-    changes = live.withColumn("_step", F.explode(steps)).select(
-        *keys,
-        F.col("_step._t").alias("_t"),
-        F.lit(1).alias("_kind"),
-        *[(F.col(w).cast("long") * F.col("_step._sign")).alias(n) for n, w in weights.items()],
-    )
-    asked = probes.select(
-        *keys,
-        F.col(at).alias("_t"),
-        F.lit(0).alias("_kind"),
-        *[zero.alias(n) for n in names],
-        F.struct(*[F.col(c) for c in probes.columns]).alias("_row"),
-    )
-    row_type = asked.schema["_row"].dataType
-    stream = asked.unionByName(
-        changes.withColumn("_row", F.lit(None).cast(row_type))
-    ).withColumn("_b", _bucket(F.col("_t"), bucket_seconds))
-
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy("_b")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = (
-        stream.groupBy(*keys, "_b")
-        .agg(*[F.sum(n).alias(n) for n in names])
-        .withColumns({n: F.coalesce(F.sum(n).over(earlier), zero) for n in names})
+    live = F.coalesce(_all_known(*keys) & (F.col(start) < F.col(end)), F.lit(False))
+    steps = (
+        cut_to_buckets(intervals.where(live), start, end, F.lit(True), bucket_seconds)
+        .withColumn("_step", F.explode(F.array(*interval_steps(start, end, bucket_seconds))))
+        .where("_step IS NOT NULL")
         .select(
             *keys,
-            F.timestamp_micros((F.col("_b") * (bucket_seconds * 1_000_000)).cast("long")).alias("_t"),
-            F.lit(-1).alias("_kind"),
-            *names,
-            F.lit(None).cast(row_type).alias("_row"),
             "_b",
+            "_step._t",
+            "_step._kind",
+            *[(F.col(w) * F.col("_step._sign")).cast("long").alias(n) for n, w in weights.items()],
         )
     )
-    running = (
-        Window.partitionBy(*keys, "_b")
-        .orderBy("_t", "_kind")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    asked = probes.select(
+        *keys,
+        _bucket(F.col(at), bucket_seconds).alias("_b"),
+        F.col(at).alias("_t"),
+        F.lit(0).alias("_kind"),
+        *[F.lit(0).cast("long").alias(n) for n in weights],
+        packed(probes).alias("_row"),
     )
-    return (
-        stream.unionByName(carried)
-        .select("_kind", "_row", *[F.sum(n).over(running).alias(f"_n_{n}") for n in names])
-        .where("_kind = 0")
-        .select("_row.*", *[F.col(f"_n_{n}").alias(n) for n in names])
+    no_row = F.lit(None).cast(asked.schema["_row"].dataType)
+    return running_counts(
+        asked.unionByName(steps.withColumn("_row", no_row)), keys, list(weights)
     )

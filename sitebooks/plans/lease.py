@@ -120,9 +120,8 @@ VALUE_RULE_NAMES = {
 
 
 def _newest_first(df: DataFrame, modified: str) -> list:
-    """Newest first; the remaining columns as text break ties, so runs agree."""
-    others = [F.col(c).cast("string") for c in df.columns if c != modified]
-    return [F.col(modified).desc_nulls_last(), F.xxhash64(*others), *others]
+    """Newest first; the remaining columns break ties in their order, so runs agree."""
+    return [F.col(modified).desc_nulls_last(), *[F.col(c) for c in df.columns if c != modified]]
 
 
 def resolve_property(

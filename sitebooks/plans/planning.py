@@ -9,6 +9,7 @@ Legally_Committed, Auto_Renewal_Y_N and No_Of_Lease_Sites.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +61,7 @@ def month_ytd_full_year(
     site_level: bool = False,
     years_around: int | None = None,
     mix_submissions: bool = False,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Month rows with running year-to-date amounts, plus one ``FY`` row per year.
 
@@ -70,8 +72,9 @@ def month_ytd_full_year(
     * ``years_around=1`` keeps the run year and its neighbours.
 
     A company's currency is looked up by company code; without one the code itself
-    stands in.  The plan is aggregated once, by month; year totals, year-to-date,
-    currency and the December test all read that aggregate.
+    stands in.  Year totals, year-to-date, currency and the December test all read
+    the monthly aggregate; ``stage`` is applied to it, and a job passes
+    ``materialise`` there so that the plan is aggregated only once.
     """
     keys = SITE_KEYS if site_level else COMPANY_KEYS
     if years_around is not None:
@@ -85,7 +88,7 @@ def month_ytd_full_year(
         *[F.sum(F.round(F.col(a), 2).cast("decimal(18,2)")).alias(a) for a in AMOUNTS],
         *[_whole(a).alias(f"_{a}") for a in AMOUNTS],
     )
-    monthly = monthly.withColumn("Month_ID", month_number(F.col("Month")))
+    monthly = stage(monthly.withColumn("Month_ID", month_number(F.col("Month"))))
 
     months = monthly.select(
         *keys,

@@ -17,18 +17,20 @@ from sitebooks.functions.codes import (
     product_class,
 )
 from sitebooks.operators.aggregates import value_set
-from sitebooks.operators.intervals import open_counts
+from sitebooks.operators.intervals import (
+    BUCKET_SECONDS,
+    cut_to_buckets,
+    interval_steps,
+    packed,
+    running_counts,
+)
 from sitebooks.operators.joins import null_safe_join
 
 SITE = ["PartitionKey", "GlobalSiteId", "SiteId"]
 GRADE = [*SITE, "additionalProductInfo", "productCode"]
 FLAG = "mogas_diesel_non_truck_flag"
 FLAG_PUMPS = "number_of_relevant_pumps_mogas_diesel_non_truck_aggregated"
-COUNTS = {
-    "txn_ongoing_actual": "_actual",
-    "txn_ongoing_potential": "_potential",
-    "txn_ongoing_mogas_diesel_combined": "_same_flag",
-}
+COUNTS = ("txn_ongoing_actual", "txn_ongoing_potential", "txn_ongoing_mogas_diesel_combined")
 
 
 def grade_profiles(
@@ -36,58 +38,82 @@ def grade_profiles(
     markers: tuple[str, ...] = SPECIAL_PRODUCT_MARKERS,
     default: str = DEFAULT_PRODUCT_CLASS,
 ) -> DataFrame:
-    """One row per site and grade: pump set, product class and volume totals.
-
-    The transactions are aggregated once, to site x grade x pump; everything
-    else is derived from that small table.  Totals are given for the site, the
-    product code, the pump set and the product class.
+    """One row per site, grade and pump: pump set, product class, volume totals, reach.
+
+    The transactions are aggregated once, to site and grade; everything else is
+    derived from that small table, one site at a time.  Totals are given for the
+    site, the product code, the pump set and the product class.
+
+    A *class* is a distinct (pump set, product class) pair among the grades of a
+    global site, and ``class_no`` is the grade's own.  ``reach`` lists the
+    classes for which a transaction on this pump counts, one number each:
+    ``8 * class_no`` plus 4 if the pump is in the class's pump set (actual), 2
+    if the pump sets overlap (potential), 1 if the product class is the same.
+    A pump that is null has a row of its own.
     """
-    cells = tx.groupBy(*GRADE, "pumpNumber").agg(
-        F.sum(F.col("SALES_QUANTITY").cast("decimal(20,2)")).alias("_vol"),
-        F.count(F.lit(1)).alias("_txn"),
-    )
-    # Number of pumps per class needs the set over the grades of the class.
     grades = (
-        cells.groupBy(*GRADE)
+        tx.groupBy(*GRADE)
         .agg(
             value_set("pumpNumber").alias("relevant_pumps"),
-            F.sum("_vol").alias("_vol"),
-            F.sum("_txn").alias("_txn"),
+            F.sum(F.col("SALES_QUANTITY").cast("decimal(20,2)")).alias("_vol"),
+            F.count(F.lit(1)).alias("_txn"),
         )
         .withColumn(FLAG, product_class(F.col("additionalProductInfo"), markers, default))
     )
+    # The coarsest partitioning comes first: it also serves the finer windows.
+    place = Window.partitionBy("PartitionKey", "GlobalSiteId")
+    own = F.struct(F.col("relevant_pumps").alias("pumps"), F.col(FLAG).alias("flag"))
+    grades = grades.withColumn("_all", F.array_sort(F.collect_set(own).over(place)))
+
     by = lambda *extra: Window.partitionBy(*SITE, *extra)
     flag_set = F.array_distinct(F.flatten(F.collect_list("relevant_pumps").over(by(FLAG))))
     combo = by("productCode", "relevant_pumps", FLAG)
     out = {
+        "site_vol": F.sum("_vol").over(by()).cast("double"),
+        "site_txn": F.sum("_txn").over(by()),
+        "grade_vol": F.sum("_vol").over(by("productCode")).cast("double"),
+        "grade_txn": F.sum("_txn").over(by("productCode")),
+        "relevant_pumps_vol": F.sum("_vol").over(by("relevant_pumps")).cast("double"),
+        "relevant_pumps_txn": F.sum("_txn").over(by("relevant_pumps")),
+        "relevant_pumps_vol_mogas_diesel_aggregated": F.sum("_vol").over(by(FLAG)).cast("double"),
+        "relevant_pumps_txn_mogas_diesel_aggregated": F.sum("_txn").over(by(FLAG)),
+        "quantity_sum": F.sum("_vol").over(combo).cast("double"),
+        "txn_count": F.sum("_txn").over(combo),
         "number_of_relevant_pumps": F.size("relevant_pumps"),
         FLAG_PUMPS: F.size(flag_set),
-        "quantity_sum": F.sum("_vol").over(combo),
-        "txn_count": F.sum("_txn").over(combo),
+        "class_no": F.array_position("_all", own).cast("int"),
     }
-    for name, extra in (
-        ("site_{}", ()),
-        ("grade_{}", ("productCode",)),
-        ("relevant_pumps_{}", ("relevant_pumps",)),
-        ("relevant_pumps_{}_mogas_diesel_aggregated", (FLAG,)),
-    ):
-        out[name.format("vol")] = F.sum("_vol").over(by(*extra))
-        out[name.format("txn")] = F.sum("_txn").over(by(*extra))
-    return grades.withColumns(out).drop("_vol", "_txn")
+    bit = lambda test, worth: F.when(test, worth).otherwise(0)
+    reach = F.transform(
+        "_all",
+        lambda c, i: (i + 1) * 8
+        + bit(F.array_contains(c["pumps"], F.col("pumpNumber")), 4)
+        + bit(F.arrays_overlap(c["pumps"], F.col("relevant_pumps")), 2)
+        + bit(c["flag"] == F.col(FLAG), 1),
+    )
+    return (
+        grades.withColumns(out)
+        .withColumn("pumpNumber", F.explode(F.array_append("relevant_pumps", F.lit(None))))
+        .withColumn("reach", F.filter(reach, lambda code: code % 8 > 0))
+        .drop("_vol", "_txn", "_all")
+    )
 
 
 def with_relevance(tx: DataFrame, profiles: DataFrame, mix_grades: bool = False) -> DataFrame:
     """Add the grade profile to every transaction.
 
     ``mix_grades`` joins the pump sets without the product text, so that a
-    product code sold under several texts repeats its transactions.
+    product code sold under several texts repeats its transactions; the result
+    then has no class columns.
     """
+    key = [*GRADE, "pumpNumber"]
     if not mix_grades:
-        return null_safe_join(tx, profiles, GRADE, "left")
+        return null_safe_join(tx, profiles, key, "left")
     sets = ["relevant_pumps", "number_of_relevant_pumps"]
-    key = [*SITE, "productCode"]
-    own = null_safe_join(tx, profiles.drop(*sets), GRADE, "left")
-    return null_safe_join(own, profiles.select(*key, *sets), key, "left")
+    per_product = [*SITE, "productCode"]
+    own = null_safe_join(tx, profiles.drop(*sets, "class_no", "reach"), key, "left")
+    by_product = profiles.select(*GRADE, *sets).distinct().drop("additionalProductInfo")
+    return null_safe_join(own, by_product, per_product, "left")
 
 
 def pump_summary(tx: DataFrame, site_master: DataFrame | None = None) -> DataFrame:
@@ -107,53 +133,8 @@ def pump_summary(tx: DataFrame, site_master: DataFrame | None = None) -> DataFra
     return out.join(master, list(names.values()), "left")
 
 
-def _reach(rows: DataFrame) -> DataFrame:
-    """For each kind of transaction: its own class number and the classes it occupies.
-
-    A class is a (pump set, product class) pair of a site.  A transaction
-    occupies a class in up to three ways: its pump belongs to the class's pump
-    set (actual), its own pump set overlaps it (potential), or the product class
-    is the same.  The table is as small as sites x grades x pumps.
-    """
-    place = ["PartitionKey", "GlobalSiteId"]
-    kinds = rows.select(*place, "relevant_pumps", FLAG, "pumpNumber").distinct()
-    classes = kinds.select(*place, "relevant_pumps", FLAG).distinct()
-    number = F.row_number().over(Window.partitionBy(*place).orderBy("relevant_pumps", FLAG))
-    per_site = (
-        classes.withColumn("class_no", number)
-        .groupBy(*place)
-        .agg(F.collect_list(F.struct("class_no", "relevant_pumps", FLAG)).alias("_classes"))
-    )
-    known = null_safe_join(kinds, per_site, place, "inner")
-    mine = F.filter(
-        "_classes",
-        lambda c: c["relevant_pumps"].eqNullSafe(F.col("relevant_pumps"))
-        & c[FLAG].eqNullSafe(F.col(FLAG)),
-    )
-    bit = lambda test: F.coalesce(test.cast("int"), F.lit(0))
-    touched = F.filter(
-        F.transform(
-            "_classes",
-            lambda c: F.struct(
-                c["class_no"].alias("class_no"),
-                bit(F.array_contains(c["relevant_pumps"], F.col("pumpNumber"))).alias("_actual"),
-                bit(F.arrays_overlap(c["relevant_pumps"], F.col("relevant_pumps"))).alias(
-                    "_potential"
-                ),
-                bit(c[FLAG] == F.col(FLAG)).alias("_same_flag"),
-            ),
-        ),
-        lambda r: (r["_actual"] + r["_potential"] + r["_same_flag"]) > 0,
-    )
-    return known.select(
-        *place, "relevant_pumps", FLAG, "pumpNumber",
-        F.element_at(mine, 1)["class_no"].alias("_own"),
-        touched.alias("_touched"),
-    )
-
-
 def ongoing_counts(
-    rows: DataFrame, bucket_seconds: int = 3600, merge_equal: bool = False
+    rows: DataFrame, bucket_seconds: int = BUCKET_SECONDS, merge_equal: bool = False
 ) -> DataFrame:
     """Add to every transaction how many others of its site were open when it began.
 
@@ -162,31 +143,55 @@ def ongoing_counts(
     on a pump relevant for this grade (actual), of a grade sharing a pump
     (potential), of the same product class (combined).
 
+    A transaction is announced to every class of its site that it counts for and
+    asks only in its own, so no two transactions are ever paired.  Announcements
+    and questions come from one pass over the rows, followed by one shuffle.
+
     ``merge_equal`` returns the counts per (site, start, end, pump, pump set)
     with those of indistinguishable transactions added up.
     """
-    kind = ["PartitionKey", "GlobalSiteId", "relevant_pumps", FLAG, "pumpNumber"]
-    located = null_safe_join(rows, _reach(rows), kind, "left")
-    intervals = located.select(
-        "PartitionKey",
-        "GlobalSiteId",
-        "transactionStartTime",
-        "transactionEndTime",
-        F.explode("_touched").alias("_one"),
-    ).select("*", F.col("_one.class_no").alias("_own"), "_one._actual", "_one._potential", "_one._same_flag")
-    out = open_counts(
-        located.drop("_touched"),
-        intervals,
-        ["PartitionKey", "GlobalSiteId", "_own"],
-        "transactionStartTime",
-        "transactionStartTime",
-        "transactionEndTime",
-        COUNTS,
-        bucket_seconds,
-    ).drop("_own")
+    place = ["PartitionKey", "GlobalSiteId"]
+    start, end = "transactionStartTime", "transactionEndTime"
+    code = F.col("_code")
+    live = F.coalesce(
+        (F.col(start) < F.col(end)) & F.col(place[0]).isNotNull() & F.col(place[1]).isNotNull(),
+        F.lit(False),
+    )
+    told = rows.select(
+        *place,
+        start,
+        end,
+        F.coalesce("class_no", F.lit(0)).alias("_own"),
+        packed(rows.drop("reach", "class_no")).alias("_row"),
+        # A row without a profile still asks, and is told 0.
+        F.explode(F.coalesce("reach", F.array(F.lit(0)))).alias("_code"),
+    ).withColumn("class_no", F.shiftright(code, 3))
+    asks = (F.col("class_no") == F.col("_own")) & (F.col("_b") == F.col("_first"))
+    question = F.struct(
+        F.col(start).alias("_t"), F.lit(0).alias("_kind"), F.lit(0).alias("_sign")
+    )
+    steps = [*interval_steps(start, end, bucket_seconds), F.when(asks, question)]
+    sign = F.col("_step._sign")
+    stream = (
+        cut_to_buckets(told, start, end, live, bucket_seconds)
+        .withColumn("_step", F.explode(F.array(*steps)))
+        .where("_step IS NOT NULL")
+        .select(
+            *place,
+            "class_no",
+            "_b",
+            "_step._t",
+            "_step._kind",
+            (F.shiftright(code, 2).bitwiseAND(1) * sign).alias(COUNTS[0]),
+            (F.shiftright(code, 1).bitwiseAND(1) * sign).alias(COUNTS[1]),
+            (code.bitwiseAND(1) * sign).alias(COUNTS[2]),
+            F.when(F.col("_step._kind") == 0, F.col("_row")).alias("_row"),
+        )
+    )
+    out = running_counts(stream, [*place, "class_no"], COUNTS)
     if not merge_equal:
         return out
     return out.groupBy(
-        "SiteId", "PartitionKey", "GlobalSiteId", "siteName", "transactionStartTime",
-        "transactionEndTime", "pumpNumber", "relevant_pumps",
+        "SiteId", *place, "siteName", "transactionStartTime", "transactionEndTime", "pumpNumber",
+        "relevant_pumps",
     ).agg(*[F.sum(c).alias(c) for c in COUNTS])

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitebooks.functions.money import share
-from sitebooks.operators.reshape import with_scenarios
 from sitebooks.operators.windows import count_until_threshold, flag_until_threshold
 from sitebooks.plans.pumps import FLAG, FLAG_PUMPS
 
@@ -27,29 +26,39 @@ SERVED, WAITING = "immediately_served", "waiting"
 THRESHOLDS = (99.5, 98.0, 95.0, 90.0, 85.0, 80.0, 75.0)
 
 
+#: Columns the summaries use; drop the others before counting ongoing transactions.
+INPUT = (
+    *SITE, "additionalProductInfo", "productCode", "relevant_pumps", "number_of_relevant_pumps",
+    FLAG, FLAG_PUMPS, "SALES_QUANTITY",
+)
+
+
 @dataclass(frozen=True)
 class Grain:
     """What a summary is grouped by, and which total its shares refer to."""
 
     keys: tuple[str, ...]
     available: str
+    ongoing: str
+    #: Columns the reference total is taken over, beside the site.
+    base: tuple[str, ...]
     vol: str
     txn: str
-    ongoing: str
     share_name: str = "relevant"
 
 
 PUMP_SET = Grain(
-    ("relevant_pumps",), "number_of_relevant_pumps", "relevant_pumps_vol", "relevant_pumps_txn",
-    "txn_ongoing_potential",
+    ("relevant_pumps",), "number_of_relevant_pumps", "txn_ongoing_potential",
+    ("relevant_pumps",), "relevant_pumps_vol", "relevant_pumps_txn",
 )
 PRODUCT_CLASS = Grain(
-    (FLAG,), FLAG_PUMPS, "relevant_pumps_vol_mogas_diesel_aggregated",
-    "relevant_pumps_txn_mogas_diesel_aggregated", "txn_ongoing_mogas_diesel_combined",
+    (FLAG,), FLAG_PUMPS, "txn_ongoing_mogas_diesel_combined",
+    (FLAG,), "relevant_pumps_vol_mogas_diesel_aggregated",
+    "relevant_pumps_txn_mogas_diesel_aggregated",
 )
 PRODUCT_GRADE = Grain(
     ("additionalProductInfo", "productCode", "relevant_pumps"), "number_of_relevant_pumps",
-    "grade_vol", "grade_txn", "txn_ongoing_potential", "grade",
+    "txn_ongoing_potential", ("productCode",), "grade_vol", "grade_txn", "grade",
 )
 
 
@@ -57,32 +66,32 @@ def histogram(rows: DataFrame, grain: Grain) -> DataFrame:
     """Volume and transactions per site, group and ongoing count, with the site's D.
 
     D, the largest number of dispensers considered, is one more than the
-    largest potential count of the site, for every grain.
+    largest potential count of the site, for every grain.  The totals the shares
+    refer to are sums of the histogram, so the rows need not carry them.
     """
     fine = rows.groupBy(
-        *SITE, *grain.keys, grain.available, "site_vol", "site_txn", grain.vol, grain.txn,
-        F.col(grain.ongoing).cast("int").alias("ongoing"),
+        *SITE, *grain.keys, grain.available, F.col(grain.ongoing).cast("int").alias("ongoing")
     ).agg(
         F.sum(F.col("SALES_QUANTITY").cast("decimal(20,2)")).alias("volume"),
         F.count(F.lit(1)).alias("number_of_txn"),
         F.max("txn_ongoing_potential").alias("_peak"),
     )
-    peak = F.max("_peak").over(Window.partitionBy(*SITE))
-    return fine.withColumn("D", (peak + 1).cast("int")).drop("_peak")
+    site, base = Window.partitionBy(*SITE), Window.partitionBy(*SITE, *grain.base)
+    return fine.withColumns(
+        {
+            "D": (F.max("_peak").over(site) + 1).cast("int"),
+            "site_vol": F.sum("volume").over(site).cast("double"),
+            "site_txn": F.sum("number_of_txn").over(site),
+            grain.vol: F.sum("volume").over(base).cast("double"),
+            grain.txn: F.sum("number_of_txn").over(base),
+        }
+    ).drop("_peak")
 
 
 def _group(grain: Grain) -> list[str]:
     return [*SITE, *grain.keys, grain.available, "site_vol", "site_txn", grain.vol, grain.txn]
 
 
-def _running(grain: Grain, order: str) -> Window:
-    return (
-        Window.partitionBy(*_group(grain))
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-
-
 def _with_shares(df: DataFrame, grain: Grain) -> DataFrame:
     name = grain.share_name
     return df.withColumns(
@@ -95,64 +104,62 @@ def _with_shares(df: DataFrame, grain: Grain) -> DataFrame:
     )
 
 
-def _served(hist: DataFrame, grain: Grain) -> DataFrame:
-    """Per group and d = 1..D: volume and transactions of the whole group and served ones.
+def _ladder(hist: DataFrame, grain: Grain) -> DataFrame:
+    """The histogram of each group without gaps below D, with its running sums.
 
-    Served with d dispensers are those that met fewer than d ongoing ones, which
-    is a running sum of the histogram over d.
+    One row per group and ongoing count: ``volume`` and ``number_of_txn`` of the
+    customers that met that many (0 in a gap), ``cum_*`` of those that met at
+    most that many, ``all_*`` of the whole group.
     """
     group = _group(grain)
-    none = F.lit(0)
-    vol_type = hist.schema["volume"].dataType
-    spine = with_scenarios(hist.groupBy(*group).agg(F.max("D").alias("D")), F.col("D"), DISPENSERS)
-    spine = spine.select(
-        *group, DISPENSERS, none.cast(vol_type).alias("volume"),
-        none.cast("long").alias("number_of_txn"), F.lit(True).alias("_spine"),
+    bar = F.struct("ongoing", "volume", "number_of_txn")
+    packed = hist.groupBy(*group).agg(F.collect_list(bar).alias("_bars"), F.max("D").alias("D"))
+    bar_type = packed.schema["_bars"].dataType
+    gaps = F.transform(
+        F.sequence(F.lit(0), F.col("D") - 1),
+        lambda o: F.struct(o.alias("ongoing"), F.lit(0).alias("volume"), F.lit(0).alias("number_of_txn")),
+    ).cast(bar_type)
+    bars = (
+        packed.select(*group, "D", F.explode(F.concat("_bars", gaps)).alias("_bar"))
+        .select(*group, "D", "_bar.*")
+        .groupBy(*group, "D", "ongoing")
+        .agg(F.sum("volume").alias("volume"), F.sum("number_of_txn").alias("number_of_txn"))
     )
-    steps = hist.select(
-        *group, (F.col("ongoing") + 1).alias(DISPENSERS), "volume", "number_of_txn",
-        F.lit(False).alias("_spine"),
-    )
-    merged = (
-        spine.unionByName(steps)
-        .groupBy(*group, DISPENSERS)
-        .agg(
-            F.sum("volume").alias("_v"),
-            F.sum("number_of_txn").alias("_n"),
-            F.max("_spine").alias("_spine"),
-        )
+    whole = Window.partitionBy(*group)
+    so_far = whole.orderBy("ongoing").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return bars.withColumns(
+        {
+            "cum_vol": F.sum("volume").over(so_far),
+            "cum_txn": F.sum("number_of_txn").over(so_far),
+            "all_vol": F.sum("volume").over(whole),
+            "all_txn": F.sum("number_of_txn").over(whole),
+        }
     )
-    so_far, whole = _running(grain, DISPENSERS), Window.partitionBy(*group)
-    return merged.select(
-        *group,
-        DISPENSERS,
-        F.sum("_v").over(so_far).alias("_served_vol"),
-        F.sum("_n").over(so_far).alias("_served_txn"),
-        F.sum("_v").over(whole).alias("_all_vol"),
-        F.sum("_n").over(whole).alias("_all_txn"),
-        "_spine",
-    ).where("_spine").drop("_spine")
 
 
 def served_or_waiting(hist: DataFrame, grain: Grain) -> DataFrame:
-    """Volume and transactions served at once or waiting, for d = 1..D dispensers."""
+    """Volume and transactions served at once or waiting, for d = 1..D dispensers.
+
+    Served with d dispensers are those that met fewer than d ongoing ones.
+    """
     states = F.array(
         F.struct(
             F.lit(SERVED).alias(STATE),
-            F.col("_served_vol").alias("volume"),
-            F.col("_served_txn").alias("number_of_txn"),
+            F.col("cum_vol").alias("volume"),
+            F.col("cum_txn").alias("number_of_txn"),
         ),
         F.struct(
             F.lit(WAITING).alias(STATE),
-            (F.col("_all_vol") - F.col("_served_vol")).cast(
-                hist.schema["volume"].dataType
-            ).alias("volume"),
-            (F.col("_all_txn") - F.col("_served_txn")).alias("number_of_txn"),
+            (F.col("all_vol") - F.col("cum_vol")).alias("volume"),
+            (F.col("all_txn") - F.col("cum_txn")).alias("number_of_txn"),
         ),
     )
     long = (
-        _served(hist, grain)
-        .withColumn("_s", F.explode(states))
+        _ladder(hist, grain)
+        .where("ongoing < D")
+        .select(
+            *_group(grain), (F.col("ongoing") + 1).alias(DISPENSERS), F.explode(states).alias("_s")
+        )
         .select(*_group(grain), DISPENSERS, "_s.*")
         .where("number_of_txn > 0")
     )
@@ -167,27 +174,29 @@ def queue_lengths(hist: DataFrame, grain: Grain) -> DataFrame:
     is the running sum of the histogram, whatever d is.
     """
     group = _group(grain)
-    served = _served(hist, grain).where("_served_txn > 0").select(
-        *group, DISPENSERS, F.lit(0).alias("queue_length"),
-        F.col("_served_vol").alias("volume"), F.col("_served_txn").alias("number_of_txn"),
-        F.col("_served_vol").alias("cum_vol"), F.col("_served_txn").alias("cum_txn"),
+    o = F.col("ongoing")
+    cell = lambda d, q, vol, txn: F.struct(
+        d.alias(DISPENSERS), q.alias("queue_length"), vol.alias("volume"),
+        txn.alias("number_of_txn"),
     )
-    so_far = _running(grain, "ongoing")
-    queued = (
-        hist.withColumns(
-            {"cum_vol": F.sum("volume").over(so_far), "cum_txn": F.sum("number_of_txn").over(so_far)}
-        )
-        .where("ongoing > 0")
-        .withColumn(
-            DISPENSERS, F.explode(F.sequence(F.lit(1), F.least(F.col("ongoing"), F.col("D"))))
-        )
-        .select(
-            *group, DISPENSERS, (F.col("ongoing") + 1 - F.col(DISPENSERS)).alias("queue_length"),
-            "volume", "number_of_txn", "cum_vol", "cum_txn",
-        )
+    at_once = F.when(
+        (o < F.col("D")) & (F.col("cum_txn") > 0),
+        F.array(cell(o + 1, F.lit(0), F.col("cum_vol"), F.col("cum_txn"))),
+    )
+    queued = F.when(
+        (o > 0) & (F.col("number_of_txn") > 0),
+        F.transform(
+            F.sequence(F.lit(1), F.least(o, F.col("D"))),
+            lambda d: cell(d, o + 1 - d, F.col("volume"), F.col("number_of_txn")),
+        ),
+    )
+    cells = F.flatten(F.array_compact(F.array(at_once, queued)))
+    out = (
+        _ladder(hist, grain)
+        .select(*group, "cum_vol", "cum_txn", F.explode(cells).alias("_c"))
+        .select(*group, "_c.*", "cum_vol", "cum_txn")
     )
-    out = _with_shares(served.unionByName(queued), grain)
-    return out.withColumns(
+    return _with_shares(out, grain).withColumns(
         {
             "cum_vol_Perc_of_relevant_vol": share(F.col("cum_vol"), F.col(grain.vol)),
             "cum_txn_Perc_of_relevant_txn": share(F.col("cum_txn"), F.col(grain.txn)),

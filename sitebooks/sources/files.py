@@ -90,16 +90,17 @@ def read_period(
     month: int,
     merge_schema: bool = False,
     schema: StructType | None = None,
+    layout: str = "{country}/{year:04d}/{month:02d}",
 ) -> DataFrame:
     """One period of the listed countries; countries without that period are skipped.
 
-    Only the directories of the period are listed and read.  A year-month path
+    ``layout`` names the directory of a country's period below a root.  Only the directories of the period are listed and read.  A year-month path
     without files for any country is an error unless ``schema`` is given, which
     then yields an empty frame.
     """
     roots = [roots] if isinstance(roots, str) else list(roots)
     wanted = [
-        f"{root.rstrip('/')}/{country}/{year:04d}/{month:02d}"
+        root.rstrip("/") + "/" + layout.format(country=country, year=year, month=month)
         for root in roots
         for country in countries
     ]
