@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sitebooks.catalog.registry import TX_MARKERS, TX_SQL, plain_ts, query, table, tx
+from sitebooks.operators.intervals import bucket_width
 from sitebooks.plans import matching, pumps, sizing
 
 # The same steps as SQL: pump set per grade, product class, then the overlap
@@ -49,8 +50,7 @@ d AS (SELECT site, CAST(unnest(range(1, d_max + 1)) AS INTEGER) AS d FROM peak),
 scen AS (SELECT o.*, d.d FROM ongoing o JOIN d ON o.site = d.site)"""
 
 
-def _relevant(spark, sf_dir):
-    rows = tx(spark, sf_dir)
+def _relevant(rows):
     return pumps.with_relevance(rows, pumps.grade_profiles(rows, TX_MARKERS))
 
 
@@ -58,7 +58,10 @@ _COUNTING = ("transactionStartTime", "transactionEndTime", "class_no", "reach")
 
 
 def _ongoing(spark, sf_dir, columns=sizing.INPUT):
-    return pumps.ongoing_counts(_relevant(spark, sf_dir).select(*columns, *_COUNTING))
+    """Counts with buckets as narrow as the busiest site of the data needs."""
+    rows = tx(spark, sf_dir)
+    width = bucket_width(rows, ["PartitionKey", "GlobalSiteId"], "transactionStartTime")
+    return pumps.ongoing_counts(_relevant(rows).select(*columns, *_COUNTING), width)
 
 
 def _set_text(df):
@@ -83,7 +86,7 @@ def _plain(df, *names):
 )
 def pump_sets(spark, sf_dir):
     """Every transaction with the pumps of its grade and all volume totals."""
-    out = _set_text(_relevant(spark, sf_dir)).select(
+    out = _set_text(_relevant(tx(spark, sf_dir))).select(
         "event_id", "relevant_pumps", F.col("number_of_relevant_pumps").alias("n_pumps"),
         F.col(pumps.FLAG).alias("flag"), F.col(pumps.FLAG_PUMPS).alias("n_flag_pumps"),
         "quantity_sum", "txn_count", "site_vol", "site_txn", "grade_vol", "grade_txn",

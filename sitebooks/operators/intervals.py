@@ -36,6 +36,33 @@ def _all_known(*names: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
 
 
+def bucket_width(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    max_rows: int = 2_000_000,
+    start: int = BUCKET_SECONDS,
+    narrowest: int = 60,
+) -> int:
+    """Bucket width in seconds at which the fullest bucket of a key stays within ``max_rows``.
+
+    Runs one small aggregate: rows per key and bucket are counted on the map side
+    and only the largest count reaches the driver.  Give it the plain rows, before
+    anything is joined to them.  The width is halved until the fullest bucket,
+    taken as evenly filled, fits.
+    """
+    fullest = (
+        df.groupBy(*keys, _bucket(F.col(ts), start).alias("_b"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.max("n"))
+        .first()[0]
+    ) or 0
+    width = start
+    while fullest > max_rows and width > narrowest:
+        width, fullest = width // 2, fullest / 2
+    return max(width, narrowest)
+
+
 def match_nearest(
     left: DataFrame,
     right: DataFrame,

@@ -50,10 +50,12 @@ def site_transactions(
 ) -> DataFrame:
     """Distinct transactions in local time with their site attributes.
 
-    On the first load only transactions ending on or after ``first_day`` count.
+    Transactions equal in :data:`TRANSACTION_KEY` are one; copies of whole rows
+    fall away in the same step.  On the first load only transactions ending on or
+    after ``first_day`` count.
     """
     whole = ("deviceID", "productCode", "pumpNumber", "nozzleNumber", "transactionNumber")
-    rows = tx.distinct().withColumns(
+    rows = tx.withColumns(
         {
             c: local_time(F.col(c).cast("timestamp"), zone)
             for c in ("transactionStartTime", "transactionEndTime", "RequestDateTime")

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sitebooks.operators.intervals import match_nearest, open_counts
+from sitebooks.operators.intervals import bucket_width, match_nearest, open_counts
 from sitebooks.operators.joins import overlap_join, tolerance_join
 from tests.conftest import rows
 
@@ -96,3 +96,15 @@ def test_overlap_edges(spark):
     assert count((5, 1), (3, 4), (6, 7)) == [0, 0, 0]  # ends before it starts
     assert count((0, 1)) == [0]
     assert count((0, 5000), (4999, 5001)) == [0, 1]  # spans several buckets
+
+
+def test_bucket_width_follows_the_busiest_key(spark):
+    df = spark.range(1000).select(
+        F.when(F.col("id") < 400, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        F.timestamp_seconds(F.col("id") * 40).alias("t"),
+    )
+    assert bucket_width(df, ["k"], "t", max_rows=400, start=43200) == 43200
+    assert bucket_width(df, ["k"], "t", max_rows=100, start=43200) == 10800
+    assert bucket_width(df, ["k"], "t", max_rows=1, start=43200) == 84
+    assert bucket_width(df, ["k"], "t", max_rows=1, start=43200, narrowest=600) == 600
+    assert bucket_width(df.limit(0), ["k"], "t") == 43200
