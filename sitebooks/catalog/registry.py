@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitebooks.functions.calendar import month_label
 from sitebooks.runtime import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,7 +116,7 @@ def plan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         site.cast("string").alias("Site_ID"),
         F.concat(F.lit("L"), site.cast("string")).alias("Lease_ID"),
         F.year("l_shipdate").alias("Year"),
-        F.upper(F.date_format("l_shipdate", "MMM")).alias("Month"),
+        month_label(F.month("l_shipdate")).alias("Month"),
         F.concat(F.lit("CUR-"), F.substring("o_orderpriority", 1, 1)).alias("Local_Currency"),
         F.col("l_extendedprice").alias("Plan_Amount"),
         F.col("l_quantity").alias("Plan_Amount_USD"),

@@ -85,7 +85,7 @@ def month_ytd_full_year(
         F.count(F.lit(1)).alias("_rows"),
         F.count("Lease_Classification").alias("_classified"),
         F.max("Local_Currency").alias("_currency"),
-        *[F.sum(F.round(F.col(a), 2).cast("decimal(18,2)")).alias(a) for a in AMOUNTS],
+        *[F.sum(F.col(a).cast("decimal(18,2)")).alias(a) for a in AMOUNTS],
         *[_whole(a).alias(f"_{a}") for a in AMOUNTS],
     )
     monthly = stage(monthly.withColumn("Month_ID", month_number(F.col("Month"))))
