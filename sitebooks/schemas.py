@@ -23,6 +23,54 @@ DDL = {
         Project_Code string, Project_Text string, CAPIN_Type_Project_Code string,
         CAPIN_Type_Project_Text string, CAPIN_Type_Child_Code string,
         CAPIN_Type_Child_Text string, Entry_Text string, Project_Country string""",
+    "finance_capex": """
+        Ingestion_Revision_Date timestamp, Country_Name string, Country_Code string,
+        Company_Code string, CAPIN_Unique_Id string, FISCAL_Period string, Date_Year string,
+        Date_Month string, ActualRate string, PlanRate string, Currency_Code string,
+        Project_Code string, Project_Text string, CAPIN_Type_Project_Code string,
+        CAPIN_Type_Project_Text string, CAPIN_Type_Child_Code string,
+        CAPIN_Type_Child_Text string, Entry_Text string, Project_Country string""",
+    "opex_plan_actual": """
+        IngestionDate timestamp, FISCAL_PERIOD string, COUNTRY_CODE string,
+        COST_CENTER_COUNTRY_CODE string, COST_CENTER_COMPANY_CODE string, COMPANY_CODE string,
+        COST_CENTER_CODE string, COST_CENTER_DESCRIPTION string, COST_ELEMENT_CODE string,
+        COST_ELEMENT_DESCRIPTION string, CONTROLLING_AREA_CODE string,
+        PROFIT_CENTER_CODE string, PROFIT_CENTER_DESCRIPTION string,
+        OPEX_LINE_ITEM_CODE string, OPEX_LINE_ITEM_CODE_DESCRIPTION string, ZCO_ITMTX string,
+        CURRENCY_CODE string, UNIT string, CURRENCY_TYPE string, ZVCCURTYP string,
+        VALUE_TYPE_CODE string, VERSION_NUMBER string, GL_ACCOUNT_CODE string,
+        CHRT_ACCTS string, INFO_PROVIDER string, TOTAL_VOLUME_QUANTITY double,
+        ACTUAL_AMOUNT double, PLAN_CO_AMOUNT double, PLAN_COMPANY_AMOUNT double,
+        PLAN_HARD_AMOUNT double, CREATE_DATE timestamp""",
+    "payables": """
+        Ingestion_Revision_Date timestamp, Company_Code string, Vendor_Account_Code int,
+        FISCAL_Period string, Fiscal_Year_Variant int, Document_Number string,
+        Refrence_Key int, Item_Number int, Item_Due_Date int, Country_Code string,
+        Reference_Dcoument_Number string, Allocation_Number string, HDR_REF_KEY1 string,
+        Header_Text string, Item_Text string, RT_TAXCODE string, PMTMTHSUPL string,
+        ZHWAE2 string, DCINDIC string, LOAD_DT string, Dcoument_Type_Code string,
+        Paymend_Method_Code string, Paymend_Block_Code string, Create_User_Id string,
+        Base_Date int, Net_Due_Date int, Clearing_Document_Number string, Clearing_Date int,
+        Document_Created_Date int, Document_Date int, Posting_Date int, DISC_BASE double,
+        Discount_DC_Amount double, Document_Currency_Amount double,
+        Document_Currency_Code string, Local_Currency_Amount double,
+        Local_Currency_Code string, Discount_LC_Amount double, ZBVTYP string, ZQSSHB double,
+        ZDMBE2 double""",
+    "receivables": """
+        Ingestion_Revision_Date timestamp, Company_Code string, Customer_Account_Code int,
+        Fiscal_Year_Variant string, FISCAL_Period int, Document_Number string,
+        Reference_Key_Id string, Item_Number int, Item_Due_Date int, Country_Code string,
+        Reference_Dcoument_Number string, Allocation_Number string, HDR_REF_KEY1 string,
+        HDRTXT string, Item_Text string, RT_TAXCODE string, PMTMTHSUPL string,
+        Dcoument_Type_Code string, Paymend_Method_Code string, Paymend_Block_Code string,
+        Create_User_Id string, Base_Date int, Net_Due_Date int,
+        Clearing_Document_Number string, Clearing_Date int, Document_Created_Date int,
+        Document_Date int, Posting_Date string, DISC_BASE int, Discount_DC_Amount double,
+        Document_Currency_Amount double, Document_Currency_Code string,
+        Local_Currency_Amount double, Local_Currency_Code string, Discount_LC_Amount double,
+        Dcoument_Status_Code string, SP_GL_Indicator string, Reason_Code string,
+        FI_Document_Status string, Account_Type_Code string, ZBVTYP string, ZDMBE2 string,
+        ZHWAE2 string, AEDAT string, DCINDIC string, LOAD_DT string""",
     "fixed_asset_nbv": """
         COMPANY_CODE string, CREATE_DATE timestamp, SITE_CODE string, PERIOD string,
         FIXED_ASSET_NET_BOOK_VALUE decimal(18,5), CURRENCY_CODE string, COUNTRY string""",

@@ -23,6 +23,8 @@ def test_contracts_parse(spark):
     sizes = {name: len(schema(name)) for name in DDL}
     assert sizes["plan_company_full_year"] == 11 and sizes["plan_company_ytd"] == 14
     assert sizes["plan_site_full_year"] == 16 and sizes["plan_site_ytd"] == 19
+    assert sizes["opex_plan_actual"] == 31 and sizes["payables"] == 41 and sizes["receivables"] == 46
+    assert sizes["finance_capex"] == sizes["cash_capex"] == 19
     assert sizes["actual_raw"] == 25 and sizes["json_transaction"] == 13
     assert len(lease.LEASE_NAMES) + 1 == 57
     assert len(lease.QUANTITY_RULE_NAMES) + 1 == 18 and len(lease.VALUE_RULE_NAMES) + 1 == 17
