@@ -57,7 +57,7 @@ def _write_feed(spark, sf_dir, root, test):
         F.date_format("o_orderdate", "MM").alias("month"),
     )
     place = ["country", "year", "month"]
-    sinks.write_files(laid_out.repartition(*place), root, partition_by=place)
+    sinks.write_files(laid_out, root, partition_by=place)
 
 
 @query(
@@ -95,22 +95,29 @@ def feed_history(spark, sf_dir):
     )
 
 
-_TURN = "named_struct('pumpNumber', CAST(turn AS INT), 'productCode', role, 'additionalProductInfo', text)"
+def _item(pump: str, product: str) -> str:
+    return (
+        f"named_struct('pumpNumber', CAST({pump} AS INT), 'productCode', {product}, "
+        "'additionalProductInfo', text)"
+    )
 
 
 @query(
     "json_array_explode",
     """SELECT CAST(conv_id AS VARCHAR) AS RowKey, CAST(turn AS INTEGER) AS pumpNumber,
-              role AS productCode, text AS additionalProductInfo FROM conversations""",
+              role AS productCode, text AS additionalProductInfo FROM conversations
+       UNION ALL
+       SELECT CAST(conv_id AS VARCHAR), CAST(-1 - turn AS INTEGER), 'echo', text
+       FROM conversations WHERE turn > 0""",
 )
 def json_array_explode(spark, sf_dir):
-    """Conversations packed as JSON messages, unpacked by the transaction parser."""
-    packed = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
-        F.to_json(F.collect_list(F.expr(_TURN))).alias("Transactions")
-    )
-    messages = packed.select(
+    """Each turn as a JSON message of one or two items, unpacked by the transaction parser."""
+    own, echo = _item("turn", "role"), _item("-1 - turn", "'echo'")
+    items = f"IF(turn > 0, array({own}, {echo}), array({own}))"
+    messages = table(spark, sf_dir, "conversations").select(
         F.lit("NL").alias("PartitionKey"), F.col("conv_id").cast("string").alias("RowKey"),
-        F.lit("2024-01-01").alias("RequestDateTime"), F.lit("1").alias("SiteId"), "Transactions",
+        F.lit("2024-01-01").alias("RequestDateTime"), F.lit("1").alias("SiteId"),
+        F.to_json(F.expr(items)).alias("Transactions"),
     )
     return site_info.transactions(messages).select(
         "RowKey", "pumpNumber", "productCode", "additionalProductInfo"
@@ -143,18 +150,27 @@ def site_nozzles(spark, sf_dir):
 
 @query(
     "struct_rows",
-    """SELECT user_id, k, count(*) AS n FROM (
-         SELECT user_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)
-       GROUP BY 1, 2""",
+    """SELECT event_id, 'value' AS name, value AS amount FROM events
+       UNION ALL
+       SELECT event_id, 'k', CAST(json_extract(props, '$.k') AS DOUBLE) FROM events
+       WHERE event_type <> 'error'""",
 )
 def struct_rows(spark, sf_dir):
-    """Arrays of structs built by an aggregate and exploded again."""
+    """Arrays of structs to rows; the second element is missing for some rows."""
+    k = F.from_json("props", "k double")["k"]
     ev = table(spark, sf_dir, "events").select(
-        "user_id", F.from_json("props", "k int")["k"].alias("k")
+        "event_id",
+        F.array_compact(
+            F.array(
+                F.struct(F.lit("value").alias("name"), F.col("value").alias("amount")),
+                F.when(
+                    F.col("event_type") != "error",
+                    F.struct(F.lit("k").alias("name"), k.alias("amount")),
+                ),
+            )
+        ).alias("items"),
     )
-    per_k = ev.groupBy("user_id", "k").agg(F.count(F.lit(1)).alias("n"))
-    packed = per_k.groupBy("user_id").agg(F.collect_list(F.struct("k", "n")).alias("items"))
-    return explode_structs(packed, "items", ["user_id"], ["k", "n"])
+    return explode_structs(ev, "items", ["event_id"], ["name", "amount"])
 
 
 @query(

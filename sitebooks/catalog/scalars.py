@@ -182,20 +182,21 @@ def json_parse(spark, sf_dir):
 @query(
     "array_functions",
     """WITH sets AS (
-         SELECT user_id, list_sort(list(DISTINCT CAST(event_id % 6 AS INTEGER))) AS pumps
-         FROM events GROUP BY user_id)
-       SELECT array_to_string(pumps, ',') AS pumps, count(*) AS users,
+         SELECT user_id, CAST(ts AS DATE) AS day,
+                list_sort(list(DISTINCT CAST(event_id % 6 AS INTEGER))) AS pumps
+         FROM events GROUP BY 1, 2)
+       SELECT array_to_string(pumps, ',') AS pumps, count(*) AS user_days,
               CAST(len(pumps) AS INTEGER) AS n_pumps, list_contains(pumps, 3) AS has_three,
               list_has_any(pumps, [0, 1]) AS has_low
        FROM sets GROUP BY pumps""",
 )
 def array_functions(spark, sf_dir):
-    sets = table(spark, sf_dir, "events").groupBy("user_id").agg(
+    sets = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(
         F.array_sort(F.collect_set((F.col("event_id") % 6).cast("int"))).alias("pumps")
     )
-    return sets.groupBy("pumps").agg(F.count(F.lit(1)).alias("users")).select(
+    return sets.groupBy("pumps").agg(F.count(F.lit(1)).alias("user_days")).select(
         F.array_join("pumps", ",").alias("pumps"),
-        "users",
+        "user_days",
         F.size("pumps").alias("n_pumps"),
         F.array_contains("pumps", 3).alias("has_three"),
         F.arrays_overlap("pumps", F.array(F.lit(0), F.lit(1))).alias("has_low"),

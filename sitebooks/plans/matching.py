@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sitebooks.functions.calendar import local_time
 from sitebooks.operators.filters import in_values
-from sitebooks.operators.intervals import match_nearest
+from sitebooks.operators.intervals import BUCKET_SECONDS, match_nearest
 from sitebooks.operators.joins import lookup
 from sitebooks.operators.windows import dedupe, latest_by
 
@@ -116,7 +116,10 @@ def reference_sales(
 
 
 def match_transactions(
-    tx: DataFrame, sales: DataFrame, seconds: int = TOLERANCE_SECONDS
+    tx: DataFrame,
+    sales: DataFrame,
+    seconds: int = TOLERANCE_SECONDS,
+    bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """Transactions with end times taken from matching sales where there are any.
 
@@ -137,6 +140,7 @@ def match_transactions(
         "EVENT_START_DATE",
         seconds,
         "_sale_at",
+        bucket_seconds,
     ).where(F.col("GlobalSiteId").isNotNull())
     message = ["PartitionKey", "GlobalSiteId", "RowKey", "SALES_QUANTITY", "pumpNumber", "nozzleNumber"]
     tie = [F.col(c).asc_nulls_last() for c in TRANSACTION_KEY if c != "transactionEndTime"]

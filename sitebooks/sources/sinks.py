@@ -21,12 +21,17 @@ def write_files(
     partition_by: Sequence[str] = (),
     merge_schema: bool = False,
     replace_schema: bool = False,
+    rebalance: bool = True,
 ) -> None:
     """Write by location.  Never point it at the path the frame is read from.
 
     ``partition_by`` wants columns with few values (country, year): a directory
-    per site would mean millions of small files.
+    per site would mean millions of small files.  The rows of a partitioned
+    write are gathered per directory first; adaptive execution splits a large
+    directory over several tasks and merges small ones.
     """
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
     if merge_schema:
         writer = writer.option("mergeSchema", "true")
@@ -40,7 +45,8 @@ def write_files(
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Overwrite only the partitions present in ``df``; others stay."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)

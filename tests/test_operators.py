@@ -125,6 +125,14 @@ def test_upsert_is_idempotent(spark):
     assert rows(mutate.upsert(once, new, ["k"])) == rows(once)
 
 
+def test_run_log_upsert_has_two_keys(spark):
+    log = spark.createDataFrame([("match", "NL", "2024-01-01"), ("match", "DE", "2024-01-01")], "job string, country string, run_date string")
+    new = spark.createDataFrame([("match", "NL", "2024-02-01"), ("size", "NL", "2024-02-01")], "job string, country string, run_date string")
+    assert rows(mutate.upsert(log, new, ["job", "country"])) == [
+        ("match", "DE", "2024-01-01"), ("match", "NL", "2024-02-01"), ("size", "NL", "2024-02-01"),
+    ]
+
+
 def test_purge_and_audit(spark):
     df = spark.createDataFrame([(1996,), (1997,), (None,)], "y int")
     assert rows(mutate.purge(df, "y", 2001)) == [(None,), (1997,)]
