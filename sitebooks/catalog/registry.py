@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitebooks.functions.calendar import month_label
-from sitebooks.runtime import prepare
+from sitebooks.runtime import prepare, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -61,7 +61,7 @@ tx AS (
 
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as pump transactions, under the names the pump jobs use."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     site_no = F.floor(F.col("user_id") / 10)
     start = F.col("ts").cast("timestamp")
     return ev.select(
@@ -107,6 +107,7 @@ def plan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus",
         "l_shipdate", "l_extendedprice", "l_quantity",
     )
+    li = spread(li)
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     site = F.floor(F.col("l_suppkey") / 10)
     return li.join(od, li.l_orderkey == od.o_orderkey).select(

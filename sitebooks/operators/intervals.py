@@ -49,8 +49,11 @@ def bucket_width(
     Runs one small aggregate: rows per key and bucket are counted on the map side
     and only the largest count reaches the driver.  Give it the plain rows, before
     anything is joined to them.  The width is halved until the fullest bucket,
-    taken as evenly filled, fits.
+    taken as evenly filled, fits.  When the whole frame fits (a count that file
+    footers answer) nothing is aggregated.
     """
+    if df.count() <= max_rows:
+        return start
     fullest = (
         df.groupBy(*keys, _bucket(F.col(ts), start).alias("_b"))
         .agg(F.count(F.lit(1)).alias("n"))

@@ -73,6 +73,17 @@ def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Let all cores work on a scan that has fewer tasks than there are cores.
+
+    A small file is one task, and costly expressions over it would run on one
+    core.  A scan with enough tasks, as any large table has, is returned as it
+    is, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only when it is proven to hold at most ``max_rows`` rows.
 

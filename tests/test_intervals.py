@@ -103,6 +103,7 @@ def test_bucket_width_follows_the_busiest_key(spark):
         F.when(F.col("id") < 400, "hot").otherwise(F.col("id").cast("string")).alias("k"),
         F.timestamp_seconds(F.col("id") * 40).alias("t"),
     )
+    assert bucket_width(df, ["k"], "t", max_rows=1000, start=43200) == 43200
     assert bucket_width(df, ["k"], "t", max_rows=400, start=43200) == 43200
     assert bucket_width(df, ["k"], "t", max_rows=100, start=43200) == 10800
     assert bucket_width(df, ["k"], "t", max_rows=1, start=43200) == 84
