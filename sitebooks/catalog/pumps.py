@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sitebooks.catalog.registry import TX_MARKERS, TX_SQL, plain_ts, query, table, tx
-from sitebooks.operators.intervals import bucket_width
 from sitebooks.plans import matching, pumps, sizing
 
 # The same steps as SQL: pump set per grade, product class, then the overlap
@@ -60,8 +59,7 @@ _COUNTING = ("transactionStartTime", "transactionEndTime", "class_no", "reach")
 def _ongoing(spark, sf_dir, columns=sizing.INPUT):
     """Counts with buckets as narrow as the busiest site of the data needs."""
     rows = tx(spark, sf_dir)
-    width = bucket_width(rows, ["PartitionKey", "GlobalSiteId"], "transactionStartTime")
-    return pumps.ongoing_counts(_relevant(rows).select(*columns, *_COUNTING), width)
+    return pumps.ongoing_counts(_relevant(rows).select(*columns, *_COUNTING))
 
 
 def _set_text(df):
@@ -414,3 +412,24 @@ def match_transactions(spark, sf_dir):
         F.col("SALES_QUANTITY").cast("double").alias("qty"),
         F.col("TRANSACTION_HOUR").alias("hr"),
     )
+
+
+_YEARS = (2023, 2024)
+
+
+@query(
+    "clean_transactions",
+    f"""WITH {TX_SQL}
+       SELECT event_id, site, pump, qty FROM tx WHERE year(start_ts) BETWEEN {_YEARS[0]} AND {_YEARS[1]}""",
+)
+def clean_transactions(spark, sf_dir):
+    """Every transaction arrives twice and is kept once; years outside the range go."""
+    rows = tx(spark, sf_dir)
+    empty = {c: F.lit(None).cast("string") for c in pumps.SAME_TRANSACTION if c not in rows.columns}
+    rows = rows.withColumns({**empty, "transactionNumber": F.col("event_id").cast("string")})
+    return pumps.cleaned(rows.unionByName(rows), *_YEARS).select(
+        "event_id",
+        F.col("GlobalSiteId").alias("site"),
+        F.col("pumpNumber").alias("pump"),
+        F.col("SALES_QUANTITY").alias("qty"),
+    )

@@ -14,9 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Width of a time bucket.  It only balances work: narrower buckets split a hot
-#: key further, wider ones repeat fewer intervals.
-BUCKET_SECONDS = 12 * 3600
+#: Width of a time bucket.  It only balances work: a key's stream is split at
+#: bucket ends, and narrower buckets split a hot key further.
+BUCKET_SECONDS = 900
 
 
 def _bucket(ts: Column, seconds: int) -> Column:
@@ -36,36 +36,6 @@ def _all_known(*names: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
 
 
-def bucket_width(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    max_rows: int = 2_000_000,
-    start: int = BUCKET_SECONDS,
-    narrowest: int = 60,
-) -> int:
-    """Bucket width in seconds at which the fullest bucket of a key stays within ``max_rows``.
-
-    Runs one small aggregate: rows per key and bucket are counted on the map side
-    and only the largest count reaches the driver.  Give it the plain rows, before
-    anything is joined to them.  The width is halved until the fullest bucket,
-    taken as evenly filled, fits.  When the whole frame fits (a count that file
-    footers answer) nothing is aggregated.
-    """
-    if df.count() <= max_rows:
-        return start
-    fullest = (
-        df.groupBy(*keys, _bucket(F.col(ts), start).alias("_b"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.max("n"))
-        .first()[0]
-    ) or 0
-    width = start
-    while fullest > max_rows and width > narrowest:
-        width, fullest = width // 2, fullest / 2
-    return max(width, narrowest)
-
-
 def match_nearest(
     left: DataFrame,
     right: DataFrame,
@@ -83,15 +53,20 @@ def match_nearest(
     a null instant), so one call yields the match and the anti-match.
 
     A left row sits in one time bucket; a right row is offered to every bucket its
-    reach extends into, so a left row sees all right rows within the tolerance.
+    reach extends into (three at most), so a left row sees all right rows within
+    the tolerance.  Rows that cannot match are spread over buckets by a hash, so
+    that the left side is read once and null keys are no hot key.
     """
     width = max(bucket_seconds, seconds)
     reach_by = F.make_dt_interval(secs=F.lit(seconds))
     usable = _all_known(*keys, left_ts)
     payload = packed(left)
-    probes = left.where(usable).select(
+    plain = [F.col(f.name) for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+    probes = left.select(
         *keys,
-        _bucket(F.col(left_ts), width).alias("_b"),
+        F.when(usable, _bucket(F.col(left_ts), width))
+        .otherwise(F.pmod(F.xxhash64(*plain), F.lit(1 << 16)))
+        .alias("_b"),
         F.col(left_ts).alias("_t"),
         F.lit(1).alias("_kind"),
         F.lit(None).cast("timestamp").alias("_ref"),
@@ -132,7 +107,7 @@ def match_nearest(
     )
     micros = seconds * 1_000_000
     reach = lambda ref: F.abs(F.unix_micros(F.col("_t").cast("timestamp")) - F.unix_micros(ref))
-    found = (
+    return (
         stream.withColumn("_before", before)
         .withColumn("_after", after)
         .where("_kind = 1")
@@ -148,64 +123,57 @@ def match_nearest(
         )
         .select(F.inline("_row"), out)
     )
-    rest = left.where(~usable).withColumn(out, F.lit(None).cast("timestamp"))
-    return found.unionByName(rest)
-
-
-def cut_to_buckets(
-    df: DataFrame, start: str, end: str, live: Column, bucket_seconds: int
-) -> DataFrame:
-    """One copy of each interval per time bucket it covers.
-
-    Adds the bucket ``_b``, the buckets ``_first`` and ``_last`` of start and end,
-    and ``_live``.  A row that is not live keeps one
-    copy, in the bucket of its start.
-    """
-    first, last = _bucket(F.col(start), bucket_seconds), _bucket(F.col(end), bucket_seconds)
-    return df.select(
-        "*",
-        live.alias("_live"),
-        first.alias("_first"),
-        F.when(live, last).otherwise(first).alias("_last"),
-    ).select("*", F.explode(F.sequence("_first", "_last")).alias("_b"))
 
 
-def interval_steps(start: str, end: str, bucket_seconds: int) -> list[Column]:
-    """The steps of one interval copy within its bucket, null where there is none.
+def interval_steps(start: str, end: str, live: Column) -> list[Column]:
+    """The two steps of an interval, null where it is not ``live``.
 
-    A step is ``(_t, _kind, _sign)``.  An interval that began in an earlier
-    bucket opens at the bucket's start, before anything asked there (kind -1);
-    otherwise steps follow what is asked at the same instant (kind 1).
+    A step is ``(_t, _kind, _sign)``: one up at the start, one down at the end,
+    whatever lies between.  Steps follow what is asked at the same instant.
     """
-    begins_here = F.col("_b") == F.col("_first")
-    bucket_start = F.timestamp_micros(
-        (F.col("_b") * (bucket_seconds * 1_000_000)).cast("long")
+    step = lambda at, sign: F.struct(
+        F.col(at).alias("_t"), F.lit(1).alias("_kind"), F.lit(sign).alias("_sign")
     )
-    opening = F.struct(
-        F.when(begins_here, F.col(start)).otherwise(bucket_start).alias("_t"),
-        F.when(begins_here, 1).otherwise(-1).alias("_kind"),
-        F.lit(1).alias("_sign"),
-    )
-    closing = F.struct(
-        F.col(end).alias("_t"), F.lit(1).alias("_kind"), F.lit(-1).alias("_sign")
-    )
-    ends_here = F.col("_b") == F.col("_last")
-    return [F.when(F.col("_live"), opening), F.when(F.col("_live") & ends_here, closing)]
+    return [F.when(live, step(start, 1)), F.when(live, step(end, -1))]
 
 
-def running_counts(stream: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+def running_counts(
+    stream: DataFrame, keys: Sequence[str], names: Sequence[str], bucket_seconds: int = BUCKET_SECONDS
+) -> DataFrame:
     """Answer the questions of a step stream.
 
-    The stream has the keys, ``_b``, ``_t``, ``_kind``, one column of signed
-    steps per name and ``_row``, which holds the asking row (kind 0) or null.
+    The stream has the keys, ``_t``, ``_kind``, one column of signed steps per
+    name and ``_row``, which holds the asking row (kind 0) or null.
+
+    It is cut into time buckets.  The steps of each bucket are summed before the
+    shuffle, and the running sum of these few sums is what is open when a bucket
+    begins (its carry); it joins the bucket's stream as a first row.  So the
+    cost does not depend on how long intervals are, and the buckets of a hot key
+    are worked on apart.  Questions without a time are told 0.
     """
+    cut = stream.withColumn("_b", _bucket(F.col("_t"), bucket_seconds))
+    sums = cut.groupBy(*keys, "_b").agg(*[F.sum(n).alias(n) for n in names])
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        sums.select(*keys, "_b", *[F.sum(n).over(earlier).alias(n) for n in names])
+        .where(reduce(lambda a, b: a | b, [F.col(n) != 0 for n in names]))
+        .select(
+            *keys,
+            "_b",
+            F.lit(None).cast("timestamp").alias("_t"),
+            F.lit(-1).alias("_kind"),
+            *names,
+            F.lit(None).cast(stream.schema["_row"].dataType).alias("_row"),
+        )
+    )
     so_far = (
         Window.partitionBy("_b", *keys)
         .orderBy("_t", "_kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        stream.select("_kind", "_row", *[F.sum(n).over(so_far).alias(f"_n_{n}") for n in names])
+        cut.unionByName(carry)
+        .select("_kind", "_row", *[F.sum(n).over(so_far).alias(f"_n_{n}") for n in names])
         .where("_kind = 0")
         .select(F.inline("_row"), *[F.col(f"_n_{n}").alias(n) for n in names])
     )
@@ -229,32 +197,27 @@ def open_counts(
     after they start are never open; null keys never match.
 
     Sweep line: an interval adds its weight at ``start`` and takes it back after
-    ``end``, and a probe reads the running sum.  An interval is repeated in every
-    time bucket it covers, so buckets do not depend on each other; make them
-    longer than the usual interval.
+    ``end``, and a probe reads the running sum (:func:`running_counts`).
     """
     live = F.coalesce(_all_known(*keys) & (F.col(start) < F.col(end)), F.lit(False))
     steps = (
-        cut_to_buckets(intervals.where(live), start, end, F.lit(True), bucket_seconds)
-        .withColumn("_step", F.explode(F.array(*interval_steps(start, end, bucket_seconds))))
+        intervals.withColumn("_step", F.explode(F.array(*interval_steps(start, end, live))))
         .where("_step IS NOT NULL")
         .select(
             *keys,
-            "_b",
-            "_step._t",
+            F.col("_step._t").cast("timestamp").alias("_t"),
             "_step._kind",
             *[(F.col(w) * F.col("_step._sign")).cast("long").alias(n) for n, w in weights.items()],
         )
     )
     asked = probes.select(
         *keys,
-        _bucket(F.col(at), bucket_seconds).alias("_b"),
-        F.col(at).alias("_t"),
+        F.col(at).cast("timestamp").alias("_t"),
         F.lit(0).alias("_kind"),
         *[F.lit(0).cast("long").alias(n) for n in weights],
         packed(probes).alias("_row"),
     )
     no_row = F.lit(None).cast(asked.schema["_row"].dataType)
     return running_counts(
-        asked.unionByName(steps.withColumn("_row", no_row)), keys, list(weights)
+        asked.unionByName(steps.withColumn("_row", no_row)), keys, list(weights), bucket_seconds
     )

@@ -8,9 +8,12 @@ are carried along.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sitebooks.functions.calendar import in_years
 from sitebooks.functions.codes import (
     DEFAULT_PRODUCT_CLASS,
     SPECIAL_PRODUCT_MARKERS,
@@ -19,15 +22,21 @@ from sitebooks.functions.codes import (
 from sitebooks.operators.aggregates import value_set
 from sitebooks.operators.intervals import (
     BUCKET_SECONDS,
-    cut_to_buckets,
     interval_steps,
     packed,
     running_counts,
 )
 from sitebooks.operators.joins import null_safe_join
+from sitebooks.operators.windows import dedupe
 
 SITE = ["PartitionKey", "GlobalSiteId", "SiteId"]
 GRADE = [*SITE, "additionalProductInfo", "productCode"]
+# Columns in which copies of a transaction agree.
+SAME_TRANSACTION = (
+    "SiteId", "deviceID", "additionalProductInfo", "productCode", "pumpNumber", "nozzleNumber",
+    "SALES_QUANTITY", "counterReading", "transactionStartTime", "transactionEndTime",
+    "deliveryType", "lubricantQuantity", "transactionNumber", "transactionStatus",
+)
 FLAG = "mogas_diesel_non_truck_flag"
 FLAG_PUMPS = "number_of_relevant_pumps_mogas_diesel_non_truck_aggregated"
 COUNTS = ("txn_ongoing_actual", "txn_ongoing_potential", "txn_ongoing_mogas_diesel_combined")
@@ -116,6 +125,20 @@ def with_relevance(tx: DataFrame, profiles: DataFrame, mix_grades: bool = False)
     return null_safe_join(own, by_product, per_product, "left")
 
 
+def cleaned(
+    tx: DataFrame, first_year: int, last_year: int, columns: Sequence[str] = SAME_TRANSACTION
+) -> DataFrame:
+    """Transactions of the years (both included), one of each set of copies.
+
+    Copies agree in the 14 columns of :data:`SAME_TRANSACTION`; the one with the
+    smallest other columns stays.  The years are a range on the start time, so
+    they reach the scan.
+    """
+    rest = [F.col(f.name) for f in tx.schema.fields if f.name not in columns and "map<" not in f.dataType.simpleString()]
+    kept = tx.where(in_years(F.col("transactionStartTime"), first_year, last_year))
+    return dedupe(kept, list(columns), [c.asc_nulls_last() for c in rest] or [F.lit(0)])
+
+
 def pump_summary(tx: DataFrame, site_master: DataFrame | None = None) -> DataFrame:
     """Volume and number of transactions per site, grade and pump."""
     out = tx.groupBy(
@@ -141,7 +164,8 @@ def ongoing_counts(
     Another transaction is open when it started earlier and ends at or after the
     start; transactions starting together do not see each other.  Three counts:
     on a pump relevant for this grade (actual), of a grade sharing a pump
-    (potential), of the same product class (combined).
+    (potential), of the same product class (combined).  A transaction without a
+    start or a site is kept and told 0.
 
     A transaction is announced to every class of its site that it counts for and
     asks only in its own, so no two transactions are ever paired.  Announcements
@@ -161,25 +185,24 @@ def ongoing_counts(
         *place,
         start,
         end,
+        live.alias("_live"),
         F.coalesce("class_no", F.lit(0)).alias("_own"),
         packed(rows.drop("reach", "class_no")).alias("_row"),
         # A row without a profile still asks, and is told 0.
         F.explode(F.coalesce("reach", F.array(F.lit(0)))).alias("_code"),
     ).withColumn("class_no", F.shiftright(code, 3))
-    asks = (F.col("class_no") == F.col("_own")) & (F.col("_b") == F.col("_first"))
+    asks = F.col("class_no") == F.col("_own")
     question = F.struct(
         F.col(start).alias("_t"), F.lit(0).alias("_kind"), F.lit(0).alias("_sign")
     )
-    steps = [*interval_steps(start, end, bucket_seconds), F.when(asks, question)]
+    steps = [*interval_steps(start, end, F.col("_live")), F.when(asks, question)]
     sign = F.col("_step._sign")
     stream = (
-        cut_to_buckets(told, start, end, live, bucket_seconds)
-        .withColumn("_step", F.explode(F.array(*steps)))
+        told.withColumn("_step", F.explode(F.array(*steps)))
         .where("_step IS NOT NULL")
         .select(
             *place,
             "class_no",
-            "_b",
             "_step._t",
             "_step._kind",
             (F.shiftright(code, 2).bitwiseAND(1) * sign).alias(COUNTS[0]),
@@ -188,7 +211,7 @@ def ongoing_counts(
             F.when(F.col("_step._kind") == 0, F.col("_row")).alias("_row"),
         )
     )
-    out = running_counts(stream, [*place, "class_no"], COUNTS)
+    out = running_counts(stream, [*place, "class_no"], COUNTS, bucket_seconds)
     if not merge_equal:
         return out
     return out.groupBy(

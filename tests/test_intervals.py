@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sitebooks.operators.intervals import bucket_width, match_nearest, open_counts
+from sitebooks.operators.intervals import match_nearest, open_counts
 from sitebooks.operators.joins import overlap_join, tolerance_join
 from tests.conftest import rows
 
@@ -98,14 +98,23 @@ def test_overlap_edges(spark):
     assert count((0, 5000), (4999, 5001)) == [0, 1]  # spans several buckets
 
 
-def test_bucket_width_follows_the_busiest_key(spark):
-    df = spark.range(1000).select(
-        F.when(F.col("id") < 400, "hot").otherwise(F.col("id").cast("string")).alias("k"),
-        F.timestamp_seconds(F.col("id") * 40).alias("t"),
+def test_intervals_of_centuries_cost_two_steps(spark):
+    df = spark.createDataFrame(
+        [(1, "x", dt.datetime(1500, 1, 1), dt.datetime(2500, 1, 1)), (2, "x", T0, minute(1)), (3, "x", None, T0), (4, None, T0, minute(9))],
+        "id int, k string, s timestamp, e timestamp",
+    ).withColumn("one", F.lit(1))
+    out = open_counts(df, df, ["k"], "s", "s", "e", {"n": "one"}, 60)
+    assert rows(out, "id", "n") == [(1, 0), (2, 1), (3, 0), (4, 0)]
+
+
+def test_a_hot_key_is_cut_into_buckets(spark):
+    df = spark.range(6000).select(
+        F.col("id").cast("int").alias("id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        F.timestamp_seconds(F.lit(1700000000) + F.col("id")).alias("s"),
+        F.timestamp_seconds(F.lit(1700000000) + F.col("id") + 3000).alias("e"),
+        F.lit(1).alias("one"),
     )
-    assert bucket_width(df, ["k"], "t", max_rows=1000, start=43200) == 43200
-    assert bucket_width(df, ["k"], "t", max_rows=400, start=43200) == 43200
-    assert bucket_width(df, ["k"], "t", max_rows=100, start=43200) == 10800
-    assert bucket_width(df, ["k"], "t", max_rows=1, start=43200) == 84
-    assert bucket_width(df, ["k"], "t", max_rows=1, start=43200, narrowest=600) == 600
-    assert bucket_width(df.limit(0), ["k"], "t") == 43200
+    got = dict(rows(open_counts(df, df, ["k"], "s", "s", "e", {"n": "one"}, 300), "id", "n"))
+    assert all(got[i] == (min(i // 3, 1000) if i % 3 == 0 else 0) for i in range(6000))
+

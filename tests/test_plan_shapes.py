@@ -29,4 +29,5 @@ def test_latest_row_is_limited_before_the_shuffle(spark, sf_dir):
 def test_ongoing_counts_shuffle_the_rows_once(spark, sf_dir):
     plan = QUERIES["ongoing_counts"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
-    assert plan.count("Exchange hashpartitioning") == 3  # grade totals (2, small), then the steps
+    rows = [line for line in plan.splitlines() if "Exchange hashpartitioning(_b" in line]
+    assert len(rows) == 1  # the rows themselves; grade totals and the sums of buckets are small
