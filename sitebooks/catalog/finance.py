@@ -10,6 +10,7 @@ from sitebooks.catalog.registry import query, table
 from sitebooks.catalog.summaries import _PIVOT_SQL, wide_months
 from sitebooks.functions.calendar import MONTHS
 from sitebooks.plans import assets, budget, fx, retention
+from sitebooks.schemas import schema
 
 
 def raw_rates(spark, sf_dir):
@@ -254,7 +255,7 @@ def cost_centre_load(spark, sf_dir):
         .otherwise(F.col("o_orderstatus"))
         .alias("Indicator"),
     )
-    out = assets.load_cost_centre_sites(feed, feed, dt.date(2024, 3, 31), reload_all=True)
+    out = assets.load_cost_centre_sites(feed, feed, dt.date(2024, 3, 31), reload_all=True, optional=schema("cost_centre_site").fieldNames())
     return out.select("FISCAL_PERIOD", "Cost_Center", "Company_Code", "Indicator")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sitebooks.catalog.registry import PLAN_SQL, plan_lines, query, table
 from sitebooks.plans import estimate, planning, publish, staging
 from sitebooks.runtime import materialise
+from sitebooks.schemas import schema
 
 RUN = dt.date(2000, 6, 15)
 _FY_SQL = """
@@ -209,7 +210,7 @@ def actuals_replace(spark, sf_dir):
         F.col("Plan_Amount_USD").alias("LE_USD_AMOUNT"),
         null.alias("AUTO_RENEWAL_INDICATOR"),
     )
-    return estimate.replace_with_actuals(estimates, actuals, 2000, run_date=RUN).select(
+    return estimate.replace_with_actuals(estimates, actuals, 2000, run_date=RUN, optional=schema("estimate_with_actuals").fieldNames()).select(
         "LE_ACT", "COMPANY_CODE", "LEASE_CLASSIFICATION_CODE", "KPI_TYPE_TEXT", "SITE_ID",
         "NO_MONTH", "LE_AMOUNT", "LE_USD_AMOUNT", "LE_Type_Code", "TRANSACTION_ID",
     )

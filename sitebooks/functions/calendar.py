@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Month labels in calendar order.
 MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
+FULL_MONTHS = (
+    "JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY", "JUNE", "JULY", "AUGUST", "SEPTEMBER",
+    "OCTOBER", "NOVEMBER", "DECEMBER",
+)
 
 
 def month_number(label: Column) -> Column:
-    """1..12 for a month label in any case (first three letters count), else null."""
-    key = F.upper(F.substring(F.trim(label), 1, 3))
-    table = F.create_map(*[F.lit(v) for i, m in enumerate(MONTHS, 1) for v in (m, i)])
-    return F.try_element_at(table, key)
+    """1..12 for a short or full month name in any case, else null."""
+    numbers = {name: i for names in (FULL_MONTHS, MONTHS) for i, name in enumerate(names, 1)}
+    table = F.create_map(*[F.lit(v) for pair in numbers.items() for v in pair])
+    return F.try_element_at(table, F.upper(F.trim(label)))
 
 
 def month_label(number: Column) -> Column:
@@ -55,6 +61,12 @@ def in_years(ts: Column, first: int, last: int) -> Column:
     return (ts >= F.lit(dt.date(first, 1, 1))) & (ts < F.lit(dt.date(last + 1, 1, 1)))
 
 
+def on_days(ts: Column, days: Sequence[dt.date]) -> Column:
+    """``ts`` falls on one of the days, as ranges that reach the scan."""
+    ranges = [(ts >= F.lit(d)) & (ts < F.lit(d + dt.timedelta(days=1))) for d in days]
+    return reduce(lambda a, b: a | b, ranges, F.lit(False))
+
+
 def last_complete_years(ts: Column, run_date: dt.date, years: int = 2) -> Column:
     """``ts`` falls in the ``years`` calendar years before the run date's year."""
     return in_years(ts, run_date.year - years, run_date.year - 1)

@@ -26,7 +26,7 @@ DEFAULT_PRODUCT_CLASS = "Mogas / non-truck diesel"
 
 def strip_zero_pair(code: Column) -> Column:
     """Drop one leading ``00`` from a code; other codes are unchanged."""
-    return F.when(code.startswith("00"), F.substring(code, 3, 1000)).otherwise(code)
+    return F.when(code.startswith("00"), F.substr(code, F.lit(3))).otherwise(code)
 
 
 def is_blank(code: Column) -> Column:

@@ -40,20 +40,25 @@ def drop_all(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.drop(*names)
 
 
-def conform(df: DataFrame, schema: StructType, fill_missing: bool = True) -> DataFrame:
+def conform(
+    df: DataFrame, schema: StructType, optional: Sequence[str] = (), lenient: bool = False
+) -> DataFrame:
     """Columns of ``schema`` by name, in its order, cast to its types.
 
-    Missing columns become typed nulls; values that cannot be cast become null.
+    A column may be missing only if it is named in ``optional``; it is then a
+    typed null.  A value that cannot be cast fails the job, unless ``lenient``
+    turns it to null.
     """
+    may_lack = {name.lower() for name in optional}
     have = {c.lower(): c for c in df.columns}
     out = []
     for field in schema.fields:
         source = have.get(field.name.lower())
-        if source is None and not fill_missing:
+        if source is None and field.name.lower() not in may_lack:
             raise ValueError(f"column {field.name} is missing")
         column = F.lit(None) if source is None else F.col(f"`{source}`")
         if source is None or df.schema[source].dataType != field.dataType:
-            column = column.try_cast(field.dataType)
+            column = column.try_cast(field.dataType) if lenient else column.cast(field.dataType)
         out.append(column.alias(field.name))
     return df.select(*out)
 

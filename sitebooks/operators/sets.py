@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,9 +11,17 @@ from pyspark.sql.types import StructType
 from sitebooks.operators.project import conform
 
 
-def union_all(frames: Iterable[DataFrame], schema: StructType | None = None) -> DataFrame:
-    """UNION ALL by name; with ``schema`` every branch is cast to it first."""
-    frames = [conform(f, schema) if schema is not None else f for f in frames]
+def union_all(
+    frames: Iterable[DataFrame], schema: StructType | None = None, optional: Sequence[str] = ()
+) -> DataFrame:
+    """UNION ALL by name; with ``schema`` every branch is cast to it first.
+
+    A column of the schema may be missing in some branches; in all only if ``optional``.
+    """
+    frames = list(frames)
+    if schema is not None:
+        known = [c for f in frames for c in f.columns]
+        frames = [conform(f, schema, optional=[*known, *optional]) for f in frames]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,12 +69,16 @@ def load_tax_rates(feed: DataFrame, target: DataFrame, run_date: dt.date) -> Dat
 
 
 def load_cost_centre_sites(
-    feed: DataFrame, target: DataFrame, run_date: dt.date, reload_all: bool = False
+    feed: DataFrame,
+    target: DataFrame,
+    run_date: dt.date,
+    reload_all: bool = False,
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """Cost-centre mapping rows with the previous fiscal period; bad indicators blanked.
 
     ``reload_all=True`` ignores the watermark, so that every run returns the
-    whole feed again.
+    whole feed again.  ``optional`` columns of the contract may be missing.
     """
     rows = rename(feed.distinct(), {"Ingestion_Revision_Date": "CREATE_DATE"})
     if not reload_all:
@@ -81,4 +86,4 @@ def load_cost_centre_sites(
         rows = newer_than(rows, "CREATE_DATE", mark, FIRST_WATERMARK)
     rows = rows.withColumn("FISCAL_PERIOD", fiscal_period(F.lit(run_date)))
     rows = conditional_update(rows, "Indicator", F.col("Indicator") == BAD_INDICATOR, "")
-    return conform(rows, schema("cost_centre_site"))
+    return conform(rows, schema("cost_centre_site"), optional)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,13 +98,15 @@ def replace_with_actuals(
     cutoffs: dict[str, int] | None = None,
     relabel_other_years: bool = False,
     run_date: dt.date | None = None,
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """All estimate rounds of a year with their past months taken from actuals.
 
     Round ``LEn`` holds actuals up to its cut-off month and estimates after it;
     the respective other months are present with amount 0.  A round with cut-off
     0 is the estimate unchanged.  Equal rows of a round with actuals collapse
-    into one, those of a round without actuals do not.
+    into one, those of a round without actuals do not.  ``optional`` columns of
+    the target may be missing in the inputs.
     """
     cutoffs = cutoffs or CUTOFFS
     cut_of = F.create_map(*[F.lit(v) for kv in cutoffs.items() for v in kv])
@@ -151,7 +154,7 @@ def replace_with_actuals(
 
     def shaped(df: DataFrame) -> DataFrame:
         df = df.withColumn("LE_ACTUAL_PLAN1", F.lit("LE"))
-        return conform(df.withColumn("CREATE_DATE", day).withColumn("UPDATE_DATE", day), target)
+        return conform(df.withColumn("CREATE_DATE", day).withColumn("UPDATE_DATE", day), target, optional)
 
     plain = shaped(planned.where("_cut = 0"))
     mixed = shaped(planned.where("_cut > 0")).unionByName(shaped(booked)).distinct()

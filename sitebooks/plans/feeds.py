@@ -34,10 +34,13 @@ CASH_CAPEX_NAMES = {
 
 
 def combine(
-    frames: Sequence[DataFrame], target: StructType, names: dict[str, str] | None = None
+    frames: Sequence[DataFrame],
+    target: StructType,
+    names: dict[str, str] | None = None,
+    optional: Sequence[str] = (),
 ) -> DataFrame:
-    """Rename, cast to the target by name and union; a missing column becomes null."""
-    return union_all([rename(f, names or {}) for f in frames], target)
+    """Rename, cast to the target by name and union; a column that some frames lack is null there."""
+    return union_all([rename(f, names or {}) for f in frames], target, optional)
 
 
 def period_feed(
@@ -48,13 +51,14 @@ def period_feed(
     month: int,
     target: StructType,
     names: dict[str, str] | None = None,
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """One month of a feed over all countries and restricted roots, as the target schema.
 
-    Check the result with ``require_rows`` where an empty month is an error.
+    A renamed or missing column fails unless it is ``optional``.  Check the result with ``require_rows`` where an empty month is an error.
     """
     df = read_period(spark, roots, countries, year, month, merge_schema=True, schema=None)
-    return conform(rename(df, names or {}), target)
+    return conform(rename(df, names or {}), target, optional)
 
 
 def history_feed(
@@ -63,7 +67,8 @@ def history_feed(
     target: StructType,
     names: dict[str, str] | None = None,
     pattern: str = "*/*/*/*.parquet",
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """The whole history of a feed over all its roots, exact copies removed."""
     df = read_feed(spark, roots, pattern, merge_schema=True, skip_missing=True)
-    return conform(rename(df, names or {}), target).distinct()
+    return conform(rename(df, names or {}), target, optional).distinct()

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitebooks.functions.calendar import on_days
 from sitebooks.operators.project import conform, project
 from sitebooks.schemas import schema
 
@@ -77,6 +78,9 @@ OPEX_PLAN_NAMES = {
 PAYMENT_FLOW_TYPES = ("Q20", "Q24")
 PROFIT_CENTRES = (800001, 800002, 800003, 800004, 800005, 800006, 800007)
 
+# Columns of the curated estimates that no staging load fills.
+UNSTAGED = ("LEASE_START_DATE", "LEASE_EXPIRY_DATE",)
+
 
 def stage_actuals(raw: DataFrame) -> DataFrame:
     """Raw actuals under curated names."""
@@ -115,13 +119,16 @@ def payment_actuals(
 ) -> DataFrame:
     """Distinct payment bookings of the accepted loads."""
     kept = staged.where(
-        F.to_date("CREATE_DATE").isin(list(load_dates))
+        on_days(F.col("CREATE_DATE"), load_dates)
         & F.col("FLOW_TYPE_CODE").isin(list(flow_types))
         & F.col("PROFIT_CENTER").isin(list(profit_centres))
     )
     return conform(kept, schema("actual")).distinct()
 
 
-def curated_estimates(staged: DataFrame) -> DataFrame:
-    """Estimates in the curated layout, columns matched by name."""
-    return conform(staged, schema("estimate"))
+def curated_estimates(staged: DataFrame, optional: Sequence[str] = UNSTAGED) -> DataFrame:
+    """Estimates in the curated layout, columns matched by name.
+
+    ``optional`` columns may be missing; by default those that no staging load fills.
+    """
+    return conform(staged, schema("estimate"), optional)

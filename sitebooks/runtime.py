@@ -1,4 +1,4 @@
-"""Session settings, scratch space and size-checked broadcasting."""
+"""Session settings and scratch space."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Settings every job relies on for right results (zone) or scale (adaptive
 #: execution).  Adaptive execution is on by default in Spark 4; the skew-join
@@ -71,26 +70,3 @@ def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Let all cores work on a scan that has fewer tasks than there are cores.
-
-    A small file is one task, and costly expressions over it would run on one
-    core.  A scan with enough tasks, as any large table has, is returned as it
-    is, so nothing is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it is proven to hold at most ``max_rows`` rows.
-
-    The proof is a bounded count (it stops after ``max_rows + 1`` rows).  A
-    larger frame is returned without a hint, so Spark shuffles the join and
-    adaptive execution may still split skewed partitions.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

@@ -38,6 +38,17 @@ def test_fiscal_period_is_the_previous_month(spark):
     assert one(spark, calendar.fiscal_period(F.col("d")), d=F.lit(dt.date(2024, 3, 31))) == "002.2024"
 
 
+def test_month_names_only(spark):
+    labels = [("June",), (" jun ",), ("JUNK",), ("MARGIN",), ("September",), ("",), (None,)]
+    df = spark.createDataFrame(labels, "m string")
+    assert [r[0] for r in df.select(calendar.month_number(F.col("m"))).collect()] == [6, 6, None, None, 9, None, None]
+
+
+def test_long_codes_stay_whole(spark):
+    df = spark.createDataFrame([("00" + "7" * 1500,)], "c string")
+    assert df.select(codes.strip_zero_pair(F.col("c"))).first()[0] == "7" * 1500
+
+
 def test_months_both_ways(spark):
     df = spark.createDataFrame([("Jan",), ("DEC ",), ("september",), ("FY",), (None,)], "m string")
     number = calendar.month_number(F.col("m"))

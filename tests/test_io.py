@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sitebooks.plans import feeds, site_info
-from sitebooks.runtime import broadcast_within, materialise, scratch_dir, spread
+from sitebooks.runtime import materialise, scratch_dir
 from sitebooks.schemas import schema
 from sitebooks.sources import files, sinks, tables
 from sitebooks.streaming.catch_up import ingest_new_files
@@ -24,19 +24,6 @@ def test_materialise_cuts_the_lineage(spark):
     assert df.count() == 5 and "Range" not in df._jdf.queryExecution().toString()
 
 
-def test_broadcast_only_within_the_bound(spark):
-    small = spark.range(10)
-    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-    assert hinted(broadcast_within(small, 10)) and not hinted(broadcast_within(small, 9))
-
-
-def test_only_scans_with_few_tasks_are_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, cores + 1)
-    assert spread(many) is many
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
-
-
 def test_period_feed_in_plain_directories(spark, tmp_path):
     for country, month, data in (("NL", "03", [(1, "a")]), ("DE", "03", [(2, "b")]), ("DE", "04", [(3, "c")])):
         spark.createDataFrame(data, "Code int, Text string").write.parquet(f"{tmp_path}/{country}/2024/{month}")
@@ -60,7 +47,9 @@ def test_period_feed_in_plain_directories(spark, tmp_path):
 
 def test_cash_capex_names(spark):
     raw = spark.createDataFrame([("NL", 7, "x")], "Country string, `Country Code` int, `Amount @PlanRate` string")
-    out = feeds.combine([raw], schema("cash_capex"), feeds.CASH_CAPEX_NAMES)
+    out = feeds.combine([raw], schema("cash_capex"), feeds.CASH_CAPEX_NAMES, schema("cash_capex").fieldNames())
+    with pytest.raises(ValueError):
+        feeds.combine([raw], schema("cash_capex"), feeds.CASH_CAPEX_NAMES)
     assert rows(out, "Country_Name", "Country_Code", "PlanRate") == [("NL", "7", "x")]
 
 

@@ -10,11 +10,14 @@ from tests.conftest import rows
 
 def test_conform_casts_and_fills(spark):
     df = spark.createDataFrame([("7", 1.5), ("x", 2.5)], "Code string, extra double")
-    out = project.conform(df, StructType.fromDDL("code int, missing string"))
+    target = StructType.fromDDL("code int, missing string")
+    out = project.conform(df, target, optional=["Missing"], lenient=True)
     assert out.schema.simpleString() == "struct<code:int,missing:string>"
     assert rows(out) == [(None, None), (7, None)]
     with pytest.raises(ValueError):
-        project.conform(df, StructType.fromDDL("gone int"), fill_missing=False)
+        project.conform(df, target)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        project.conform(df, target, optional=["missing"]).collect()
 
 
 def test_drop_all_refuses_a_bare_string(spark):

@@ -80,10 +80,10 @@ def test_net_book_values(spark):
 
 def test_cost_centres_incremental_or_whole(spark):
     feed = spark.createDataFrame([(TS, "cc", "BAD_DATA"), (TS, "cd", "X")], "Ingestion_Revision_Date timestamp, Cost_Center string, Indicator string")
-    first = assets.load_cost_centre_sites(feed, spark.createDataFrame([], schema("cost_centre_site")), dt.date(2024, 1, 15))
+    first = assets.load_cost_centre_sites(feed, spark.createDataFrame([], schema("cost_centre_site")), dt.date(2024, 1, 15), optional=schema("cost_centre_site").fieldNames())
     assert rows(first, "FISCAL_PERIOD", "Cost_Center", "Indicator") == [("012.2023", "cc", ""), ("012.2023", "cd", "X")]
-    assert assets.load_cost_centre_sites(feed, first, RUN).count() == 0
-    assert assets.load_cost_centre_sites(feed, first, RUN, reload_all=True).count() == 2
+    assert assets.load_cost_centre_sites(feed, first, RUN, optional=first.columns).count() == 0
+    assert assets.load_cost_centre_sites(feed, first, RUN, reload_all=True, optional=first.columns).count() == 2
 
 
 PLAN = "KPI string, Company_Code string, Lease_Classification string, Site_ID string, Lease_ID string, Year int, Month string, Plan_Amount double, Plan_Amount_USD double, Local_Currency string, OP_Submissions string, Transaction_ID string, Legally_Committed string, Auto_Renewal_Y_N string, No_Of_Lease_Sites int"
@@ -161,7 +161,7 @@ def test_estimates_with_actuals(spark):
         {**est, "CALENDAR_MONTH": "JAN", "LE_TYPE_CODE": "LE1", "LE_LC_AMOUNT": 4.0, "LE_USD_AMOUNT": 4.0},
         {**est, "CALENDAR_MONTH": "JUN", "CALENDAR_YEAR": "2023", "LE_LC_AMOUNT": 8.0, "LE_USD_AMOUNT": 8.0},
     ])
-    out = estimate.replace_with_actuals(estimates, actuals, 2024, run_date=RUN)
+    out = estimate.replace_with_actuals(estimates, actuals, 2024, run_date=RUN, optional=schema("estimate_with_actuals").fieldNames())
     assert out.columns == schema("estimate_with_actuals").fieldNames()
     le2 = out.where("LE_ACT = 'LE2_ACT'")
     # cut-off month 3: February from actuals, April's actual zeroed, March's estimate zeroed
@@ -172,7 +172,7 @@ def test_estimates_with_actuals(spark):
     assert out.where("LE_ACT = 'LE1_ACT'").count() == 2  # equal rows stay without actuals
     april = out.where("LE_ACT = 'LE3_ACT' AND LE_AMOUNT <> 0")
     assert rows(april, "NO_MONTH", "LE_AMOUNT") == [(2, 7.0), (4, 9.0)]
-    relabelled = estimate.replace_with_actuals(estimates, actuals, 2024, relabel_other_years=True, run_date=RUN)
+    relabelled = estimate.replace_with_actuals(estimates, actuals, 2024, relabel_other_years=True, run_date=RUN, optional=schema("estimate_with_actuals").fieldNames())
     assert rows(relabelled.where("LE_ACT = 'LE2_ACT' AND NO_MONTH = 1 AND LE_AMOUNT <> 0"), "LE_AMOUNT") == [(50.0,)]
 
 
