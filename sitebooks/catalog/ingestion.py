@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sitebooks.catalog.registry import query, table
 from sitebooks.operators.reshape import explode_structs
 from sitebooks.plans import site_info
 from sitebooks.runtime import scratch_dir
-from sitebooks.sources import files, sinks
+from sitebooks.sources import files, sinks, tables
 from sitebooks.streaming.catch_up import ingest_new_files
 
 
@@ -187,3 +190,42 @@ def stream_catch_up(spark, sf_dir):
     sinks.write_files(ev.where("event_type = 'click'"), source, mode="append")
     ingest_new_files(spark, source, ev.schema, out, state)
     return spark.read.schema(ev.schema).parquet(out)
+
+
+def _order_table(spark) -> tuple[str, str]:
+    """An empty curated table below the shared folder: its name and location."""
+    name, path = f"orders_{uuid.uuid4().hex}", scratch_dir(spark, "orders")
+    columns = "o_orderpriority string, o_orderkey long, o_orderdate timestamp"
+    sinks.create_table(spark, name, StructType.fromDDL(columns), location=path)
+    return name, path
+
+
+@query(
+    "append_by_name",
+    """SELECT o_orderpriority, o_orderkey FROM orders WHERE o_orderstatus <> 'P'""",
+)
+def append_by_name(spark, sf_dir):
+    """A table is refreshed twice, then appended to, from columns in another order."""
+    od = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    od = od.select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    name, path = _order_table(spark)
+    sinks.refresh_table(od.where("o_orderstatus = 'P'"), name)
+    sinks.refresh_table(od.where("o_orderstatus = 'F'"), name)
+    sinks.append_table(od.where("o_orderstatus NOT IN ('F', 'P')"), name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    return tables.read_location(spark, path).select("o_orderpriority", "o_orderkey")
+
+
+@query(
+    "replace_with_newer",
+    """SELECT o_orderpriority, o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) > (
+         SELECT max(CAST(o_orderdate AS DATE)) FROM orders WHERE o_orderdate < DATE '1996-01-01')""",
+)
+def replace_with_newer(spark, sf_dir):
+    """A published table is replaced by what the source has of later days."""
+    od = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    name, path = _order_table(spark)
+    sinks.append_table(od.where("o_orderdate < '1996-01-01'"), name)
+    sinks.replace_with_newer(od, name, "o_orderdate")
+    spark.sql(f"DROP TABLE {name}")
+    return tables.read_location(spark, path).select("o_orderpriority", "o_orderkey")

@@ -79,7 +79,7 @@ PAYMENT_FLOW_TYPES = ("Q20", "Q24")
 PROFIT_CENTRES = (800001, 800002, 800003, 800004, 800005, 800006, 800007)
 
 # Columns of the curated estimates that no staging load fills.
-UNSTAGED = ("LEASE_START_DATE", "LEASE_EXPIRY_DATE",)
+UNSTAGED = ("LEASE_START_DATE", "LEASE_EXPIRY_DATE")
 
 
 def stage_actuals(raw: DataFrame) -> DataFrame:

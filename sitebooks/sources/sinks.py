@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
 from sitebooks.operators.project import conform, stamp
+from sitebooks.sources.tables import published_watermark
 
 MAX_TEXT = 2000
 
@@ -65,6 +67,17 @@ def refresh_table(df: DataFrame, table: str) -> None:
     conform(df, target).write.insertInto(table, overwrite=True)
 
 
+def replace_with_newer(source: DataFrame, table: str, column: str) -> dt.date:
+    """Overwrite a published table with the source rows of later days; returns the old watermark.
+
+    Rows without a date are not newer.  The watermark is read before the table
+    is overwritten, and the source must not be the table itself.
+    """
+    mark = published_watermark(source.sparkSession, table, column)
+    refresh_table(source.where(F.col(column) >= F.lit(mark + dt.timedelta(days=1))), table)
+    return mark
+
+
 def create_table(
     spark: SparkSession,
     name: str,

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Where loading begins when a table is empty, and when there is none.
+EMPTY_WATERMARK, MISSING_WATERMARK = dt.date(1000, 1, 1), dt.date(1001, 1, 1)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -10,6 +16,17 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def published_watermark(spark: SparkSession, name: str, column: str) -> dt.date:
+    """Newest day in a column of a published table, or the first watermarks where there is none.
+
+    Only a missing table is told apart; any other error is raised.
+    """
+    if not spark.catalog.tableExists(name):
+        return MISSING_WATERMARK
+    newest = spark.table(name).agg(F.max(F.to_date(column))).first()[0]
+    return EMPTY_WATERMARK if newest is None else newest
+
+
 def read_location(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A table by location, in any format Spark has on its class path."""
     return spark.read.format(fmt).load(path)

@@ -80,6 +80,21 @@ def test_catalog_tables(spark, tmp_path):
     assert tables.read_location(spark, f"{tmp_path}/audit").count() == 1
 
 
+def test_watermarks_of_published_tables(spark, tmp_path):
+    assert tables.published_watermark(spark, "nowhere", "d") == tables.MISSING_WATERMARK == dt.date(1001, 1, 1)
+    sinks.create_table(spark, "marked", StructType.fromDDL("k int, d date"), location=f"{tmp_path}/m")
+    assert tables.published_watermark(spark, "marked", "d") == tables.EMPTY_WATERMARK == dt.date(1000, 1, 1)
+    day = lambda n: dt.date(2024, 1, n)
+    feed = spark.createDataFrame([(1, day(1)), (2, day(2)), (3, None)], "k int, d date")
+    assert sinks.replace_with_newer(feed, "marked", "d") == dt.date(1000, 1, 1)
+    assert rows(spark.table("marked"), "k") == [(1,), (2,)]
+    more = feed.union(spark.createDataFrame([(4, day(3))], "k int, d date"))
+    assert sinks.replace_with_newer(more, "marked", "d") == day(2)
+    assert rows(spark.table("marked"), "k") == [(4,)]
+    with pytest.raises(Exception, match="nope"):
+        tables.published_watermark(spark, "marked", "nope")
+
+
 def test_partition_overwrite_and_schema_growth(spark, tmp_path):
     path = f"{tmp_path}/p"
     sinks.write_files(spark.createDataFrame([("NL", 1), ("DE", 2)], "c string, v int"), path, partition_by=["c"])
