@@ -95,24 +95,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SHARDS_SQL = f"""
-WITH step AS (SELECT i, i::UBIGINT AS c FROM range(256) t(i)),
-crc AS (
-  SELECT list(c ORDER BY i) AS t FROM (
-    SELECT i, list_reduce(list_prepend(c::BIGINT, range(8)),
-             lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM step)),
-d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(doc_id::VARCHAR, '') AS k FROM documents),
+WITH crc AS (
+  SELECT list(list_reduce([i, 1, 2, 3, 4, 5, 6, 7, 8],
+           lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
+  FROM (SELECT range::BIGINT AS i FROM range(256))),
+d AS (
+  SELECT doc_id, coalesce(text, '') AS body, coalesce(doc_id::VARCHAR, '') AS k FROM documents),
+sized AS (
+  SELECT doc_id, k, strlen(body)::BIGINT + 16 AS size,
+         xor(list_reduce(list_prepend(4294967295::BIGINT,
+               list_transform(regexp_extract_all(hex(body), '..'), lambda x: ('0x' || x)::BIGINT)),
+             lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295::BIGINT) AS text_crc32
+  FROM d, crc),
 claims AS (
-  SELECT doc_id, text, list_transform(range({SHARDS} + 1), lambda s: {{
-      'score': 1.0::DOUBLE / -ln((('0x' || substr(md5(k || ':' || s::VARCHAR), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE),
+  SELECT *, list_transform(range({SHARDS} + 1), lambda s: {{
+      'score': 1.0::DOUBLE / -ln((('0x' || substr(md5(k || ':' || s::VARCHAR), 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE)
+                                 / 4503599627370496.0::DOUBLE),
       'o': -s}}) AS c
-  FROM d),
+  FROM sized),
 won AS (
-  SELECT doc_id, text, (-(list_max(c[1:{SHARDS}]).o))::INTEGER AS shard, (-(list_max(c).o))::INTEGER AS grown_shard FROM claims)
-SELECT doc_id, strlen(text)::BIGINT + 16 AS size,
-       CASE WHEN text = '' THEN 0::BIGINT ELSE
-         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(text), '..'), lambda x: ('0x' || x)::BIGINT)),
-             lambda a, b: xor(a >> 8, (SELECT t FROM crc)[(xor(a, b) & 255) + 1])), 4294967295::BIGINT) END AS text_crc32,
-       'key' AS law, shard, grown_shard
+  SELECT doc_id, size, text_crc32, (-(list_max(c[1:{SHARDS}])).o)::INTEGER AS shard, (-(list_max(c)).o)::INTEGER AS grown_shard,
+         ('0x' || substr(md5(k || ':' || size::VARCHAR || ':' || text_crc32::VARCHAR), 1, 8))::BIGINT % {sharding.PIECES} AS piece
+  FROM claims)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+       row_number() OVER (PARTITION BY shard ORDER BY piece, doc_id, size, text_crc32) - 1 AS slot
 FROM won"""
 
 REPEATS_SQL = r"""
@@ -159,6 +165,7 @@ SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coa
 FROM d LEFT JOIN found USING (doc_id)"""
 
 ORACLE: dict[str, str] = {
+    "op4_rendezvous_shards": SHARDS_SQL,
     "op7_substring_dedup": REPEATS_SQL,
     "op9_decontamination": CONTAMINATION_SQL,
 }

@@ -54,6 +54,9 @@ def assign(
         F.crc32(body.cast("binary")).alias("text_crc32"),
         F.coalesce(F.col(key).cast("string"), F.lit("")).alias("__key"),
     )
+    # Another hash than the claims': the row itself, so that repeated keys spread as well.
+    row = F.concat_ws(":", "__key", "size", "text_crc32")
+    piece = (F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("long") % pieces).cast("int")
     claims = [scored(F.col("__key"), i, w) for i, w in enumerate(weights)]
     best = F.greatest(*claims) if len(claims) > 1 else claims[0]
     rows = rows.select("*", best.alias("__best"), scored(F.col("__key"), len(weights), grown_weight).alias("__new"))
@@ -63,7 +66,7 @@ def assign(
         "text_crc32",
         (-F.col("__best.order")).cast("int").alias("shard"),
         (-F.greatest("__best", "__new")["order"]).cast("int").alias("grown_shard"),
-        F.pmod(F.xxhash64("__key", "size", "text_crc32"), F.lit(pieces)).cast("int").alias("piece"),
+        piece.alias("piece"),
     )
     counts = rows.groupBy("shard", "piece").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("piece")) - F.col("n")
