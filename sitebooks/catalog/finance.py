@@ -111,10 +111,10 @@ le AS (
   WHERE v IS NOT NULL),
 pr AS (SELECT 'C' || substr(o_orderpriority, 1, 1) AS cur, year(o_orderdate) AS y,
               arg_max(o_totalprice, strftime(o_orderdate, '%m%d') || lpad(CAST(o_orderkey AS VARCHAR), 12, '0')) AS r
-       FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority <> '5-LOW' GROUP BY 1, 2),
+       FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 1, 2),
 ar AS (SELECT 'C' || substr(o_orderpriority, 1, 1) AS cur, year(o_orderdate) AS y,
               max(CAST(o_orderdate AS DATE)) AS eff, max(o_totalprice) AS r
-       FROM orders WHERE o_orderstatus = 'F' AND month(o_orderdate) = 6 GROUP BY 1, 2)
+       FROM orders WHERE month(o_orderdate) = 6 GROUP BY 1, 2)
 """.format(
     cases=" ".join(f"WHEN {i} THEN p.{m}" for i, m in enumerate(MONTHS, 1)),
     names=", ".join(f"'{m}'" for m in MONTHS),
@@ -143,12 +143,12 @@ def estimate_fx(spark, sf_dir):
         F.lpad(F.col("o_orderkey").cast("string"), 12, "0"),
         F.date_format("o_orderdate", "yyyy"),
     )
-    plan_rates = od.where("o_orderstatus = 'O' AND o_orderpriority <> '5-LOW'").select(
+    plan_rates = od.where("o_orderpriority <> '5-LOW'").select(
         cur.alias("FROM_CURRENCY"), F.lit("USD").alias("TO_CURRENCY"),
         stamp.alias("EXCHANGE_DATE"), F.col("o_totalprice").alias("EXCHANGE_RATE"),
     )
     actual_rates = (
-        od.where("o_orderstatus = 'F' AND month(o_orderdate) = 6")
+        od.where("month(o_orderdate) = 6")
         .groupBy(cur.alias("From_Currency_Code"), F.year("o_orderdate").alias("_y"))
         .agg(
             F.max(F.to_date("o_orderdate")).alias("Effective_From_Date"),
@@ -260,9 +260,10 @@ def cost_centre_load(spark, sf_dir):
 
 
 def _dated_tables(spark, sf_dir):
-    od = table(spark, sf_dir, "orders").withColumn("yr", F.year("o_orderdate"))
-    li = table(spark, sf_dir, "lineitem").withColumn("yr", F.year("l_shipdate"))
-    return {"orders": (od, "yr"), "lineitem": (li, "yr")}
+    return {
+        "orders": (table(spark, sf_dir, "orders"), "o_orderdate"),
+        "lineitem": (table(spark, sf_dir, "lineitem"), "l_shipdate"),
+    }
 
 
 @query(
@@ -272,7 +273,7 @@ def _dated_tables(spark, sf_dir):
 )
 def retention_purge(spark, sf_dir):
     kept, _ = retention.apply_retention(_dated_tables(spark, sf_dir), 2001)
-    return kept["orders"].select("o_orderkey", "yr")
+    return kept["orders"].select("o_orderkey", F.year("o_orderdate").alias("yr"))
 
 
 @query(

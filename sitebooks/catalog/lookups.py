@@ -132,12 +132,12 @@ def coalesce_lookup(spark, sf_dir):
                 row_number() OVER (PARTITION BY c.event_id ORDER BY
                   abs(epoch_us(c.ts) - epoch_us(p.ts)), p.ts) AS rn
          FROM events c JOIN events p ON c.user_id = p.user_id
-         WHERE c.event_type = 'click' AND p.event_type = 'purchase'
+         WHERE c.event_type <> 'purchase' AND p.event_type = 'purchase'
            AND c.ts BETWEEN p.ts - INTERVAL 12 HOUR AND p.ts + INTERVAL 12 HOUR)
        SELECT event_id, matched_at FROM pairs WHERE rn = 1""",
 )
 def tolerance_match(spark, sf_dir):
-    """Nearest purchase of the same user within twelve hours of a click."""
+    """Nearest purchase of the same user within twelve hours of another event."""
     return _nearest(spark, sf_dir).where("matched_at IS NOT NULL").select(
         "event_id", plain_ts(F.col("matched_at")).alias("matched_at")
     )
@@ -146,7 +146,7 @@ def tolerance_match(spark, sf_dir):
 @query(
     "tolerance_unmatched",
     """SELECT c.event_id, c.ts + INTERVAL 3 MINUTE AS shifted FROM events c
-       WHERE c.event_type = 'click' AND NOT EXISTS (
+       WHERE c.event_type <> 'purchase' AND NOT EXISTS (
          SELECT 1 FROM events p WHERE p.event_type = 'purchase' AND p.user_id = c.user_id
            AND c.ts BETWEEN p.ts - INTERVAL 12 HOUR AND p.ts + INTERVAL 12 HOUR)""",
 )
@@ -159,9 +159,9 @@ def tolerance_unmatched(spark, sf_dir):
 def _nearest(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     at = F.col("ts").cast("timestamp")
-    clicks = ev.where("event_type = 'click'").select("event_id", "user_id", at.alias("at"))
+    others = ev.where("event_type <> 'purchase'").select("event_id", "user_id", at.alias("at"))
     buys = ev.where("event_type = 'purchase'").select("user_id", at.alias("bought"))
-    return match_nearest(clicks, buys, ["user_id"], "at", "bought", HALF_DAY)
+    return match_nearest(others, buys, ["user_id"], "at", "bought", HALF_DAY)
 
 
 @query(
@@ -169,17 +169,17 @@ def _nearest(spark, sf_dir):
     """SELECT c.event_id, (SELECT count(*) FROM events p WHERE p.event_type = 'purchase'
                 AND p.user_id = c.user_id
                 AND c.ts BETWEEN p.ts - INTERVAL 12 HOUR AND p.ts + INTERVAL 12 HOUR) AS candidates
-       FROM events c WHERE c.event_type = 'click'""",
+       FROM events c WHERE c.event_type <> 'purchase'""",
 )
 def tolerance_candidates(spark, sf_dir):
-    """How many purchases lie within twelve hours of a click, counted without pairing.
+    """How many purchases lie within twelve hours of another event, counted without pairing.
 
     A purchase is within reach exactly while the interval around it is open; an
     interval opens after its start, so the start is put one microsecond earlier.
     """
     ev = table(spark, sf_dir, "events")
     at = F.col("ts").cast("timestamp")
-    clicks = ev.where("event_type = 'click'").select("event_id", "user_id", at.alias("at"))
+    others = ev.where("event_type <> 'purchase'").select("event_id", "user_id", at.alias("at"))
     reach = F.make_dt_interval(hours=F.lit(12))
     around = ev.where("event_type = 'purchase'").select(
         "user_id",
@@ -188,7 +188,7 @@ def tolerance_candidates(spark, sf_dir):
         F.lit(1).alias("one"),
     )
     return open_counts(
-        clicks, around, ["user_id"], "at", "opens", "closes", {"candidates": "one"}, HALF_DAY
+        others, around, ["user_id"], "at", "opens", "closes", {"candidates": "one"}, HALF_DAY
     ).select("event_id", "candidates")
 
 

@@ -133,7 +133,7 @@ _ESTIMATE_SQL = f"""
 act AS (SELECT site, company, class, kpi, mon, amount, amount_usd, l_orderkey FROM plan
         WHERE submission = 'F' AND yr = 2000),
 est AS (SELECT *, 'LE' || CAST(1 + l_linenumber % 4 AS VARCHAR) AS le_type FROM plan
-        WHERE submission = 'O' AND yr = 2000),
+        WHERE submission <> 'F' AND yr = 2000),
 cuts AS (SELECT * FROM (VALUES ('LE1', 0), ('LE2', 3), ('LE3', 6), ('LE4', 9)) AS c(le, cut)),
 -- one set of attributes per lease, company, classification and month
 per_month AS (SELECT site, company, class, mon, min(kpi) AS kpi, sum(amount) AS a,
@@ -172,7 +172,7 @@ est_rows AS (
               UNION ALL SELECT * EXCLUDE (cut) FROM est_rows WHERE cut = 0)""",
 )
 def actuals_replace(spark, sf_dir):
-    """Orders in status F are actuals, those in status O estimates of four rounds."""
+    """Orders in status F are actuals, all others estimates of four rounds."""
     lines = plan_lines(spark, sf_dir)
     null = F.lit(None).cast("string")
     shared = {
@@ -196,7 +196,7 @@ def actuals_replace(spark, sf_dir):
         null.alias("FLOW_TYPE_CODE"), null.alias("PROFIT_CENTER"),
         null.alias("GROWTH_SUSTAIN_SPLIT_TEXT"),
     )
-    estimates = lines.where("OP_Submissions = 'O'").select(
+    estimates = lines.where("OP_Submissions != 'F'").select(
         *[c.alias(n) for n, c in shared.items()],
         F.when(F.col("Lease_Classification") == "O", "Tap UP").otherwise("EV SFS").alias(
             "LEASE_CLASSIFICATION_CODE"
@@ -263,6 +263,94 @@ def filtered_actuals(spark, sf_dir):
     )
 
 
+# --- staging of estimates, plan and operating costs -------------------------------
+
+
+def _raw_plan(spark, sf_dir, names, amounts):
+    """Plan lines under the raw names of a staging load; what they lack is null."""
+    filled = {
+        "KPI": "KPI", "SITE_ID": "Site_ID", "LEASE_ID": "Lease_ID", "TRANSACTION_ID": "Transaction_ID",
+        "COMPANY_CODE": "Company_Code", "YEAR": "Year", "MONTH": "Month",
+        "LEASE_CLASSIFICATION": "Lease_Classification", "LOCAL_CURRENCY": "Local_Currency", **amounts,
+    }
+    return plan_lines(spark, sf_dir).select(
+        *[(F.col(filled[raw]) if raw in filled else F.lit(None).cast("string")).alias(raw)
+          for raw in dict.fromkeys(names.values())]
+    )
+
+
+_STAGED_SQL = """SELECT kpi AS KPI_TYPE_TEXT, CAST(site AS VARCHAR) AS SITE_ID,
+       'L' || CAST(site AS VARCHAR) AS LEASE_ID, CAST(l_orderkey AS VARCHAR) AS TRANSACTION_ID,
+       company AS COMPANY_CODE, yr AS CALENDAR_YEAR, mon_name AS CALENDAR_MONTH,
+       class AS LEASE_CLASSIFICATION_CODE, currency AS LOCAL_CURRENCY_CODE"""
+_STAGED = (
+    "KPI_TYPE_TEXT", "SITE_ID", "LEASE_ID", "TRANSACTION_ID", "COMPANY_CODE", "CALENDAR_YEAR",
+    "CALENDAR_MONTH", "LEASE_CLASSIFICATION_CODE", "LOCAL_CURRENCY_CODE",
+)
+
+
+@query(
+    "staged_estimates",
+    f"""WITH {PLAN_SQL} {_STAGED_SQL.replace("yr AS", "CAST(yr AS VARCHAR) AS")}, CAST(amount AS DOUBLE) AS LE_LC_AMOUNT,
+        CAST(amount_usd AS DOUBLE) AS LE_USD_AMOUNT, submission AS LE_TYPE_CODE FROM plan""",
+)
+def staged_estimates(spark, sf_dir):
+    """Raw estimates in the curated layout."""
+    raw = _raw_plan(
+        spark, sf_dir, staging.ESTIMATE_NAMES,
+        {"LE_AMOUNT": "Plan_Amount", "LE_AMOUNT_USD": "Plan_Amount_USD", "LE_TYPE": "OP_Submissions"},
+    )
+    out = staging.curated_estimates(staging.stage_estimates(raw))
+    return out.select(
+        *_STAGED, F.col("LE_LC_AMOUNT").cast("double").alias("LE_LC_AMOUNT"),
+        F.col("LE_USD_AMOUNT").cast("double").alias("LE_USD_AMOUNT"), "LE_TYPE_CODE",
+    )
+
+
+@query(
+    "staged_plan",
+    f"""WITH {PLAN_SQL} {_STAGED_SQL}, CAST(amount AS DOUBLE) AS PLAN_LC_AMOUNT,
+        CAST(amount_usd AS DOUBLE) AS PLAN_USD_AMOUNT FROM plan""",
+)
+def staged_plan(spark, sf_dir):
+    raw = _raw_plan(
+        spark, sf_dir, staging.PLAN_NAMES, {"PLAN_AMOUNT": "Plan_Amount", "PLAN_AMOUNT_USD": "Plan_Amount_USD"}
+    )
+    return staging.stage_plan(raw).select(
+        *_STAGED, F.col("PLAN_LC_AMOUNT").cast("double").alias("PLAN_LC_AMOUNT"),
+        F.col("PLAN_USD_AMOUNT").cast("double").alias("PLAN_USD_AMOUNT"),
+    )
+
+
+@query(
+    "staged_opex",
+    f"""WITH {PLAN_SQL}
+        SELECT 'estimate' AS load, NULL::VARCHAR AS code, currency AS LOCAL_CURRENCY_CODE,
+               yr AS CALENDAR_YEAR, CAST(amount AS DOUBLE) AS lc, CAST(amount_usd AS DOUBLE) AS usd FROM plan
+        UNION ALL
+        SELECT 'plan', company, NULL, yr, CAST(amount AS DOUBLE), CAST(amount_usd AS DOUBLE) FROM plan""",
+)
+def staged_opex(spark, sf_dir):
+    """Operating-cost estimates and plan; years arrive as text and leave as integers."""
+    text_year = lambda raw: raw.withColumn("YEAR", F.col("YEAR").cast("string"))
+    le = staging.stage_opex_estimates(text_year(_raw_plan(
+        spark, sf_dir, staging.OPEX_ESTIMATE_NAMES,
+        {"OPEX_LE_AMOUNT": "Plan_Amount", "OPEX_LE_AMOUNT_USD": "Plan_Amount_USD"},
+    )))
+    plan = staging.stage_opex_plan(text_year(_raw_plan(
+        spark, sf_dir, staging.OPEX_PLAN_NAMES,
+        {"OPEX_PL_AMOUNT": "Plan_Amount", "OPEX_PL_AMOUNT_USD": "Plan_Amount_USD"},
+    )))
+    part = lambda df, load, code, currency, lc, usd: df.select(
+        F.lit(load).alias("load"), code.alias("code"), currency.alias("LOCAL_CURRENCY_CODE"),
+        "CALENDAR_YEAR", F.col(lc).cast("double").alias("lc"), F.col(usd).cast("double").alias("usd"),
+    )
+    none = F.lit(None).cast("string")
+    return part(le, "estimate", none, F.col("LOCAL_CURRENCY_CODE"), "OPEX_LE_LC_AMOUNT", "OPEX_LE_USD_AMOUNT").unionByName(
+        part(plan, "plan", F.col("COUNTRY_CODE"), none, "OPEX_PL_LC_AMOUNT", "OPEX_PL_USD_AMOUNT")
+    )
+
+
 @query(
     "publish_with_country",
     f"""WITH {PLAN_SQL}, fy AS (

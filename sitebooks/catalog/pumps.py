@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from sitebooks.catalog.registry import TX_MARKERS, TX_SQL, plain_ts, query, table, tx
@@ -333,87 +335,202 @@ def dispensers_needed_by_class(spark, sf_dir):
     )
 
 
+# --- the same on product classes and grades ---------------------------------------
+
+_CLASS_QUEUE_SQL = f"""{_SERVED_SQL},
+q AS (
+  SELECT site, flag, n_flag, d, greatest(comb + 1 - d, 0) AS ql, sum(qty) AS volume, count(*) AS n,
+         flag_vol, flag_txn
+  FROM scen GROUP BY site, flag, n_flag, d, greatest(comb + 1 - d, 0), flag_vol, flag_txn),
+qc AS (
+  SELECT *, sum(volume) OVER w AS cum_vol, CAST(sum(n) OVER w AS BIGINT) AS cum_txn FROM q
+  WINDOW w AS (PARTITION BY site, flag, d ORDER BY ql
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+@query(
+    "queue_cumulative_by_class",
+    f"""WITH {_CLASS_QUEUE_SQL}
+        SELECT site AS GlobalSiteId, flag, d AS If_the_site_has_x_dispensers,
+               CAST(ql AS INTEGER) AS queue_length, CAST(volume AS DOUBLE) AS volume,
+               n AS number_of_txn, CAST(cum_vol AS DOUBLE) AS cum_vol, cum_txn,
+               CAST(cum_vol AS DOUBLE) * 100.0::DOUBLE / CAST(flag_vol AS DOUBLE)
+                 AS cum_vol_Perc_of_relevant_vol,
+               CAST(cum_txn AS DOUBLE) * 100.0::DOUBLE / CAST(flag_txn AS DOUBLE)
+                 AS cum_txn_Perc_of_relevant_txn
+        FROM qc""",
+)
+def queue_cumulative_by_class(spark, sf_dir):
+    hist = sizing.histogram(_ongoing(spark, sf_dir), sizing.PRODUCT_CLASS)
+    out = sizing.queue_lengths(hist, sizing.PRODUCT_CLASS).select(
+        "GlobalSiteId", F.col(pumps.FLAG).alias("flag"), sizing.DISPENSERS, "queue_length",
+        "volume", "number_of_txn", "cum_vol", "cum_txn", "cum_vol_Perc_of_relevant_vol",
+        "cum_txn_Perc_of_relevant_txn",
+    )
+    return _plain(out, "volume", "cum_vol")
+
+
+@query(
+    "dispensers_needed_by_class_queue",
+    f"""WITH {_CLASS_QUEUE_SQL},
+        qs AS (SELECT site, flag, n_flag, ql, d,
+                 CAST(cum_vol AS DOUBLE) * 100.0::DOUBLE / CAST(flag_vol AS DOUBLE) AS pct0 FROM qc),
+        {_needed_sql('qs', 'site, flag, ql', 'pct0', 'n_flag')}
+        SELECT site AS GlobalSiteId, flag, CAST(ql AS INTEGER) AS queue_length, threshold,
+               CAST(sum(flag1) AS BIGINT) AS needed,
+               CAST(max(n_flag) - sum(flag1) AS BIGINT) AS freeable
+        FROM flags GROUP BY 1, 2, 3, 4""",
+)
+def dispensers_needed_by_class_queue(spark, sf_dir):
+    hist = sizing.histogram(_ongoing(spark, sf_dir), sizing.PRODUCT_CLASS)
+    return sizing.dispensers_needed_by_queue(hist, sizing.PRODUCT_CLASS).select(
+        "GlobalSiteId", F.col(pumps.FLAG).alias("flag"), "queue_length", "threshold", "needed",
+        "freeable",
+    )
+
+
+@query(
+    "dispensers_needed_by_grade",
+    f"""WITH {_SERVED_SQL},
+        srv AS (SELECT site, info, product, pumps, n_pumps, d,
+                 CAST(sum(qty) AS DOUBLE) * 100.0::DOUBLE / CAST(grade_vol AS DOUBLE) AS pct0
+                FROM scen WHERE pot < d GROUP BY site, info, product, pumps, n_pumps, d, grade_vol),
+        {_needed_sql('srv', 'site, info, product, pumps', 'pct0', 'n_pumps')}
+        SELECT site AS GlobalSiteId, info AS additionalProductInfo, product AS productCode,
+               array_to_string(pumps, ',') AS relevant_pumps, threshold,
+               CAST(sum(flag1) AS BIGINT) AS needed,
+               CAST(max(n_pumps) - sum(flag1) AS BIGINT) AS freeable
+        FROM flags GROUP BY 1, 2, 3, 4, 5""",
+)
+def dispensers_needed_by_grade(spark, sf_dir):
+    grain = sizing.PRODUCT_GRADE
+    hist = sizing.histogram(_ongoing(spark, sf_dir), grain)
+    return _set_text(sizing.dispensers_needed(hist, grain)).select(
+        "GlobalSiteId", "additionalProductInfo", "productCode", "relevant_pumps", "threshold",
+        "needed", "freeable",
+    )
+
+
 # --- transactions matched with reference sales ------------------------------------
 
-_MATCH_SQL = """
-m AS (SELECT event_id, 'C' || CAST(user_id % 3 AS VARCHAR) AS country, CAST(user_id AS VARCHAR) AS site,
-             CAST(floor(value / 100) AS DECIMAL(20,2)) AS qty, ts AS start_ts,
-             timezone('Europe/Paris', timezone('UTC', ts + INTERVAL 4 MINUTE)) AS end_ts,
-             timezone('Europe/Paris', timezone('UTC', ts)) AS start_local
-      FROM events WHERE event_type <> 'purchase'),
+FIRST_DAY = dt.date(2024, 1, 10)
+
+
+def _match_sql(transactions: str = "TRUE", sales: str = "TRUE") -> str:
+    """Nearest sale per transaction, the last ending of a matched message, all unmatched ones."""
+    return f"""
+WITH m AS (
+  SELECT * FROM (
+    SELECT event_id, v, 'C' || CAST(user_id % 3 AS VARCHAR) AS country, CAST(user_id AS VARCHAR) AS site,
+           CAST(floor(value / 100) AS DECIMAL(20,2)) AS qty,
+           timezone('Europe/Paris', timezone('UTC', ts + to_minutes(4 + v))) AS end_ts,
+           timezone('Europe/Paris', timezone('UTC', ts)) AS start_local
+    FROM events CROSS JOIN (SELECT unnest([0, 1])::BIGINT AS v) WHERE event_type <> 'purchase')
+  WHERE {transactions}),
 t AS (SELECT 'C' || CAST(user_id % 3 AS VARCHAR) AS country, CAST(user_id AS VARCHAR) AS site,
              CAST(floor(value / 100) AS DECIMAL(20,2)) AS qty, ts AS sale_ts
-      FROM events WHERE event_type = 'purchase'),
-best AS (SELECT m.event_id, t.sale_ts, row_number() OVER (PARTITION BY m.event_id
+      FROM events WHERE event_type = 'purchase' AND {sales}),
+best AS (SELECT m.event_id, m.v, t.sale_ts, row_number() OVER (PARTITION BY m.event_id, m.v
            ORDER BY abs(epoch_us(m.end_ts) - epoch_us(t.sale_ts)), t.sale_ts) AS rn
          FROM m JOIN t ON m.country = t.country AND m.site = t.site AND m.qty = t.qty
-           AND m.end_ts BETWEEN t.sale_ts - INTERVAL 12 HOUR AND t.sale_ts + INTERVAL 12 HOUR)"""
-
-
-@query(
-    "match_transactions",
-    f"""WITH {_MATCH_SQL}
-        SELECT CAST(m.event_id AS VARCHAR) AS RowKey,
-               coalesce(b.sale_ts, m.end_ts + INTERVAL 3 MINUTE) AS end_ts,
-               m.start_local - INTERVAL 1 MINUTE AS start_ts, b.sale_ts IS NOT NULL AS matched,
-               CAST(m.qty AS DOUBLE) AS qty, CAST(hour(m.end_ts) AS INTEGER) AS hr
-        FROM m LEFT JOIN (SELECT * FROM best WHERE rn = 1) b USING (event_id)""",
-)
-def match_transactions(spark, sf_dir):
-    """Events as transactions, purchases as reference sales; whole-hundred quantities."""
-    ev = table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
-    qty = F.floor(F.col("value") / 100).cast("double")
-    country = F.concat(F.lit("C"), (F.col("user_id") % 3).cast("string"))
+           AND m.end_ts BETWEEN t.sale_ts - INTERVAL 12 HOUR AND t.sale_ts + INTERVAL 12 HOUR),
+r AS (SELECT m.*, b.sale_ts FROM m LEFT JOIN (SELECT * FROM best WHERE rn = 1) b USING (event_id, v)),
+one AS (SELECT *, row_number() OVER (PARTITION BY event_id, sale_ts IS NULL ORDER BY v DESC) AS k FROM r)
+SELECT CAST(event_id AS VARCHAR) AS RowKey, coalesce(sale_ts, end_ts + INTERVAL 3 MINUTE) AS end_ts,
+       start_local - INTERVAL 1 MINUTE AS start_ts, sale_ts IS NOT NULL AS matched,
+       CAST(qty AS DOUBLE) AS qty, CAST(hour(end_ts) AS INTEGER) AS hr
+FROM one WHERE sale_ts IS NULL OR k = 1"""
+
+
+def _raw_transactions(spark, sf_dir):
+    """Every event that is no purchase as three rows of one message.
+
+    The second ends a minute later; the third repeats the first under another
+    row key, so it is a copy.
+    """
+    ev = table(spark, sf_dir, "events").where("event_type <> 'purchase'")
+    at = F.col("ts").cast("timestamp")
     null = F.lit(None).cast("string")
-    raw = ev.where("event_type <> 'purchase'").select(
-        country.alias("PartitionKey"),
-        F.col("event_id").cast("string").alias("RowKey"),
-        F.col("at").alias("RequestDateTime"),
+    rows = ev.withColumn("_v", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    key = F.col("event_id").cast("string")
+    return rows.select(
+        F.concat(F.lit("C"), (F.col("user_id") % 3).cast("string")).alias("PartitionKey"),
+        F.when(F.col("_v") < 2, key).otherwise(F.concat(key, F.lit("z"))).alias("RowKey"),
+        at.alias("RequestDateTime"),
         F.concat(F.lit(" "), F.col("user_id").cast("string")).alias("SiteId"),
         F.lit(1).alias("deviceID"),
         null.alias("additionalProductInfo"),
         F.lit("5").alias("productCode"),
         F.lit(1).alias("pumpNumber"),
         F.lit(1).alias("nozzleNumber"),
-        qty.alias("quantity"),
+        F.floor(F.col("value") / 100).cast("double").alias("quantity"),
         F.lit(0.0).alias("counterReading"),
-        F.col("at").alias("transactionStartTime"),
-        F.expr("at + INTERVAL 4 MINUTES").alias("transactionEndTime"),
+        at.alias("transactionStartTime"),
+        (at + F.make_dt_interval(mins=F.lit(4) + F.col("_v") % 2)).alias("transactionEndTime"),
         null.alias("deliveryType"),
         F.lit(None).cast("double").alias("lubricantQuantity"),
         F.col("event_id").cast("int").alias("transactionNumber"),
         null.alias("transactionStatus"),
     )
-    sites = ev.select(
-        country.alias("PartitionKey"),
-        F.concat(F.col("user_id").cast("string"), F.lit("  ")).alias("SiteId"),
+
+
+def _sites(spark, sf_dir):
+    user = F.col("user_id").cast("string")
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("C"), (F.col("user_id") % 3).cast("string")).alias("PartitionKey"),
+        F.concat(user, F.lit("  ")).alias("SiteId"),
         F.lit(1).alias("pumpNumber"),
         F.lit(1).alias("nozzleNumber"),
-        F.col("user_id").cast("string").alias("GlobalSiteId"),
-        *[null.alias(c) for c in matching.SITE_COLUMNS if c != "GlobalSiteId"],
+        user.alias("GlobalSiteId"),
+        *[F.lit(None).cast("string").alias(c) for c in matching.SITE_COLUMNS if c != "GlobalSiteId"],
     ).distinct()
-    sales = ev.where("event_type = 'purchase'").select(
-        country.alias("COUNTRY_CODE"),
+
+
+def _sales(spark, sf_dir):
+    at = F.col("ts").cast("timestamp")
+    return table(spark, sf_dir, "events").where("event_type = 'purchase'").select(
+        F.concat(F.lit("C"), (F.col("user_id") % 3).cast("string")).alias("COUNTRY_CODE"),
         F.col("user_id").cast("string").alias("RETAIL_SITE_ID"),
-        qty.alias("SALES_QUANTITY"),
-        F.col("at").alias("EVENT_START_DATE"),
-        F.to_date("at").alias("START_DATE"),
+        F.floor(F.col("value") / 100).cast("double").alias("SALES_QUANTITY"),
+        at.alias("EVENT_START_DATE"),
+        F.to_date(at).alias("START_DATE"),
         F.lit(matching.SALES_CLASS).alias("CLASS_NAME"),
         F.lit(matching.SALES_INDICATOR).alias("SALES_OR_RETURN_INDICATOR"),
     )
-    rows = matching.site_transactions(raw, sites)
-    out = matching.match_transactions(rows, matching.reference_sales(sales), 12 * 3600)
-    return out.select(
+
+
+def _matched(rows, sales):
+    return matching.match_transactions(rows, sales, 12 * 3600, with_flag=True).select(
         "RowKey",
         plain_ts(F.col("transactionEndTime")).alias("end_ts"),
         plain_ts(F.col("transactionStartTime")).alias("start_ts"),
-        (F.col("transactionEndTime") - F.col("transactionStartTime")
-         != F.expr("INTERVAL 8 MINUTES")).alias("matched"),
+        "matched",
         F.col("SALES_QUANTITY").cast("double").alias("qty"),
         F.col("TRANSACTION_HOUR").alias("hr"),
     )
 
 
+@query("match_transactions", _match_sql())
+def match_transactions(spark, sf_dir):
+    """Events as transactions, purchases as reference sales; whole-hundred quantities."""
+    rows = matching.site_transactions(_raw_transactions(spark, sf_dir), _sites(spark, sf_dir))
+    return _matched(rows, matching.reference_sales(_sales(spark, sf_dir)))
+
+
+@query(
+    "match_first_load",
+    _match_sql(
+        f"end_ts >= DATE '{FIRST_DAY}'", "CAST(ts AS DATE) IN (SELECT CAST(end_ts AS DATE) FROM m)"
+    ),
+)
+def match_first_load(spark, sf_dir):
+    """The same from a first day on, with the sales of observed dates only."""
+    rows = matching.site_transactions(
+        _raw_transactions(spark, sf_dir), _sites(spark, sf_dir), first_load=True, first_day=FIRST_DAY
+    )
+    return _matched(rows, matching.reference_sales(_sales(spark, sf_dir), rows.select("START_DATE")))
+
+
 _YEARS = (2023, 2024)
 
 

@@ -178,25 +178,25 @@ def unpivot_months(spark, sf_dir):
 
 @query(
     "month_spine_densify",
-    f"""WITH {PLAN_SQL}, k AS (SELECT DISTINCT company, site FROM plan WHERE yr = 1997),
+    f"""WITH {PLAN_SQL}, k AS (SELECT DISTINCT company, site, yr FROM plan),
         s AS (SELECT CAST(unnest(range(1, 13)) AS INTEGER) AS mon),
-        v AS (SELECT company, site, mon, sum(amount) AS amount FROM plan WHERE yr = 1997
-              GROUP BY ALL)
-        SELECT k.company, k.site, s.mon, CAST(coalesce(v.amount, 0) AS DOUBLE) AS amount
+        v AS (SELECT company, site, yr, mon, sum(amount) AS amount FROM plan GROUP BY ALL)
+        SELECT k.company, k.site, k.yr, s.mon, CAST(coalesce(v.amount, 0) AS DOUBLE) AS amount
         FROM k CROSS JOIN s LEFT JOIN v
-          ON v.company = k.company AND v.site = k.site AND v.mon = s.mon""",
+          ON v.company = k.company AND v.site = k.site AND v.yr = k.yr AND v.mon = s.mon""",
 )
 def month_spine_densify(spark, sf_dir):
     """Twelve rows per key from one aggregate; no join with a calendar."""
     from sitebooks.functions.calendar import month_number
 
-    lines = plan_lines(spark, sf_dir).where("Year = 1997").select(
+    lines = plan_lines(spark, sf_dir).select(
         F.col("Company_Code").alias("company"),
         F.col("Site_ID").cast("long").alias("site"),
+        F.col("Year").alias("yr"),
         month_number(F.col("Month")).alias("mon"),
         F.col("Plan_Amount").alias("amount"),
     )
-    return reshape.month_spine(lines, ["company", "site"], "mon", ["amount"])
+    return reshape.month_spine(lines, ["company", "site", "yr"], "mon", ["amount"])
 
 
 @query(

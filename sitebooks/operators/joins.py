@@ -74,6 +74,21 @@ def coalesce_lookup(
     return df.drop(*[f"_{kind}{i}" for i in range(len(dims)) for kind in "kv"])
 
 
+def lookup_spread(df: DataFrame, key: Column, dim: DataFrame, dim_key: str, tasks: int = 4096) -> DataFrame:
+    """Left join to ``dim`` (unique in ``dim_key``) whose null keys are no hot key.
+
+    Rows with a null ``key`` find nothing wherever they are, so a hash of the row
+    deals them over ``tasks`` places instead of one.  The dimension's other
+    columns are added.
+    """
+    plain = [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    place = F.when(key.isNull(), F.pmod(F.xxhash64(*plain), F.lit(tasks)) + 1).otherwise(F.lit(0))
+    left = df.withColumns({"_key": key, "_place": place})
+    right = dim.withColumnRenamed(dim_key, "_dim_key").withColumn("_dim_place", F.lit(0).cast("long"))
+    test = (F.col("_key") == F.col("_dim_key")) & (F.col("_place") == F.col("_dim_place"))
+    return left.join(right, test, "left").drop("_key", "_place", "_dim_key", "_dim_place")
+
+
 def map_values(
     df: DataFrame, column: str, pairs: DataFrame, key: str, value: str, out: str | None = None
 ) -> DataFrame:

@@ -6,10 +6,12 @@ read is never overwritten in place.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DatetimeType
 
 from sitebooks.operators.joins import null_safe_join
 from sitebooks.operators.sets import union_all
@@ -39,21 +41,28 @@ def conditional_update(df: DataFrame, column: str, test: Column, value) -> DataF
     return df.withColumn(column, F.when(test, new).otherwise(F.col(column)))
 
 
-def purge(df: DataFrame, year: str, run_year: int, keep_years: int = 4) -> DataFrame:
+def _older(df: DataFrame, at: str, cut: int) -> Column:
+    """``at``, a year number or a date, lies before the year ``cut``; dates are compared as they are stored."""
+    if isinstance(df.schema[at].dataType, DatetimeType):
+        return F.col(at) < F.lit(dt.date(cut, 1, 1))
+    return F.col(at) < cut
+
+
+def purge(df: DataFrame, at: str, run_year: int, keep_years: int = 4) -> DataFrame:
     """Rows a retention purge keeps: not older than ``run_year - keep_years``.
 
-    A null year is not older, so the row is kept.
+    ``at`` is a year column or, so that the scan can skip old files, a date or
+    timestamp column.  A null is not older, so the row is kept.
     """
-    cut = run_year - keep_years
-    return df.where((F.col(year) >= cut) | F.col(year).isNull())
+    return df.where(~_older(df, at, run_year - keep_years) | F.col(at).isNull())
 
 
 def purge_audit(
-    df: DataFrame, table: str, year: str, run_year: int, keep_years: int = 4
+    df: DataFrame, table: str, at: str, run_year: int, keep_years: int = 4
 ) -> DataFrame:
     """One audit row: table, rows removed, cut-off year, run year."""
     cut = run_year - keep_years
-    return df.agg(F.count_if(F.col(year) < cut).alias("rows_removed")).select(
+    return df.where(_older(df, at, cut)).agg(F.count(F.lit(1)).alias("rows_removed")).select(
         F.lit(table).alias("table_name"),
         "rows_removed",
         F.lit(cut).alias("removed_before"),

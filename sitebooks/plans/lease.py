@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitebooks.operators.filters import reject_blank
-from sitebooks.operators.joins import coalesce_lookup
+from sitebooks.operators.joins import lookup_spread
 from sitebooks.operators.project import project
+from sitebooks.operators.sets import union_all
 from sitebooks.operators.windows import latest_by
 
 EXPENSE, INCOME = "Expense Lease", "Income Lease"
@@ -124,6 +125,24 @@ def _newest_first(df: DataFrame, modified: str) -> list:
     return [F.col(modified).desc_nulls_last(), *[F.col(c) for c in df.columns if c != modified]]
 
 
+def locations(prop: DataFrame, building: DataFrame, land: DataFrame, space: DataFrame) -> DataFrame:
+    """One row per location with the property id that each of the four tables gives it.
+
+    Several ids of one location in one table resolve to the smallest.
+    """
+    names = ("_property", "_building", "_land", "_space")
+    parts = [
+        dim.where(F.col("TRI_CONTROL_NUMBER_CN").isNotNull()).select(
+            F.col("TRI_CONTROL_NUMBER_CN").alias("_location"),
+            *[(F.col(value) if n == name else F.lit(None)).cast("string").alias(n) for n in names],
+        )
+        for name, dim, value in zip(
+            names, (prop, building, land, space), ("TRI_ID_TX", *["TRI_PROPERTY_ID"] * 3)
+        )
+    ]
+    return union_all(parts).groupBy("_location").agg(*[F.min(n).alias(n) for n in names])
+
+
 def resolve_property(
     leases: DataFrame, prop: DataFrame, building: DataFrame, land: DataFrame, space: DataFrame
 ) -> DataFrame:
@@ -134,20 +153,14 @@ def resolve_property(
     * income leases take the first of building and space;
     * leases of other types without a property id are dropped.
 
-    One pass over the leases: each dimension is looked up once and the lease
-    type picks which answers count.
+    One pass over the leases and one join: the four tables are merged to one
+    row per location first.  Leases without a location, or with a known property
+    id, ask for nothing and are spread over the tasks.
     """
-    key = "CST_PREMISE_LOCATION_ID"
     known = F.col("CST_PROPERTY_ID_TX")
-    location = "TRI_CONTROL_NUMBER_CN"
     out = leases.where(known.isNotNull() | F.col("TRI_LEASE_TYPE_CL").isin(EXPENSE, INCOME))
-    for name, dim, value in (
-        ("_property", prop, "TRI_ID_TX"),
-        ("_building", building, "TRI_PROPERTY_ID"),
-        ("_land", land, "TRI_PROPERTY_ID"),
-        ("_space", space, "TRI_PROPERTY_ID"),
-    ):
-        out = coalesce_lookup(out, name, F.lit(None).cast("string"), [(dim, key, location, value)])
+    asked = F.when(known.isNull(), F.col("CST_PREMISE_LOCATION_ID"))
+    out = lookup_spread(out, asked, locations(prop, building, land, space), "_location")
     resolved = F.when(
         F.col("TRI_LEASE_TYPE_CL") == EXPENSE, F.coalesce(known, "_property", "_building", "_land")
     ).when(
@@ -185,9 +198,8 @@ def curated_leases(
     contacts = people.groupBy("TRI_USER_NAME_TX").agg(
         F.min(F.concat("TRI_FIRST_NAME_TX", "TRI_LAST_NAME_TX")).alias("_contact")
     )
-    joined = placed.join(
-        countries, placed.TRI_BUSINESS_UNIT_ORG_TX == countries.COMP_CODE, "left"
-    ).join(contacts, placed.CST_PEOPLE_TX == contacts.TRI_USER_NAME_TX, "left")
+    joined = lookup_spread(placed, F.col("TRI_BUSINESS_UNIT_ORG_TX"), countries, "COMP_CODE")
+    joined = lookup_spread(joined, F.col("CST_PEOPLE_TX"), contacts, "TRI_USER_NAME_TX")
     columns = {}
     for name, source in LEASE_NAMES.items():
         if name == "Site_Id":

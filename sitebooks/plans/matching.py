@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitebooks.functions.calendar import local_time
 from sitebooks.operators.filters import in_values
 from sitebooks.operators.intervals import BUCKET_SECONDS, match_nearest
 from sitebooks.operators.joins import lookup
-from sitebooks.operators.windows import dedupe, latest_by
+from sitebooks.operators.windows import dedupe
 
 # Zone of the sites, first day of the first load, tolerance, the
 # sales rows that count, and the shifts applied to start and end times.
@@ -51,8 +51,9 @@ def site_transactions(
     """Distinct transactions in local time with their site attributes.
 
     Transactions equal in :data:`TRANSACTION_KEY` are one; copies of whole rows
-    fall away in the same step.  On the first load only transactions ending on or
-    after ``first_day`` count.
+    fall away in the same step; rows that differ only in what the site table says
+    are settled by these columns, so the survivor does not depend on the run.  On
+    the first load only transactions ending on or after ``first_day`` count.
     """
     whole = ("deviceID", "productCode", "pumpNumber", "nozzleNumber", "transactionNumber")
     rows = tx.withColumns(
@@ -80,7 +81,8 @@ def site_transactions(
         SITE_COLUMNS,
         trim=True,
     )
-    survivors = [F.col(c) for c in ("PartitionKey", "RowKey", "RequestDateTime", "GlobalSiteId")]
+    attributes = [c for c in SITE_COLUMNS.values() if c != "GlobalSiteId"]
+    survivors = [F.col(c) for c in ("PartitionKey", "RowKey", "RequestDateTime", "GlobalSiteId", *attributes)]
     rows = dedupe(rows, TRANSACTION_KEY, [c.asc_nulls_last() for c in survivors])
     return rows.withColumns(
         {
@@ -120,6 +122,7 @@ def match_transactions(
     sales: DataFrame,
     seconds: int = TOLERANCE_SECONDS,
     bucket_seconds: int = BUCKET_SECONDS,
+    with_flag: bool = False,
 ) -> DataFrame:
     """Transactions with end times taken from matching sales where there are any.
 
@@ -128,12 +131,14 @@ def match_transactions(
     gives the end time.  Of the matched transactions of one message with equal
     quantity, pump and nozzle only the last ending stays.  Unmatched
     transactions end later by a fixed shift, all start earlier by one.  Rows
-    without a global site are dropped.
+    without a global site are dropped.  ``with_flag`` adds ``matched``.
 
-    Match and non-match come out of one pass, so nothing is joined twice.
+    Match and non-match stay in one frame, so the input is evaluated once:
+    matched rows are numbered within their message, unmatched ones lie in
+    partitions of their own and are all kept.
     """
     rows = match_nearest(
-        tx,
+        tx.where(F.col("GlobalSiteId").isNotNull()),
         sales,
         ["PartitionKey", "GlobalSiteId", "SALES_QUANTITY"],
         "transactionEndTime",
@@ -141,19 +146,16 @@ def match_transactions(
         seconds,
         "_sale_at",
         bucket_seconds,
-    ).where(F.col("GlobalSiteId").isNotNull())
+    ).withColumn("matched", F.col("_sale_at").isNotNull())
     message = ["PartitionKey", "GlobalSiteId", "RowKey", "SALES_QUANTITY", "pumpNumber", "nozzleNumber"]
+    alone = F.when(~F.col("matched"), F.xxhash64(*TRANSACTION_KEY))
     tie = [F.col(c).asc_nulls_last() for c in TRANSACTION_KEY if c != "transactionEndTime"]
-    matched = latest_by(
-        rows.where(F.col("_sale_at").isNotNull()),
-        message,
-        [F.col("transactionEndTime").desc(), *tie],
-    ).withColumn("transactionEndTime", F.col("_sale_at"))
-    unmatched = rows.where(F.col("_sale_at").isNull()).withColumn(
-        "transactionEndTime", F.expr(f"transactionEndTime + {UNMATCHED_END_LATER}")
-    )
+    place = Window.partitionBy(*message, alone).orderBy(F.col("transactionEndTime").desc(), *tie)
+    end = F.coalesce("_sale_at", F.expr(f"transactionEndTime + {UNMATCHED_END_LATER}"))
     return (
-        matched.unionByName(unmatched)
+        rows.withColumn("_rn", F.row_number().over(place))
+        .where("NOT matched OR _rn = 1")
+        .withColumn("transactionEndTime", end)
         .withColumn("transactionStartTime", F.expr(f"transactionStartTime - {START_EARLIER}"))
-        .select(*OUTPUT)
+        .select(*OUTPUT, *(["matched"] if with_flag else []))
     )

@@ -71,13 +71,16 @@ def month_ytd_full_year(
       and carry year-to-date 0.
     * ``years_around=1`` keeps the run year and its neighbours.
 
-    A company's currency is looked up by company code; without one the code itself
-    stands in.  Year totals, year-to-date, currency and the December test all read
+    A company's currency is looked up by company code in the whole plan; without
+    one the code itself stands in.  Year totals, year-to-date, currency and the December test all read
     the monthly aggregate; ``stage`` is applied to it, and a job passes
     ``materialise`` there so that the plan is aggregated only once.
     """
     keys = SITE_KEYS if site_level else COMPANY_KEYS
+    currencies = None
     if years_around is not None:
+        # A company's currency may be known from years that are not kept.
+        currencies = plan.groupBy("Company_Code").agg(F.max("Local_Currency").alias("_currency"))
         plan = keep_years(plan, "Year", run_date.year, years_around, years_around)
     monthly = plan.groupBy(
         *keys, "Year", "OP_Submissions", F.upper(F.trim("Month")).alias("Month")
@@ -134,7 +137,7 @@ def month_ytd_full_year(
         }
     )
     out = map_values(
-        out, "Company_Code", monthly, "Company_Code", "_currency", out="Local_Currency"
+        out, "Company_Code", monthly if currencies is None else currencies, "Company_Code", "_currency", out="Local_Currency"
     )
     if site_level:
         out = out.withColumns(

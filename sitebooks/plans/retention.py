@@ -16,12 +16,12 @@ def apply_retention(
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Kept rows per table, and one audit row per table.
 
-    ``tables`` maps a table name to its frame and the name of its integer year
-    column.
+    ``tables`` maps a table name to its frame and the name of its year column
+    (a number, or a date that the scan can filter on).
     """
     kept, audit = {}, None
-    for name, (df, year) in tables.items():
-        kept[name] = purge(df, year, run_year, keep_years)
-        row = purge_audit(df, name, year, run_year, keep_years)
+    for name, (df, at) in tables.items():
+        kept[name] = purge(df, at, run_year, keep_years)
+        row = purge_audit(df, name, at, run_year, keep_years)
         audit = row if audit is None else audit.unionAll(row)
     return kept, audit

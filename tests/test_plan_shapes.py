@@ -31,3 +31,15 @@ def test_ongoing_counts_shuffle_the_rows_once(spark, sf_dir):
     assert "SortMergeJoin" not in plan
     rows = [line for line in plan.splitlines() if "Exchange hashpartitioning(_b" in line]
     assert len(rows) == 1  # the rows themselves; grade totals and the sums of buckets are small
+
+
+@pytest.mark.parametrize("name, scans", [("match_transactions", 3), ("branch_union_resolve", 5)])
+def test_inputs_are_read_once(spark, sf_dir, name, scans):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= scans
+
+
+@pytest.mark.parametrize("name", ["retention_purge", "filtered_actuals"])
+def test_dates_reach_the_scan(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert any("date" in line.split("PushedFilters:")[1].split("]")[0] for line in plan.splitlines() if "PushedFilters:" in line)
