@@ -60,18 +60,17 @@ def opened(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, Words]:
     return np.frombuffer(ids, np.int64), Words(texts, NOT_SPACE)
 
 
-def anchors(ids: np.ndarray, words: Words, h: np.ndarray, bits: int):
-    """Positions and keys of the anchors of documents that have a window and an id.
+def anchors(ids: np.ndarray, words: Words, h: np.ndarray):
+    """Positions and hashes of the anchors of documents that have a window and an id.
 
-    A key is 48 low bits of the hash below the ``bits`` high ones, which number the bucket.
+    The high bits of a hash number its bucket, its 48 low bits are what is sent there.
     """
     own = ids != NO_ID
     fit = np.repeat((words.count >= WINDOW) & own, words.count)
     place = np.arange(len(h)) - np.repeat(words.of[:-1], words.count)
     at = np.flatnonzero(words.whole(ANCHOR))
     at = at[fit[at] & np.isin(place[at] % PERIOD, COVER)]
-    keys = ngrams(h, ANCHOR)[at]
-    return at, (keys & np.uint64(LOW)) | ((keys >> np.uint64(64 - bits)) << np.uint64(48))
+    return at, ngrams(h, ANCHOR)[at]
 
 
 def windows(ids: np.ndarray, words: Words, h: np.ndarray):
@@ -186,16 +185,16 @@ def deduplicated(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
     table = materialise(blocks(documents, text, doc_id), "text-blocks")
     total = table.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     least = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // 12 // BUCKET)
-    bits = min(16, max(1, int(least - 1).bit_length()))
+    bits = min(30, max(1, int(least - 1).bit_length()))
 
     def send_anchors(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, words = opened(batch, i)
-                _, keys = anchors(ids, words, words.hashes(0), bits)
+                _, keys = anchors(ids, words, words.hashes(0))
                 keys = np.unique(keys)
                 low = np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :6])
-                yield from emit(keys >> np.uint64(48), batch.column(0)[i].as_py(), [low])
+                yield from emit(keys >> np.uint64(64 - bits), batch.column(0)[i].as_py(), [low])
 
     def shared(names, sizes, data):
         size = np.array(sizes) // 6
@@ -223,7 +222,7 @@ def deduplicated(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
             for i in range(batch.num_rows):
                 ids, words = opened(batch, i)
                 h = words.hashes(0)
-                at, keys = anchors(ids, words, h, bits)
+                at, keys = anchors(ids, words, h)
                 if not len(at):
                     continue
                 doc = words.doc()
