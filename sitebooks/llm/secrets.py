@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 import numpy as np
@@ -79,15 +80,29 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def spread(taken: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Begins and ends of the stretches that spans cover, in order and apart."""
+    begins, ends = [], []
+    for a, _, b in sorted(taken):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            begins.append(a)
+            ends.append(b)
+    return begins, ends
+
+
 def novel_spans(text: str, taken: list[tuple[int, int, int]], least: float = NOVEL) -> list[tuple[int, int, int]]:
     """Incompressible strings in a sensitive context that no fixed pattern has reported."""
     out, seen = [], set()
+    begins, ends = spread(taken)
     for m in SENSITIVE.finditer(text):
         c = CANDIDATE.search(text, m.end(), m.end() + REACH + 20)
         if c is None:
             continue
         c = CANDIDATE.match(text, c.start())  # to its true end
-        if c.start() in seen or any(a < c.end() and c.start() < b for a, _, b in taken):
+        at = bisect_left(begins, c.end()) - 1  # the last stretch that begins before the candidate ends
+        if c.start() in seen or (at >= 0 and ends[at] > c.start()):
             continue
         seen.add(c.start())
         mixed = any(x.isdigit() for x in c[0]) and any(x.isalpha() for x in c[0])
