@@ -164,7 +164,9 @@ def contamination(
     # Several passes: rows are told apart by their content, equal rows by nothing.
     blocks = -(-2 * total // block)
     part = F.pmod(F.xxhash64("id", "t"), F.lit(blocks))
-    key = F.xxhash64(*[F.col(c) for c in documents.columns])
+    # Two hashes with different seeds, as 64 bits alone would let rows of a very large table meet.
+    whole = [F.col(c) for c in documents.columns]
+    key = F.struct(F.xxhash64(*whole).alias("a"), F.xxhash64(F.lit(7), *reversed(whole)).alias("b"))
     keyed = documents.withColumn("__key", key)
     made = None
     for b in range(blocks):
