@@ -17,8 +17,8 @@ from sitebooks.runtime import materialise
 
 #: A slot is template if it is on at least so many pages of a host and at least this share of them has a text that others have.
 PAGES, REPEATED = 4, 0.5
-#: Wrappers that may be sent to all tasks; with more hosts the pages are joined by host.
-SENT = 20_000
+#: Bytes of wrappers that may be sent to all tasks; beyond them the pages are joined by host.
+SENT = 32 << 20
 #: Levels of a tree that are told apart.
 DEPTH = 60
 
@@ -314,7 +314,7 @@ def extracted(pages: DataFrame, page_id: str = "page_id", url: str = "url", sour
     (:func:`wrappers`).  Then each page is aligned with its host's wrapper and
     the varying slots are its content, one line per block.
 
-    Wrappers go to all tasks when there are few (:data:`SENT` hosts); else pages
+    Wrappers go to all tasks when they are small (:data:`SENT` bytes); else pages
     are joined with them by host, where adaptive execution splits a large host.
     Null or empty html gives an empty text; a null or odd url counts as the
     host with the empty name; repeated rows are pages of their own; an empty
@@ -325,7 +325,8 @@ def extracted(pages: DataFrame, page_id: str = "page_id", url: str = "url", sour
     )
     seen = materialise(surveyed(rows.select("host", "html")), "page-slots")
     found = materialise(wrappers(seen), "page-wrappers")
-    few = found.count() <= SENT
+    size = F.octet_length("__host") + F.octet_length("reference") + F.octet_length(F.array_join("template", ",")) + 100
+    few = found.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= SENT
     joined = rows.join(F.broadcast(found) if few else found, F.col("host") == F.col("__host"), "left")
     wrapper = F.struct("reference", "template")
     source_rows = joined.select("html", "page_id", "url", wrapper.alias("wrapper"))
