@@ -60,15 +60,17 @@ class Model:
 def fit(
     labelled: DataFrame, text: str = "text", lang: str = "lang", buckets: int = BUCKETS, per_language: int = PER_LANGUAGE, smooth: float = 0.5
 ) -> Model:
-    """Fit on at most about ``per_language`` documents of each language, chosen by a hash of their text.
+    """Fit on at most about ``per_language`` documents of each language, chosen by a hash of the whole row.
 
-    Rows with a null text or label take no part.  Priors come from all rows.
+    The hash covers all columns, so that copies of a text under other ids are
+    drawn one by one and a large group of copies does not break the bound.  Rows with a null text or label take no part.  Priors come from all rows.
     Counts are summed in the tasks and then by bucket; the driver gets one
     number per language and bucket.  A table without labels gives a model
     without languages, which answers ``und``.
     """
+    plain = [F.col(f"`{f.name}`") for f in labelled.schema.fields if "map<" not in f.dataType.simpleString()]
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
-        F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")
+        F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.xxhash64(*plain).alias("draw")
     )
     counts = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()}
     if len(counts) > MOST_LANGUAGES:
@@ -78,7 +80,7 @@ def fit(
         return Model([], np.zeros(0), np.zeros((buckets, 0), np.float32))
     number = {name: i for i, name in enumerate(names)}
     share = {name: per_language / n for name, n in counts.items() if n > per_language}
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod("draw", F.lit(1 << 30)) / float(1 << 30)
     kept = rows
     if share:
         limit = F.lit(1.0)
@@ -100,7 +102,7 @@ def fit(
                 names=["lang", "bucket", "n"],
             )
 
-    sums = kept.mapInArrow(tally, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    sums = kept.select("text", "lang").mapInArrow(tally, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     table = np.full((buckets, len(names)), smooth)
     table[sums["bucket"].to_numpy(), sums["lang"].to_numpy()] += sums["n"].to_numpy()
     total = np.array([counts[n] for n in names], float)
