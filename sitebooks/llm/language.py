@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,10 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sitebooks.llm.common import map_text
+from sitebooks.llm.common import CHUNK, map_text, slices
 
 #: Buckets of the n-gram hash and labelled documents per language used for fitting (bounded sample).
 BUCKETS, PER_LANGUAGE = 1 << 15, 3000
+#: Characters whose n-grams are held at once.
+STEP = 1 << 18
 #: A model has a row per language; more labels than this are refused as not being languages.
 MOST_LANGUAGES = 2000
 UNDETERMINED = "und"
@@ -30,22 +33,25 @@ class Grams:
     def __init__(self, buckets: int):
         self.letters, self.shift = _letters(), np.uint64(64 - int(buckets).bit_length() + 1)
 
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket of each n-gram and, in step, the number of its text."""
+    def __call__(self, texts: pa.Array, step: int = STEP) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Bucket of each n-gram and, in step, the number of its text, for ``step`` characters at a time."""
         plain = [f" {(t or '').lower()} " for t in texts.to_pylist()]
+        ends = np.cumsum([len(t) for t in plain])
         points = np.frombuffer("".join(plain).encode("utf-32-le", "surrogatepass"), np.uint32)
-        doc = np.repeat(np.arange(len(plain), dtype=np.int32), [len(t) for t in plain])
-        letter = self.letters[points]
-        c = np.where(letter, points, 32).astype(np.uint64)
-        one = c * np.uint64(0x9E3779B97F4A7C15)
-        two = (c[:-1] * np.uint64(0xC2B2AE3D27D4EB4F)) ^ one[1:]
-        three = ((c[:-2] * np.uint64(0x165667B19E3779F9)) ^ two[1:]) if len(c) > 2 else one[:0]
-        at = (np.flatnonzero(letter), np.flatnonzero(letter[1:]), np.flatnonzero(letter[1:-1]))
-        buckets = [
-            (((h[i] + np.uint64(n)) * np.uint64(0xFF51AFD7ED558CCD)) >> self.shift).astype(np.int32)
-            for n, (h, i) in enumerate(zip((one, two, three), at))
-        ]
-        return np.concatenate(buckets), np.concatenate([doc[i] for i in at])
+        del plain
+        for first in range(0, len(points), step):
+            part = points[first : first + step + 2]  # the last n-grams reach into the next part
+            letter = self.letters[part]
+            c = np.where(letter, part, 32).astype(np.uint64)
+            one = c * np.uint64(0x9E3779B97F4A7C15)
+            two = (c[:-1] * np.uint64(0xC2B2AE3D27D4EB4F)) ^ one[1:]
+            three = ((c[:-2] * np.uint64(0x165667B19E3779F9)) ^ two[1:]) if len(c) > 2 else one[:0]
+            at = [np.flatnonzero(x[:step]) for x in (letter, letter[1:], letter[1:-1])]
+            buckets = [
+                (((h[i] + np.uint64(n)) * np.uint64(0xFF51AFD7ED558CCD)) >> self.shift).astype(np.int32)
+                for n, (h, i) in enumerate(zip((one, two, three), at))
+            ]
+            yield np.concatenate(buckets), np.concatenate([np.searchsorted(ends, first + i, "right") for i in at])
 
 
 @dataclass
@@ -91,10 +97,12 @@ def fit(
     def tally(batches):
         grams, sums = Grams(buckets), {}
         for batch in batches:
-            bucket, doc = grams(batch.column(0))
-            own = np.fromiter((number[x] for x in batch.column(1).to_pylist()), np.int64, batch.num_rows)[doc]
-            for i in np.unique(own).tolist():
-                sums[i] = sums.get(i, 0) + np.bincount(bucket[own == i], minlength=buckets)
+            for part in slices(batch, 0, CHUNK):
+                label = np.fromiter((number[x] for x in part.column(1).to_pylist()), np.int64, part.num_rows)
+                for bucket, doc in grams(part.column(0)):
+                    own = label[doc]
+                    for i in np.unique(own).tolist():
+                        sums[i] = sums.get(i, 0) + np.bincount(bucket[own == i], minlength=buckets)
         for i, total in sums.items():
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(
@@ -125,15 +133,15 @@ def predict(documents: DataFrame, model: Model, text: str = "text", carry: list[
         width = max(1, (4 << 20) // max(1, len(m.languages)))
 
         def fn(texts):
-            bucket, doc = grams(texts)
-            seen = np.bincount(doc, minlength=len(texts))
             names, best = np.full(len(texts), UNDETERMINED, object), np.zeros(len(texts))
             if m.languages:
-                sums = np.zeros((len(texts), len(m.languages)))
-                for a in range(0, len(bucket), width):
-                    b, d = bucket[a : a + width], doc[a : a + width]
-                    first = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
-                    np.add.at(sums, d[first], np.add.reduceat(m.table[b], first, axis=0, dtype=np.float64))
+                seen, sums = np.zeros(len(texts), np.int64), np.zeros((len(texts), len(m.languages)))
+                for bucket, doc in grams(texts):
+                    seen += np.bincount(doc, minlength=len(texts))
+                    for a in range(0, len(bucket), width):
+                        b, d = bucket[a : a + width], doc[a : a + width]
+                        first = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
+                        np.add.at(sums, d[first], np.add.reduceat(m.table[b], first, axis=0, dtype=np.float64))
                 sums += m.prior
                 top = sums.argmax(1)
                 score = 1 / np.exp(sums - sums.max(1, keepdims=True)).sum(1)
