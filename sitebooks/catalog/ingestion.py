@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from sitebooks.catalog.registry import query, table
 from sitebooks.operators.reshape import explode_structs
-from sitebooks.plans import site_info
+from sitebooks.plans import feeds, site_info
 from sitebooks.runtime import scratch_dir
 from sitebooks.sources import files, sinks, tables
 from sitebooks.streaming.catch_up import ingest_new_files
@@ -98,6 +98,41 @@ def feed_history(spark, sf_dir):
     )
 
 
+_STORED = StructType().add("o_orderkey", "long").add("o_totalprice", "double")
+_CONTRACT = StructType().add("Order_Id", "string").add("Amount", "decimal(18,2)")
+_RENAMED = {"o_orderkey": "Order_Id", "o_totalprice": "Amount"}
+
+
+@query(
+    "contract_period_feed",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS Order_Id, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS Amount
+       FROM orders WHERE year(o_orderdate) = 1998 AND month(o_orderdate) = 4""",
+)
+def contract_period_feed(spark, sf_dir):
+    """One month of two roots, renamed and cast to its contract; an empty month would be an error."""
+    main, restricted = scratch_dir(spark, "feed"), scratch_dir(spark, "feed-restricted")
+    _write_feed(spark, sf_dir, main, "o_orderstatus <> 'P'")
+    _write_feed(spark, sf_dir, restricted, "o_orderstatus = 'P'")
+    out = feeds.period_feed(
+        spark, [main, restricted], ["F", "O", "P", "NONE"], 1998, 4, _CONTRACT, _RENAMED, stored=_STORED, layout=_LAYOUT
+    )
+    return sinks.require_rows(out, "orders of April 1998").withColumn("Amount", F.col("Amount").cast("double"))
+
+
+@query(
+    "contract_history_feed",
+    """SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS Order_Id, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS Amount
+       FROM orders""",
+)
+def contract_history_feed(spark, sf_dir):
+    """The history of two roots that share the orders of one status; each order comes out once."""
+    main, restricted = scratch_dir(spark, "feed"), scratch_dir(spark, "feed-restricted")
+    _write_feed(spark, sf_dir, main, "true")
+    _write_feed(spark, sf_dir, restricted, "o_orderstatus = 'P'")
+    out = feeds.history_feed(spark, [main, restricted, main + "-absent"], _CONTRACT, _RENAMED, stored=_STORED)
+    return out.withColumn("Amount", F.col("Amount").cast("double"))
+
+
 def _item(pump: str, product: str) -> str:
     return (
         f"named_struct('pumpNumber', CAST({pump} AS INT), 'productCode', {product}, "

@@ -46,11 +46,3 @@ def in_values(df: DataFrame, column: str, values: Sequence | DataFrame) -> DataF
         keys = values.select(F.col(values.columns[0]).alias(column)).distinct()
         return df.join(keys, column, "left_semi")
     return df.where(F.col(column).isin(list(values)))
-
-
-def any_of(*tests: Column) -> Column:
-    """Disjunction of predicates."""
-    out = tests[0]
-    for test in tests[1:]:
-        out = out | test
-    return out

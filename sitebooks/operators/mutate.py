@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DatetimeType
 
@@ -18,14 +19,28 @@ from sitebooks.operators.sets import union_all
 from sitebooks.operators.windows import latest_with_ties
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()
+) -> DataFrame:
     """Update all columns of matching keys, insert the rest.
 
-    The source must hold one row per key.  Null keys never match, so they are
-    inserted.
+    Of several source rows with one key the first in ``order`` counts; without
+    an order they are an error, raised when the result is computed.  Null keys
+    never match, so such rows are all inserted.
     """
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
-    return union_all([kept.select(*target.columns), source.select(*target.columns)])
+    unknown = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    plain = [F.col(f.name) for f in source.schema.fields if "map<" not in f.dataType.simpleString()]
+    same_key = Window.partitionBy(*keys, F.when(unknown, F.xxhash64(*plain)))
+    if order:
+        ranked = source.withColumn("_rn", F.row_number().over(same_key.orderBy(*order)))
+        one = ranked.where(unknown | (F.col("_rn") == 1)).drop("_rn")
+    else:
+        twice = ~unknown & (F.count(F.lit(1)).over(same_key) > 1)
+        checked = source.withColumn("_twice", twice)
+        error = F.raise_error(F.lit(f"several source rows with one key ({', '.join(keys)})")).cast("boolean")
+        one = checked.where(F.when(F.col("_twice"), error).otherwise(F.lit(True))).drop("_twice")
+    kept = target.join(one.select(*keys), list(keys), "left_anti")
+    return union_all([kept.select(*target.columns), one.select(*target.columns)])
 
 
 def upsert_latest(

@@ -39,11 +39,6 @@ def explode_structs(
     return rows.select(*keep, *[F.col(f"_item.{f}").alias(f) for f in fields])
 
 
-def with_scenarios(df: DataFrame, upper: Column, name: str) -> DataFrame:
-    """One copy of each row per scenario 1..``upper`` (an expression of the row)."""
-    return df.withColumn(name, F.explode(F.sequence(F.lit(1), upper.cast("int"))))
-
-
 def month_spine(
     df: DataFrame, keys: Sequence[str], month: str, amounts: Sequence[str]
 ) -> DataFrame:

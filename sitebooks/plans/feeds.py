@@ -52,12 +52,17 @@ def period_feed(
     target: StructType,
     names: dict[str, str] | None = None,
     optional: Sequence[str] = (),
+    stored: StructType | None = None,
+    layout: str = "{country}/{year:04d}/{month:02d}",
 ) -> DataFrame:
     """One month of a feed over all countries and restricted roots, as the target schema.
 
-    A renamed or missing column fails unless it is ``optional``.  Check the result with ``require_rows`` where an empty month is an error.
+    ``stored`` declares the columns of the files, so that no footer is read for
+    it; without it the footers of the month are merged.  A renamed or missing column fails unless it is ``optional``.  Check the result with ``require_rows`` where an empty month is an error.
     """
-    df = read_period(spark, roots, countries, year, month, merge_schema=True, schema=None)
+    df = read_period(
+        spark, roots, countries, year, month, merge_schema=stored is None, schema=stored, layout=layout
+    )
     return conform(rename(df, names or {}), target, optional)
 
 
@@ -68,7 +73,11 @@ def history_feed(
     names: dict[str, str] | None = None,
     pattern: str = "*/*/*/*.parquet",
     optional: Sequence[str] = (),
+    stored: StructType | None = None,
 ) -> DataFrame:
-    """The whole history of a feed over all its roots, exact copies removed."""
-    df = read_feed(spark, roots, pattern, merge_schema=True, skip_missing=True)
+    """The whole history of a feed over all its roots, exact copies removed.
+
+    ``stored`` declares the columns of the files; without it all footers are merged.
+    """
+    df = read_feed(spark, roots, pattern, merge_schema=stored is None, schema=stored, skip_missing=True)
     return conform(rename(df, names or {}), target, optional).distinct()

@@ -128,6 +128,22 @@ def test_upsert_is_idempotent(spark):
     assert rows(mutate.upsert(once, new, ["k"])) == rows(once)
 
 
+def test_upsert_of_repeated_source_keys(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    new = spark.createDataFrame([(1, "x"), (1, "y"), (None, "n"), (None, "n")], "k int, v string")
+    with pytest.raises(Exception, match="several source rows"):
+        mutate.upsert(old, new, ["k"]).collect()
+    got = mutate.upsert(old, new, ["k"], [F.col("v").desc()])
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, "y"), (2, "b"), (None, "n"), (None, "n")]
+
+
+def test_lookup_keeps_rows_without_a_key(spark):
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, None), (4, "z")], "id int, k string")
+    dim = spark.createDataFrame([("a", 10), (None, 99)], "k2 string, v int")
+    got = joins.lookup_spread(left, F.col("k"), dim, "k2")
+    assert sorted(map(tuple, got.collect())) == [(1, "a", 10), (2, None, None), (3, None, None), (4, "z", None)]
+
+
 def test_run_log_upsert_has_two_keys(spark):
     log = spark.createDataFrame([("match", "NL", "2024-01-01"), ("match", "DE", "2024-01-01")], "job string, country string, run_date string")
     new = spark.createDataFrame([("match", "NL", "2024-02-01"), ("size", "NL", "2024-02-01")], "job string, country string, run_date string")
