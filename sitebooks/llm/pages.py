@@ -22,8 +22,9 @@ SENT = 32 << 20
 #: Levels of a tree that are told apart.
 DEPTH = 60
 
+#: Other '<' are text, as in "i<n)".
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""",
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:._-]*)(?=[\s/>])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][A-Za-z0-9:._-]*)(?=[\s/>])([^>]*)>""",
     re.S,
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)

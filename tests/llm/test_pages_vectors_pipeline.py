@@ -63,6 +63,14 @@ def test_driver_pages_give_their_articles(spark, sf_dir):
         assert got[i] == "\n".join(b for b in blocks if b), i
 
 
+def test_unescaped_less_than_signs_are_text(spark):
+    code = "<div><p>if (i<n) x a<b) y</p><p>f<g(x)> me<a@b.example> no{n}</p></div>"
+    rows = [(n, "http://c.example/", code.replace("{n}", str(n)), None) for n in range(6)]
+    got = {r["page_id"]: r["text"] for r in pages.extracted(frame(spark, rows)).collect()}
+    assert got[3].endswith("f<g(x)> me<a@b.example> no3")
+    assert pages.main_text(rows[3][2], None, set()) == "if (i<n) x a<b) y\nf<g(x)> me<a@b.example> no3"
+
+
 def vectors(spark, rows):
     return ready(spark).createDataFrame(rows, "vec_id long, embedding array<float>, label int, score string")
 
