@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from sitebooks.llm.common import map_text
 from sitebooks.runtime import materialise
 
-#: A slot is template if it is on at least so many pages of a host and at least this share of them has a text that others have.
+#: A slot is template if one text of it is on at least so many distinct pages of a host and on at least this share of them all.
 PAGES, REPEATED = 4, 0.5
 #: Bytes of wrappers that may be sent to all tasks; beyond them the pages are joined by host.
 SENT = 32 << 20
@@ -223,38 +223,42 @@ def host(url: Column) -> Column:
 SLOTS = T.ArrayType(T.StructType([T.StructField("slot", T.StringType()), T.StructField("hash", T.LongType())]))
 
 
+def digest(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
 def surveyed(pages: DataFrame) -> DataFrame:
-    """``host``, folded tree and hash of the text of each slot of every page."""
+    """``host``, folded tree, hash of the text of each slot and one hash of all of them (``page``) of every page."""
 
     def start():
         def fn(sources):
-            trees, slots = [], []
+            trees, slots, whole = [], [], []
             for s in sources.to_pylist():
                 page = Page(s or "")
                 texts: dict[str, list[str]] = {}
                 for slot, _, _, text in page.blocks:
                     texts.setdefault(name(slot), []).append(text)
                 trees.append(page.skeleton())
-                slots.append(
-                    [
-                        {"slot": k, "hash": int.from_bytes(blake2b("\n".join(v).encode(), digest_size=8).digest(), "big", signed=True)}
-                        for k, v in texts.items()
-                    ]
-                )
-            return [pa.array(trees, pa.string()), pa.array(slots, pa.list_(pa.struct([("slot", pa.string()), ("hash", pa.int64())])))]
+                slots.append([{"slot": k, "hash": digest("\n".join(v))} for k, v in texts.items()])
+                whole.append(digest("\n".join(f"{s['slot']} {s['hash']}" for s in slots[-1])))
+            kind = pa.list_(pa.struct([("slot", pa.string()), ("hash", pa.int64())]))
+            return [pa.array(trees, pa.string()), pa.array(slots, kind), pa.array(whole, pa.int64())]
 
         return fn
 
-    return map_text(pages, "html", ["host"], [T.StructField("tree", T.StringType()), T.StructField("slots", SLOTS)], start)
+    fields = [T.StructField("tree", T.StringType()), T.StructField("slots", SLOTS), T.StructField("page", T.LongType())]
+    return map_text(pages, "html", ["host"], fields, start)
 
 
 def wrappers(seen: DataFrame, least_pages: int = PAGES, repeated: float = REPEATED) -> DataFrame:
     """``host``, its most frequent folded tree, and the slots of it that are template.
 
-    All pages of a host count.  Trees other than the reference are aligned with
-    it; a slot's texts are counted with partial sums, so a host of very many
-    pages is no hot key.
+    All distinct pages of a host count, copies once.  Trees other than the
+    reference are aligned with it; a slot's texts are counted with partial
+    sums, so a host of very many pages is no hot key.  A slot is template if
+    one text of it is on ``repeated`` of the host's distinct pages.
     """
+    seen = seen.groupBy("host", "tree", "page").agg(F.first("slots").alias("slots"))  # equal in all copies
     trees = seen.groupBy("host", "tree").agg(F.count("*").alias("n"))
     reference = trees.groupBy("host").agg(F.max_by("tree", F.struct("n", "tree")).alias("reference"))
     texts = (
@@ -276,10 +280,9 @@ def wrappers(seen: DataFrame, least_pages: int = PAGES, repeated: float = REPEAT
 
     same = pairs.mapInArrow(align, "host string, tree string, slot string, ref string")
     counted = texts.join(same, ["host", "tree", "slot"]).groupBy("host", "ref", "hash").agg(F.sum("n").alias("n"))
-    share = counted.groupBy("host", "ref").agg(
-        F.sum("n").alias("pages"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("again")
-    )
-    fixed = share.where((F.col("pages") >= least_pages) & (F.col("again") >= repeated * F.col("pages")))
+    share = counted.groupBy("host", "ref").agg(F.max("n").alias("most"))
+    total = trees.groupBy("host").agg(F.sum("n").alias("pages"))
+    fixed = share.join(total, "host").where((F.col("most") >= least_pages) & (F.col("most") >= repeated * F.col("pages")))
     fixed = fixed.groupBy("host").agg(F.array_sort(F.collect_list("ref")).alias("template"))
     return reference.join(fixed, "host", "left").select(
         F.col("host").alias("__host"), "reference", F.coalesce("template", F.array().cast("array<string>")).alias("template")
@@ -311,15 +314,15 @@ def extracted(pages: DataFrame, page_id: str = "page_id", url: str = "url", sour
 
     The pages of a host are compared first: the most frequent folded tree is
     the reference, others are aligned with it by simple tree matching, and
-    slots whose texts are mostly repeated on the host become template
+    slots with one text on most distinct pages of the host become template
     (:func:`wrappers`).  Then each page is aligned with its host's wrapper and
     the varying slots are its content, one line per block.
 
     Wrappers go to all tasks when they are small (:data:`SENT` bytes); else pages
     are joined with them by host, where adaptive execution splits a large host.
     Null or empty html gives an empty text; a null or odd url counts as the
-    host with the empty name; repeated rows are pages of their own; an empty
-    table gives no rows; other columns are ignored.
+    host with the empty name; repeated rows are rows of their own, but count as
+    one page of the host; an empty table gives no rows; other columns are ignored.
     """
     rows = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(source).cast("string").alias("html"), host(F.col(url)).alias("host")

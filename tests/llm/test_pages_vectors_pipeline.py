@@ -63,6 +63,15 @@ def test_driver_pages_give_their_articles(spark, sf_dir):
         assert got[i] == "\n".join(b for b in blocks if b), i
 
 
+def test_copies_of_pages_do_not_make_a_body_template(spark):
+    body = "<div class=top>Welcome</div><div class=body><p>Own {n}</p></div><h2>{h}</h2>"
+    rows = [(n, "http://m.example/", body.format(n=n % 2, h="x"), None) for n in range(100)]  # 2 pages x 50 copies
+    rows += [(100 + n, "http://k.example/", body.format(n=n % 20, h=f"part {n % 20 // 2}"), None) for n in range(40)]
+    got = {r["page_id"]: r["text"] for r in pages.extracted(frame(spark, rows)).collect()}
+    assert all(got[n] == f"Welcome\nOwn {n % 2}\nx" for n in range(100))
+    assert all(got[100 + n] == f"Own {n % 20}\npart {n % 20 // 2}" for n in range(40))
+
+
 def test_unescaped_less_than_signs_are_text(spark):
     code = "<div><p>if (i<n) x a<b) y</p><p>f<g(x)> me<a@b.example> no{n}</p></div>"
     rows = [(n, "http://c.example/", code.replace("{n}", str(n)), None) for n in range(6)]
