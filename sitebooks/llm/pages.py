@@ -21,13 +21,15 @@ PAGES, REPEATED = 4, 0.5
 SENT = 32 << 20
 #: Levels of a tree that are told apart.
 DEPTH = 60
+#: Articles with less than this share of a page's text are no main text by themselves.
+SMALL = 0.25
 
 #: Other '<' are text, as in "i<n)".
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:._-]*)(?=[\s/>])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][A-Za-z0-9:._-]*)(?=[\s/>])([^>]*)>""",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 RAW = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in ("script", "style", "textarea", "title", "xmp", "noscript", "iframe", "template")}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -42,7 +44,7 @@ ENDS = {
 BOUND = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
 #: Never main text, wherever they stand; outside an article also headers.
 NEVER = frozenset(
-    "nav footer aside form script style noscript template menu dialog button select textarea iframe svg canvas head title "
+    "nav footer aside script style noscript template menu dialog button select textarea iframe svg canvas head title "
     "object audio video map figure-ad".split()
 )
 MAIN = frozenset(("article", "main"))
@@ -53,7 +55,15 @@ APART = re.compile(
     r"widgets?|pagination|pager|copyright)(?:$|[\s_-])",
     re.I,
 )
-ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
+#: Class words that tell of a page's state or subject, not of what the element is.
+STATE = re.compile(
+    r"(?:has|no|non|not|with|without|hide|show|category|tag|type|format|status|term|author)[_-].*|.*[_-](?:opened|open|closed|close|enabled|disabled|active|on|off)",
+    re.I | re.S,
+)
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|repl(?:y|ies)|respond)(?:$|[\s_-])", re.I)
+ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert".split())
+#: Marks of an element: what is APART or a form may yet hold the page's main text, what is NEVER may not.
+PLAIN, FORM, BESIDE, REMARKS, BARRED = range(5)
 PARAGRAPH_ENDS = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr main menu nav ol p pre section table ul".split()
@@ -69,9 +79,11 @@ class Page:
     """
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[tuple[str, ...], bool, bool, str]] = []  # slot, in main, never main, text
+        self.blocks: list[tuple[tuple[str, ...], int, str]] = []  # slot, spot, text
+        #: Elements with a mark or of main, each after the one around it (-1: none): around, is main, in main, mark, barred.
+        self.spots: list[tuple[int, bool, bool, int, bool]] = []
         self.tree: dict = {}
-        stack: list[tuple[str, str, bool, bool]] = []  # tag, label, in main, never main
+        stack: list[tuple[str, str, int]] = []  # tag, label, spot
         words: list[str] = []
         at, end = 0, len(source)
 
@@ -80,9 +92,8 @@ class Page:
                 text = " ".join(html.unescape("".join(words)).split())
                 words.clear()
                 if text:
-                    top = stack[-1] if stack else ("", "", False, False)
                     slot = tuple(s[1] for s in stack[:DEPTH])
-                    self.blocks.append((slot, top[2], top[3], text))
+                    self.blocks.append((slot, stack[-1][2] if stack else -1, text))
 
         while at < end:
             m = TOKEN.search(source, at)
@@ -127,23 +138,37 @@ class Page:
                         break
             if tag in VOID:
                 continue
-            up = stack[-1] if stack else ("", "", False, False)
-            label, main, never = tag, up[2], up[3]
+            spot = stack[-1][2] if stack else -1
+            inside = spot >= 0 and self.spots[spot][2]
+            label, main, mark = tag, tag in MAIN, FORM if tag == "form" else PLAIN
             if rest and not rest.isspace():
-                found = {a[1].lower(): (a[2] or a[3] or a[4] or "") for a in ATTRIBUTE.finditer(rest)}
+                found: dict[str, str] = {}
+                for a in ATTRIBUTE.finditer(rest):
+                    found.setdefault(a[1].lower(), a[2] or a[3] or a[4] or "")
                 name = found.get("class", "").split()[:1] or found.get("id", "").split()[:1]
                 if name:
                     label = f"{tag}.{re.sub(r'[^A-Za-z_-]+', '', name[0])}"
                 role = found.get("role", "").lower()
                 main |= role == "main" or "articleBody" in found.get("itemprop", "")
-                never |= role in ROLES or "hidden" in found or any(APART.search(found.get(a, "")) for a in ("class", "id"))
-            main |= tag in MAIN
-            never |= tag in NEVER or (tag == "header" and not main)
+                if tag not in ("html", "body"):
+                    words_of = [w for a in ("class", "id") for w in found.get(a, "").split() if APART.search(w) and not STATE.fullmatch(w)]
+                    if words_of:
+                        mark = REMARKS if any(map(COMMENTS.search, words_of)) else BESIDE
+                    elif role == "form":
+                        mark = FORM
+                    if role in ROLES or "hidden" in found:
+                        mark = BARRED
+            if tag in NEVER or (tag == "header" and not (main or inside)):
+                mark = BARRED
             if tag in RAW:
                 shut = RAW[tag].search(source, at)
                 at = shut.end() if shut else end
                 continue
-            stack.append((tag, label, main, never))
+            if main or mark:
+                barred = mark == BARRED or (spot >= 0 and self.spots[spot][4])
+                self.spots.append((spot, main, main or inside, mark, barred))
+                spot = len(self.spots) - 1
+            stack.append((tag, label, spot))
             node = self.tree
             for s in stack[:DEPTH]:
                 node = node.setdefault(s[1], {})
@@ -152,6 +177,49 @@ class Page:
     def skeleton(self) -> str:
         return folded(self.tree)
 
+    def around(self, spot: int):
+        """The spots from one outwards."""
+        while spot >= 0:
+            yield spot
+            spot = self.spots[spot][0]
+
+    def barred(self, spot: int) -> bool:
+        return spot >= 0 and self.spots[spot][4]
+
+    def apart(self, varies: list[bool]) -> list[bool]:
+        """For each block, whether it stands in an element that is not content.
+
+        A class word or a form says so, but not for an element that holds the
+        page's article, or, where there is none, most of its varying text
+        (lists of comments may be long, so they stay apart).
+        """
+        marks = [s[3] for s in self.spots]
+        own, whole, total, plain = [0] * len(marks), [0] * len(marks), 0, 0
+        for (_, spot, text), new in zip(self.blocks, varies):
+            if self.barred(spot):
+                continue
+            n, beside = len(text), False
+            for s in self.around(spot):
+                own[s] += 0 if beside else n  # of an article, without what is beside it in there
+                whole[s] += n if new else 0
+                beside |= marks[s] > FORM
+            total += n if new else 0
+            plain += 0 if beside else n
+        free: set[int] = set()
+        articles = [
+            (-sum(marks[o] > FORM for o in self.around(s)), own[s], -s) for s, spot in enumerate(self.spots) if spot[1] and own[s]
+        ]
+        if articles:
+            beside, size, s = max(articles)
+            if not beside or size >= SMALL * plain:
+                free.update(self.around(-s))
+        if not free:
+            free.update(s for s, mark in enumerate(marks) if mark in (FORM, BESIDE) and 2 * whole[s] > total)
+        out = {-1: False}
+        for s, mark in enumerate(marks):
+            out[s] = out[self.spots[s][0]] or mark == BARRED or (mark > PLAIN and s not in free)
+        return [out[spot] for _, spot, _ in self.blocks]
+
 
 def folded(tree: dict) -> str:
     """The folded tree as text: label(children)..."""
@@ -236,8 +304,9 @@ def surveyed(pages: DataFrame) -> DataFrame:
             for s in sources.to_pylist():
                 page = Page(s or "")
                 texts: dict[str, list[str]] = {}
-                for slot, _, _, text in page.blocks:
-                    texts.setdefault(name(slot), []).append(text)
+                for slot, spot, text in page.blocks:
+                    if not page.barred(spot):
+                        texts.setdefault(name(slot), []).append(text)
                 trees.append(page.skeleton())
                 slots.append([{"slot": k, "hash": digest("\n".join(v))} for k, v in texts.items()])
                 whole.append(digest("\n".join(f"{s['slot']} {s['hash']}" for s in slots[-1])))
@@ -295,18 +364,17 @@ def main_text(source: str, reference: str | None, template: set[str]) -> str:
     A slot that the host's wrapper shows to be template goes.  Then the
     elements are checked: what stands in an article or main element is content
     even if other pages repeat it, and menus, footers, forms and the like are
-    never content; where a page has an article, text outside it goes.
+    never content, save those around the main text (:meth:`Page.apart`); where
+    a page has an article, text outside it goes.
     """
     page = Page(source)
     same = aligned(page.skeleton(), reference) if reference else {}
-    lead = any(main and not never for _, main, never, _ in page.blocks)
-    out = []
-    for slot, main, never, text in page.blocks:
-        path = name(slot)
-        varies = same.get(path, path) not in template
-        if not never and (main or (varies and not lead)):
-            out.append(text)
-    return "\n".join(out)
+    paths = [name(slot) for slot, _, _ in page.blocks]
+    varies = [same.get(path, path) not in template for path in paths]
+    never = page.apart(varies)
+    main = [spot >= 0 and page.spots[spot][2] for _, spot, _ in page.blocks]
+    lead = any(m and not n for m, n in zip(main, never))
+    return "\n".join(b[2] for b, v, n, m in zip(page.blocks, varies, never, main) if not n and (m or (v and not lead)))
 
 
 def extracted(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:

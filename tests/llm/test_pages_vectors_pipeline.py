@@ -72,6 +72,21 @@ def test_copies_of_pages_do_not_make_a_body_template(spark):
     assert all(got[100 + n] == f"Own {n % 20}\npart {n % 20 // 2}" for n in range(40))
 
 
+def test_class_words_and_forms_around_the_main_text_do_not_drop_it():
+    of = lambda source: pages.main_text(source, None, set())
+    long = "The body of the page, which is long enough."
+    article = f"<article><p>{long}</p><div class=comments-area><article class=comment><p>{long} {long} No.</p></article></div></article>"
+    for around in (
+        "<body class='single has-sidebar'>{}</body>", "<div id=page class='no-sidebar'>{}</div>", "<body class='social-policy'>{}</body>",
+        "<body><form action=/ id=aspnet>{}<input></form></body>", "<body><div class='content sidebar-left'>{}</div></body>",
+        "<div style='overflow:hidden' aria-hidden=false data-class=sidebar>{}</div>",
+    ):
+        for inner in (article, article.replace("<article><p>", "<article class='post comments-open'><p>"), f"<p>{long}</p>"):
+            assert of(around.format(inner) + "<div class=sidebar><p>Side</p></div><form>Find</form>") == long, (around, inner)
+    assert of(f"<div class='related'><article>Card</article></div><div><p>{long}</p></div><div class=footer-links>x</div>") == long
+    assert of(f"<p>{long}</p><div id=comments><p>{long} {long}</p></div>") == long
+
+
 def test_unescaped_less_than_signs_are_text(spark):
     code = "<div><p>if (i<n) x a<b) y</p><p>f<g(x)> me<a@b.example> no{n}</p></div>"
     rows = [(n, "http://c.example/", code.replace("{n}", str(n)), None) for n in range(6)]
