@@ -17,6 +17,8 @@ from sitebooks.runtime import materialise
 
 #: A slot is template if one text of it is on at least so many distinct pages of a host and on at least this share of them all.
 PAGES, REPEATED = 4, 0.5
+#: A block is template, also in an article, if its text is in its slot on at least this share of the distinct pages.
+CONSTANT = 0.8
 #: Bytes of wrappers that may be sent to all tasks; beyond them the pages are joined by host.
 SENT = 32 << 20
 #: Levels of a tree that are told apart.
@@ -288,7 +290,13 @@ def host(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-SLOTS = T.ArrayType(T.StructType([T.StructField("slot", T.StringType()), T.StructField("hash", T.LongType())]))
+#: ``whole``: the text of the slot; ``part``: a block of it.  A slot of one block is both.
+SLOTS = T.ArrayType(
+    T.StructType(
+        [T.StructField("slot", T.StringType()), T.StructField("hash", T.LongType())]
+        + [T.StructField(n, T.BooleanType()) for n in ("whole", "part")]
+    )
+)
 
 
 def digest(text: str) -> int:
@@ -296,7 +304,7 @@ def digest(text: str) -> int:
 
 
 def surveyed(pages: DataFrame) -> DataFrame:
-    """``host``, folded tree, hash of the text of each slot and one hash of all of them (``page``) of every page."""
+    """``host``, folded tree, hashes of each slot's text and blocks, one hash of all texts (``page``) of every page."""
 
     def start():
         def fn(sources):
@@ -308,9 +316,14 @@ def surveyed(pages: DataFrame) -> DataFrame:
                     if not page.barred(spot):
                         texts.setdefault(name(slot), []).append(text)
                 trees.append(page.skeleton())
-                slots.append([{"slot": k, "hash": digest("\n".join(v))} for k, v in texts.items()])
-                whole.append(digest("\n".join(f"{s['slot']} {s['hash']}" for s in slots[-1])))
-            kind = pa.list_(pa.struct([("slot", pa.string()), ("hash", pa.int64())]))
+                rows = []
+                for k, v in texts.items():
+                    rows.append({"slot": k, "hash": digest("\n".join(v)), "whole": True, "part": len(v) == 1})
+                    if len(v) > 1:
+                        rows += [{"slot": k, "hash": digest(t), "whole": False, "part": True} for t in dict.fromkeys(v)]
+                slots.append(rows)
+                whole.append(digest("\n".join(f"{s['slot']} {s['hash']}" for s in rows if s["whole"])))
+            kind = pa.list_(pa.struct([("slot", pa.string()), ("hash", pa.int64()), ("whole", pa.bool_()), ("part", pa.bool_())]))
             return [pa.array(trees, pa.string()), pa.array(slots, kind), pa.array(whole, pa.int64())]
 
         return fn
@@ -319,21 +332,22 @@ def surveyed(pages: DataFrame) -> DataFrame:
     return map_text(pages, "html", ["host"], fields, start)
 
 
-def wrappers(seen: DataFrame, least_pages: int = PAGES, repeated: float = REPEATED) -> DataFrame:
-    """``host``, its most frequent folded tree, and the slots of it that are template.
+def wrappers(seen: DataFrame, least_pages: int = PAGES, repeated: float = REPEATED, constant: float = CONSTANT) -> DataFrame:
+    """``host``, its most frequent folded tree, and the slots and blocks (slot and hash) of it that are template.
 
     All distinct pages of a host count, copies once.  Trees other than the
     reference are aligned with it; a slot's texts are counted with partial
     sums, so a host of very many pages is no hot key.  A slot is template if
-    one text of it is on ``repeated`` of the host's distinct pages.
+    one text of it is on ``repeated`` of the host's distinct pages, a block if
+    its text is in the slot on ``constant`` of them.
     """
     seen = seen.groupBy("host", "tree", "page").agg(F.first("slots").alias("slots"))  # equal in all copies
     trees = seen.groupBy("host", "tree").agg(F.count("*").alias("n"))
     reference = trees.groupBy("host").agg(F.max_by("tree", F.struct("n", "tree")).alias("reference"))
     texts = (
         seen.select("host", "tree", F.explode("slots").alias("s"))
-        .groupBy("host", "tree", "s.slot", "s.hash")
-        .agg(F.count("*").alias("n"))
+        .groupBy("host", F.xxhash64("tree").alias("key"), "s.slot", "s.hash")
+        .agg(F.count_if("s.whole").alias("n"), F.count_if("s.part").alias("parts"))
     )
     pairs = trees.select("host", "tree").join(reference, "host")
 
@@ -348,11 +362,20 @@ def wrappers(seen: DataFrame, least_pages: int = PAGES, repeated: float = REPEAT
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["host", "tree", "slot", "ref"])
 
     same = pairs.mapInArrow(align, "host string, tree string, slot string, ref string")
-    counted = texts.join(same, ["host", "tree", "slot"]).groupBy("host", "ref", "hash").agg(F.sum("n").alias("n"))
-    share = counted.groupBy("host", "ref").agg(F.max("n").alias("most"))
+    same = same.select("host", F.xxhash64("tree").alias("key"), "slot", "ref")
+    counted = texts.join(same, ["host", "key", "slot"]).groupBy("host", "ref", "hash")
+    counted = counted.agg(F.sum("n").alias("n"), F.sum("parts").alias("parts"))
     total = trees.groupBy("host").agg(F.sum("n").alias("pages"))
-    fixed = share.join(total, "host").where((F.col("most") >= least_pages) & (F.col("most") >= repeated * F.col("pages")))
-    fixed = fixed.groupBy("host").agg(F.array_sort(F.collect_list("ref")).alias("template"))
+    often = counted.where(F.greatest("n", "parts") >= least_pages).join(total, "host")
+    found = F.array(
+        F.when(F.col("n") >= F.greatest(F.lit(least_pages), repeated * F.col("pages")), F.col("ref")),
+        F.when(
+            F.col("parts") >= F.greatest(F.lit(least_pages), constant * F.col("pages")),
+            F.concat_ws(" ", "ref", F.col("hash").cast("string")),
+        ),
+    )
+    fixed = often.select("host", F.explode(F.array_compact(found)).alias("ref"))
+    fixed = fixed.groupBy("host").agg(F.array_sort(F.collect_set("ref")).alias("template"))
     return reference.join(fixed, "host", "left").select(
         F.col("host").alias("__host"), "reference", F.coalesce("template", F.array().cast("array<string>")).alias("template")
     )
@@ -361,20 +384,30 @@ def wrappers(seen: DataFrame, least_pages: int = PAGES, repeated: float = REPEAT
 def main_text(source: str, reference: str | None, template: set[str]) -> str:
     """Texts of the slots that vary, in page order.
 
-    A slot that the host's wrapper shows to be template goes.  Then the
-    elements are checked: what stands in an article or main element is content
-    even if other pages repeat it, and menus, footers, forms and the like are
-    never content, save those around the main text (:meth:`Page.apart`); where
-    a page has an article, text outside it goes.
+    Slots and blocks that the host's wrapper shows to be template go; in an
+    article only blocks do, and none if less than half of its text would stay
+    (pages may be near copies).  Then the elements are checked: menus, footers,
+    forms and the like are never content, save those around the main text
+    (:meth:`Page.apart`); where articles hold a fair share of the varying text
+    (:data:`SMALL`), text outside them goes.
     """
     page = Page(source)
     same = aligned(page.skeleton(), reference) if reference else {}
-    paths = [name(slot) for slot, _, _ in page.blocks]
-    varies = [same.get(path, path) not in template for path in paths]
-    never = page.apart(varies)
     main = [spot >= 0 and page.spots[spot][2] for _, spot, _ in page.blocks]
-    lead = any(m and not n for m, n in zip(main, never))
-    return "\n".join(b[2] for b, v, n, m in zip(page.blocks, varies, never, main) if not n and (m or (v and not lead)))
+    paths = [same.get(path, path) for path in (name(slot) for slot, _, _ in page.blocks)]
+    varies = [
+        not template or ((m or path not in template) and f"{path} {digest(text)}" not in template)
+        for path, m, (_, _, text) in zip(paths, main, page.blocks)
+    ]
+    never = page.apart(varies)
+    size = lambda wanted: sum(len(b[2]) for b, w in zip(page.blocks, wanted) if w)
+    article = [m and not n for m, n in zip(main, never)]
+    if 2 * size(a and v for a, v in zip(article, varies)) < size(article):
+        varies = [v or a for v, a in zip(varies, article)]
+    inner = size(a and v for a, v in zip(article, varies))
+    outer = size(v and not (m or n) for v, m, n in zip(varies, main, never))
+    lead = inner > 0 and inner >= SMALL * (inner + outer)
+    return "\n".join(b[2] for b, v, n, m in zip(page.blocks, varies, never, main) if v and not n and (m or not lead))
 
 
 def extracted(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
@@ -382,8 +415,8 @@ def extracted(pages: DataFrame, page_id: str = "page_id", url: str = "url", sour
 
     The pages of a host are compared first: the most frequent folded tree is
     the reference, others are aligned with it by simple tree matching, and
-    slots with one text on most distinct pages of the host become template
-    (:func:`wrappers`).  Then each page is aligned with its host's wrapper and
+    slots with one text on most distinct pages of the host, and blocks on nearly
+    all, become template (:func:`wrappers`).  Then each page is aligned with its host's wrapper and
     the varying slots are its content, one line per block.
 
     Wrappers go to all tasks when they are small (:data:`SENT` bytes); else pages

@@ -72,6 +72,22 @@ def test_copies_of_pages_do_not_make_a_body_template(spark):
     assert all(got[100 + n] == f"Own {n % 20}\npart {n % 20 // 2}" for n in range(40))
 
 
+def test_induction_decides_inside_and_beside_articles(spark):
+    words = ["alpha", "beta", "gamma", "delta", "eta", "theta", "iota", "kappa"]
+    own = lambda n: f"Page {words[n]} tells of {words[n]} and nothing else, at some length."
+    notice = "<article><p>{x}</p><p>Subscribe to us!</p><p>{x} Again.</p></article><div><p>Outside {n}</p></div>"
+    teaser = "<div class=top>Welcome</div><div class=text><p>{x}</p><p>{x} Again.</p></div><article>Teaser {n}</article>"
+    alike = "<article><p>One text for all pages of the host.</p></article><p>At {n}</p>"
+    rows = [
+        (100 * k + n, f"http://h{k}.example/", form.format(x=own(n), n=n), None)
+        for k, form in enumerate((notice, teaser, alike)) for n in range(8)
+    ]
+    got = {r["page_id"]: r["text"] for r in pages.extracted(frame(spark, rows)).collect()}
+    assert [got[n] for n in range(8)] == [f"{own(n)}\n{own(n)} Again." for n in range(8)]
+    assert [got[100 + n] for n in range(8)] == [f"{own(n)}\n{own(n)} Again.\nTeaser {n}" for n in range(8)]
+    assert {got[200 + n] for n in range(8)} == {"One text for all pages of the host."}
+
+
 def test_class_words_and_forms_around_the_main_text_do_not_drop_it():
     of = lambda source: pages.main_text(source, None, set())
     long = "The body of the page, which is long enough."
