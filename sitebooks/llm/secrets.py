@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, insort
 from functools import lru_cache
 
 import numpy as np
@@ -26,12 +26,22 @@ SHORTEST = {"assign": 8, "access": 16, "hex": 32}
 
 KINDS = ("assign", "access", "hex", "novel")
 HEX_BYTES = byte_class([*range(0x30, 0x3A), *range(0x61, 0x67)])
-#: A sensitive word, and how far behind it a candidate may start.
-SENSITIVE = re.compile(r"passw|passphrase|secret|token|api_?key|private_?key|access_?key|credential|bearer|authorization|signature", re.I | re.A)
+#: A sensitive word, and how far behind the identifier it is in a candidate may start.
+SENSITIVE = re.compile(
+    r"passw|passphrase|secret|token|(?:api|private|access)[ _-]?key|credential|bearer|authorization|signature", re.I | re.A
+)
 MARKS = (b"passw", b"passphrase", b"secret", b"token", b"api", b"private", b"access", b"credential", b"bearer", b"authorization", b"signature")
 REACH = 48
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-#: Characters before a candidate that count as its surroundings; marginal bytes per character of a novel string.
+CANDIDATE = re.compile(r"(?:(?<!\\)|(?![nrt]))[A-Za-z0-9+/_=-]{20,}")  # not from the letter of an escape on
+#: A candidate with the dotted parts and, behind lines of 40 characters or more, the lines that go on with it.
+JOINED = re.compile(
+    r"""[A-Za-z0-9+/_=-]{20,}(?:\.[A-Za-z0-9+/_=-]{2,}"""
+    r"""|(?<=[A-Za-z0-9+/_=-]{40})(?:\r?\n|\\n)[ \t]*[A-Za-z0-9+/_=-]+(?=[ \t]*(?:\r?\n|\\n|["'`]|\Z)))*"""
+)
+BREAK = re.compile(r"\\n|\s+")
+IDENTIFIER = re.compile(r"[A-Za-z0-9_-]*")
+ARMOUR = re.compile(r"(?: BLOCK)?-----")
+#: Characters on each side of a candidate that count as its surroundings; marginal bytes per character of a novel string.
 SURROUND, NOVEL = 512, 0.7
 #: Words of code, so that identifiers made of them are nothing new to the compressor.
 IDENTIFIERS = (
@@ -54,15 +64,15 @@ SPANS = T.ArrayType(
 
 
 class Novelty:
-    """Marginal compressed bytes of a string behind its surroundings, with identifiers known beforehand."""
+    """Marginal compressed bytes of a string among its surroundings, with identifiers known beforehand."""
 
     def __init__(self, identifiers: str = IDENTIFIERS):
         words = zstandard.ZstdCompressionDict(identifiers.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.packer = zstandard.ZstdCompressor(level=9, dict_data=words, write_content_size=False)
 
-    def __call__(self, before: str, candidate: str) -> float:
-        """Bytes per byte that the candidate adds: near 1 or above for random strings, low for repeated or known ones."""
-        base = before.encode("utf-8", "replace")
+    def __call__(self, around: str, candidate: str) -> float:
+        """Bytes per byte that the candidate adds: near 1 or above for random strings, low for known ones."""
+        base = around.encode("utf-8", "replace")
         own = candidate.encode()
         return (len(self.packer.compress(base + own)) - len(self.packer.compress(base))) / len(own)
 
@@ -93,21 +103,48 @@ def spread(taken: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
 
 
 def novel_spans(text: str, taken: list[tuple[int, int, int]], least: float = NOVEL) -> list[tuple[int, int, int]]:
-    """Incompressible strings in a sensitive context that no fixed pattern has reported."""
-    out, seen = [], set()
+    """Incompressible strings in a sensitive context that no fixed pattern has reported.
+
+    Every candidate that starts within reach of a sensitive word is measured,
+    joined with what goes on with it; where that is too plain or partly
+    reported, its parts are.  A string that is there twice is measured as if
+    it were there once.
+    """
+    out: list[tuple[int, int, int]] = []
+    seen: set[tuple[int, int]] = set()
     begins, ends = spread(taken)
+
+    def novel(start: int, end: int) -> bool:
+        if (start, end) in seen:
+            return False
+        seen.add((start, end))
+        at = bisect_left(begins, end) - 1  # the last stretch that begins before the candidate ends
+        if at >= 0 and ends[at] > start:
+            return False
+        at = bisect_left(out, (end,)) - 1
+        if at >= 0 and out[at][2] > start:
+            return False
+        own = text[start:end]
+        if not (any(x.isdigit() for x in own) and any(x.isalpha() for x in own)):
+            return False
+        around = text[max(0, start - SURROUND) : start].replace(own, "") + text[end : end + SURROUND].replace(own, "")
+        return novelty()(around, BREAK.sub("", own)) >= least
+
     for m in SENSITIVE.finditer(text):
-        c = CANDIDATE.search(text, m.end(), m.end() + REACH + 20)
-        if c is None:
-            continue
-        c = CANDIDATE.match(text, c.start())  # to its true end
-        at = bisect_left(begins, c.end()) - 1  # the last stretch that begins before the candidate ends
-        if c.start() in seen or (at >= 0 and ends[at] > c.start()):
-            continue
-        seen.add(c.start())
-        mixed = any(x.isdigit() for x in c[0]) and any(x.isalpha() for x in c[0])
-        if mixed and novelty()(text[max(0, c.start() - SURROUND) : c.start()], c[0]) >= least:
-            out.append((c.start(), 3, c.end()))
+        reach = IDENTIFIER.match(text, m.end()).end() + REACH
+        if ARMOUR.match(text, m.end()):  # all of a key block
+            reach = max(reach, text.find("-----END", m.end()))
+        at = m.end()
+        while c := CANDIDATE.search(text, at, reach + 20):
+            if c.start() > reach:
+                break
+            start, at = c.start(), JOINED.match(text, c.start()).end()
+            if novel(start, at):
+                insort(out, (start, 3, at))
+                continue
+            for part in CANDIDATE.finditer(text, start, at):
+                if novel(*part.span()):
+                    insort(out, (part.start(), 3, part.end()))
     return out
 
 
@@ -117,8 +154,8 @@ def scan(documents: DataFrame, text: str = "text", carry: list[str] | None = Non
     ``assign``, ``access`` and ``hex`` are the matches of fixed patterns, leftmost
     and non-overlapping per kind, that are long enough.  ``novel`` are strings
     behind a sensitive word that cost nearly their own length (``least`` bytes
-    per byte) when compressed behind the text before them with a dictionary of
-    identifiers, and that overlap no other span.  Spans are ordered by start,
+    per byte) when compressed behind the text on both sides of them with a
+    dictionary of identifiers, and that overlap no other span.  Spans are ordered by start,
     then by kind in this order.
 
     Whole texts are scanned where they are read; texts without any mark of a
