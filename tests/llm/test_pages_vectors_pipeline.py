@@ -152,6 +152,15 @@ def test_recall_against_brute_force(spark, sf_dir):
     assert all(abs(r["score"] - y[at[r["query_id"]]] @ y[at[r["vec_id"]]]) < 1e-12 for r in got)
 
 
+def test_recall_of_a_full_shard_without_clusters():
+    x = np.random.default_rng(7).standard_normal((neighbours.SHARD, 64)).astype(np.float32)
+    graph, y, hits, asked = neighbours.Graph(x), x / np.linalg.norm(x, axis=1, keepdims=True), 0, range(0, len(x), 50)
+    for q in asked:
+        best = np.argsort(-(y @ y[q]))[:6]
+        hits += len({i for i in graph.find(x[q], neighbours.SEARCH)[:6]} & set(best.tolist())) - 1
+    assert hits >= 0.9 * 5 * len(asked)
+
+
 def test_pipeline_equals_its_stages_by_hand(spark, sf_dir):
     rows = {r[0]: r for r in duckdb.execute(f"select doc_id, text, lang from '{sf_dir}/documents.parquet'").fetchall()}
     df = ready(spark).read.parquet(f"{sf_dir}/documents.parquet")
