@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitebooks.llm import decontaminate, language, neighbours, packing, pages, repeats, secrets, sharding, simhash, tokens
+from sitebooks.llm import decontaminate, infill, language, neighbours, packing, pages, repeats, secrets, sharding, simhash, tokens
 from sitebooks.llm.common import ready
 
 TOKEN_LIMIT, SHARDS, ASKED, NEAREST = 4096, 40, 50, 5
@@ -78,6 +78,11 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % ASKED == 0), NEAREST)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged for infilling."""
+    return infill.digest(infill.transformed(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secret_scan,
         op9_decontamination,
         op10_nearest,
+        op11_fill_in_middle,
     )
 }
 
@@ -164,8 +170,36 @@ SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coa
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM d LEFT JOIN found USING (doc_id)"""
 
+INFILL_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT doc_id, t, n, ('0x' || h[1:8])::BIGINT % (n + 1) AS a, ('0x' || h[9:16])::BIGINT % (n + 1) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 90
+              THEN 'plain' WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+cut AS (
+  SELECT *, substr(t, 1, least(a, b)) AS p, substr(t, least(a, b) + 1, abs(a - b)) AS m, substr(t, greatest(a, b) + 1) AS s
+  FROM drawn),
+made AS (
+  SELECT *, CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END AS output
+  FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(a, b) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN abs(a - b) END AS middle_chars, sha256(output) AS output_sha256,
+       sha256(CASE form
+         WHEN 'psm' THEN substr(split_part(output, '<S>', 1), 4) || split_part(output, '<M>', 2)
+                         || split_part(split_part(output, '<S>', 2), '<M>', 1)
+         WHEN 'spm' THEN split_part(split_part(output, '<P>', 2), '<M>', 1) || split_part(output, '<M>', 2)
+                         || substr(split_part(output, '<P>', 1), 4)
+         ELSE output END) AS restored_sha256
+FROM made"""
+
 ORACLE: dict[str, str] = {
     "op4_rendezvous_shards": SHARDS_SQL,
     "op7_substring_dedup": REPEATS_SQL,
     "op9_decontamination": CONTAMINATION_SQL,
+    "op11_fill_in_middle": INFILL_SQL,
 }
