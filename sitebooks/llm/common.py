@@ -116,8 +116,9 @@ class Powers:
         return self
 
 
-BYTE_POWERS = (Powers(0x9E3779B97F4A7C15), Powers(0xC2B2AE3D27D4EB4F))
 WORD_POWERS = (Powers(0xD6E8FEB86659FD93), Powers(0xA0761D6478BD642F))
+#: Odd numbers and offsets of the two hashes of a word.
+SEEDS = ((0x9E3779B97F4A7C15, 0x9FB21C651E98DF25), (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
 class Words:
@@ -141,15 +142,45 @@ class Words:
         self.of = np.searchsorted(self.start, offsets)
         self.count = np.diff(self.of)
         self.texts = len(texts)
+        self._lanes = None
+
+    def lanes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of the words in lanes of eight, filled up with zeros; each lane's number in its word; each word's first lane."""
+        if self._lanes is None:
+            size = self.end - self.start
+            times = (size + 7) >> 3
+            first = np.cumsum(times) - times
+            number = np.arange(int(times.sum())) - np.repeat(first, times)
+            at = np.repeat(self.start, times) + 8 * number
+            behind = np.ndarray(len(self.raw) + 1, "<u8", np.concatenate([self.raw, np.zeros(8, np.uint8)]), strides=(1,))
+            short = np.maximum(8 - np.repeat(size, times) + 8 * number, 0).astype(np.uint64) << np.uint64(3)
+            self._lanes = behind[at] & (np.uint64(2**64 - 1) >> short), number, first
+        return self._lanes
 
     def hashes(self, seed: int = 0) -> np.ndarray:
-        """A 64-bit hash of each word; two seeds give independent hashes."""
-        n = len(self.raw)
-        p = BYTE_POWERS[seed].reach(n)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.raw.astype(np.uint64) + np.uint64(1)) * p.up[:n], out=sums[1:])
-        h = (sums[self.end] - sums[self.start]) * p.down[self.start]
-        return mix(h + (self.end - self.start).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+        """A 64-bit hash of each word; two seeds give independent hashes.
+
+        Every lane is mixed with its number before the sum, so that no exchange
+        of bytes between places of a long word leaves the sum as it is.
+        """
+        if not len(self.start):
+            return np.empty(0, np.uint64)
+        lane, number, first = self.lanes()
+        odd, start = (np.uint64(x) for x in SEEDS[seed])
+        salt = mix((np.arange(int(number.max()) + 1, dtype=np.uint64) + np.uint64(1)) * odd + start)
+        sums = np.add.reduceat(mix(lane * odd ^ salt[number]), first)
+        return mix(sums + (self.end - self.start).astype(np.uint64) * start)
+
+    def same(self, other: np.ndarray) -> np.ndarray:
+        """For each word whether its bytes are those of word ``other`` (a word number each)."""
+        if not len(self.start):
+            return np.empty(0, bool)
+        lane, _, first = self.lanes()
+        size = self.end - self.start
+        times = (size + 7) >> 3
+        out = size == size[other]
+        shift = np.repeat(np.where(out, first[other] - first, 0), times)
+        return out & np.logical_and.reduceat(lane == lane[np.arange(len(lane)) + shift], first)
 
     def doc(self) -> np.ndarray:
         """The text number of each word."""

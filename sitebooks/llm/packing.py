@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -26,6 +27,8 @@ REMEMBER = 800_000
 WHITE = byte_class([0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)])
 SUSPECT = byte_class([0xC2, 0xE1, 0xE2, 0xE3])
 raw_words = ~byte_class([0x20])
+#: The rank file's encoder looks back over a run of white space by recursion; longer runs go to the tokenizer.
+LONG_RUN = re.compile(r"\s{2000}")
 
 PIECES = T.StructType(
     [
@@ -48,7 +51,9 @@ class Encoder:
     word of a chunk is encoded once and remembered, and the text's ids are the
     words' ids in a row.  Words are encoded with the rank file of the same
     vocabulary, as is a text that has runs of white space or characters that
-    might be such; a text that holds a special string goes to the tokenizer.
+    might be such; a text that holds a special string or a very long run of
+    white space goes to the tokenizer.  Words are remembered by their bytes; a
+    chunk in which two words share a hash is encoded text by text.
     """
 
     def __init__(self, vocabulary: str = VOCABULARY, ranks: str = RANKS):
@@ -65,20 +70,18 @@ class Encoder:
         self.fast = tiktoken.Encoding(ranks, pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
         self.opens = np.zeros(max(table.values()) + 1, bool)
         self.opens[[i for t, i in table.items() if t.startswith(b" ")]] = True
-        self.words: dict[int, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
 
     def one(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special):
+        if any(s in text for s in self.special) or LONG_RUN.search(text):
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(self.fast.encode_ordinary(text), np.uint32)
 
-    def _learn(self, keys: list[int], words: list[bytes]) -> None:
-        """Encode words behind a space, all in one text; an id that opens with a space starts the next word."""
-        if len(self.words) + len(keys) > REMEMBER:
-            self.words = {}
-        ids = self.one(" " + b" ".join(words).decode("utf-8", "replace"))
+    def _learn(self, keys: list[bytes]) -> None:
+        """Encode words, each with the space before it, all in one text; an id that opens with a space starts the next word."""
+        ids = self.one(b"".join(keys).decode("utf-8", "replace"))
         first = np.flatnonzero(self.opens[ids])
-        if len(first) != len(words):  # a word that the file cuts apart in some other way
+        if len(first) != len(keys):  # a word that the file cuts apart in some other way
             raise ValueError("a word does not start with its space")
         data, edges = ids.tobytes(), [*(4 * first).tolist(), 4 * len(ids)]
         self.words.update((k, data[a:b]) for k, a, b in zip(keys, edges, edges[1:]))
@@ -108,21 +111,23 @@ class Encoder:
             head[words.of[:-1]] = True
             keys = words.hashes(0)
             keys[head] = ~keys[head]  # the first word of a text has no space before it
-            distinct, at, back = np.unique(keys, return_index=True, return_inverse=True)
-            heads = head[at]
-            names = distinct.tolist()
-            known = self.words
-            new = [j for j, k in enumerate(names) if k not in known]
-            data = words.raw.tobytes()
-            begin, end = words.start[at].tolist(), words.end[at].tolist()
-            text = [j for j in new if not heads[j]]
-            if len(known) + len(new) > REMEMBER:
-                self.words, text, new = {}, [j for j in range(len(names)) if not heads[j]], range(len(names))
-            if text:
-                self._learn([names[j] for j in text], [data[begin[j] : end[j]] for j in text])
+            _, at, back = np.unique(keys, return_index=True, return_inverse=True)
+            if not words.same(at[back]).all():
+                for i in docs.tolist():
+                    whole[i] = self.one(texts[i].as_py())
+                return whole
+            data, heads = words.raw.tobytes(), head[at].tolist()
+            names = [
+                data[a:b] if first else b" " + data[a:b] for first, a, b in zip(heads, words.start[at].tolist(), words.end[at].tolist())
+            ]
+            new = [j for j, k in enumerate(names) if k not in self.words]
+            if len(self.words) + len(new) > REMEMBER:
+                self.words, new = {}, range(len(names))
+            if behind := [names[j] for j in new if not heads[j]]:
+                self._learn(behind)
             for j in new:
                 if heads[j]:
-                    self.words[names[j]] = self.one(data[begin[j] : end[j]].decode("utf-8", "replace")).tobytes()
+                    self.words[names[j]] = self.one(names[j].decode("utf-8", "replace")).tobytes()
             parts = [self.words[k] for k in names]
             flat = np.frombuffer(b"".join(parts), np.uint32)
             sizes = np.fromiter(map(len, parts), np.int64, len(parts)) >> 2

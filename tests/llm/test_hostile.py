@@ -1,0 +1,70 @@
+"""Texts made to break an operator: long runs, and words whose polynomial hashes are equal."""
+
+import pyarrow as pa
+import pytest
+
+from sitebooks.llm import decontaminate, packing, repeats
+from sitebooks.llm.common import NOT_SPACE, Words, ready
+
+FLIP = str.maketrans("ab", "ba")
+
+
+def thue_morse(k):
+    """A word of 2**k letters and its complement: equal under every polynomial hash modulo 2**64."""
+    s = "a"
+    for _ in range(k):
+        s += s.translate(FLIP)
+    return s, s.translate(FLIP)
+
+
+S, C = thue_morse(11)
+
+
+def frame(spark, texts):
+    return ready(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def test_hashes_differ():
+    words = Words(pa.array([f"{S} {C} {S}", None, "", "a b a"]), NOT_SPACE)
+    for seed in (0, 1):
+        h = words.hashes(seed).tolist()
+        assert h[0] == h[2] != h[1] and h[3] == h[5] != h[4]
+    same = words.same(words.same(words.doc()) * 0)  # every word against the first
+    assert same.tolist() == [True, False, True, False, False, False]
+
+
+RUNS = ["a" + " " * 1_000_000 + "b", "\n" * 1_000_000, f"x {S} {C} y", "a b", None, "　" * 100_000]
+
+
+def test_packing_gives_the_tokenizers_ids():
+    encoder = packing.Encoder()
+    want = [encoder.exact.encode(t or "", add_special_tokens=False).ids for t in RUNS]
+    assert [x.tolist() for x in encoder.block(pa.array(RUNS))] == want
+    assert [encoder.block(pa.array([t], pa.string()))[0].tolist() for t in RUNS] == want
+
+
+def test_packing_survives_a_hash_collision(monkeypatch):
+    monkeypatch.setattr(Words, "hashes", lambda self, seed=0: self.end.astype("u8") * 0 + 5)
+    encoder = packing.Encoder()
+    texts = ["one two one", "two three", "four"]
+    want = [encoder.exact.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in encoder.block(pa.array(texts))] == want
+
+
+def test_packing_in_spark(spark):
+    pieces = packing.packed(frame(spark, RUNS)).collect()
+    assert {p["doc_id"] for p in pieces} == set(range(len(RUNS)))
+
+
+@pytest.mark.parametrize("word, removed", [(C, 0), (S, 13)])
+def test_repeats_tell_words_apart(spark, word, removed):
+    shared = " ".join(f"w{i}" for i in range(12))
+    found = repeats.deduplicated(frame(spark, [f"{shared} {S}", f"{shared} {word}"]))
+    assert {r["doc_id"]: r["n_removed"] for r in found.collect()} == {0: 0, 1: removed}
+
+
+@pytest.mark.parametrize("word, hit", [(C, 0), (S, 1)])
+def test_contamination_tells_words_apart(spark, word, hit):
+    benchmark = ready(spark).createDataFrame([("i", S)], "item_id string, text string")
+    found = decontaminate.verdict(decontaminate.contamination(frame(spark, [f"some {word} text"]), benchmark))
+    assert [r["n_hit"] for r in found.collect()] == [hit]
