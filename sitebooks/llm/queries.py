@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitebooks.llm import decontaminate, infill, language, neighbours, packing, pages, repeats, secrets, sharding, simhash, tokens
+from sitebooks.llm import decontaminate, dialogue, infill, jaccard, language, neighbours, packing, pages, repeats, secrets, sharding, simhash, tokens
 from sitebooks.llm.common import ready
 
 TOKEN_LIMIT, SHARDS, ASKED, NEAREST = 4096, 40, 50, 5
@@ -83,6 +83,17 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digest(infill.transformed(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op12_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage."""
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return dialogue.digest(dialogue.repaired(conversations), conversations)
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of documents with similar sets of word triples, for every document."""
+    return jaccard.groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -97,6 +108,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_decontamination,
         op10_nearest,
         op11_fill_in_middle,
+        op12_dialogue_repair,
+        op13_jaccard_join,
     )
 }
 
