@@ -8,6 +8,7 @@ from sitebooks.catalog import (  # noqa: F401  (importing registers the queries)
     basics,
     finance,
     ingestion,
+    layouts,
     leases,
     lookups,
     mutations,

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sitebooks.catalog.registry import query, table
+from sitebooks.operators.quality import Steps
 from sitebooks.plans import lease, product_map
+from sitebooks.runtime import scratch_dir
+from sitebooks.sources import sinks
 
 # Orders stand in for lease versions: the customer is the lease, the order date
 # the modification date; status F = expense, O = income, P = another type.
@@ -84,7 +87,7 @@ def _dimensions(spark, sf_dir):
     )
 
 
-def _curated(spark, sf_dir):
+def _curated(spark, sf_dir, **options):
     companies = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("string").alias("COMP_CODE"),
         F.when(F.col("n_nationkey") < 20, F.col("n_name")).otherwise(" ").alias("COUNTRY"),
@@ -95,7 +98,7 @@ def _curated(spark, sf_dir):
         F.when(F.col("c_acctbal") > 0, F.col("c_name")).alias("TRI_LAST_NAME_TX"),
     )
     return lease.curated_leases(
-        _leases(spark, sf_dir), *_dimensions(spark, sf_dir), companies, people
+        _leases(spark, sf_dir), *_dimensions(spark, sf_dir), companies, people, **options
     )
 
 
@@ -136,6 +139,28 @@ def curated_leases(spark, sf_dir):
     )
 
 
+@query(
+    "curated_lease_steps",
+    f"""WITH {_LEASE_SQL},
+        full_rows AS (
+          SELECT placed.*, n.n_name AS country, CASE WHEN c.c_acctbal > 0 THEN c.c_mktsegment || c.c_name END AS contact
+          FROM placed
+          LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) n ON placed.company = CAST(n.n_nationkey AS VARCHAR)
+          LEFT JOIN customer c ON placed.person = CAST(c.c_custkey AS VARCHAR))
+        SELECT 1 AS step_no, 'versions' AS step, count(*) AS rows, 'TRI_ID_TX' AS key,
+               count(*) FILTER (WHERE o_custkey IS NULL) AS without_key FROM orders
+        UNION ALL SELECT 2, 'newest', count(*), 'CST_PROPERTY_ID_TX', count(*) FILTER (WHERE prop IS NULL) FROM ld
+        UNION ALL SELECT 3, 'property', count(*), 'CST_PROPERTY_ID_TX', count(*) FILTER (WHERE place IS NULL) FROM placed
+        UNION ALL SELECT 4, 'country', count(*), 'COUNTRY', count(*) FILTER (WHERE country IS NULL) FROM full_rows
+        UNION ALL SELECT 5, 'contact', count(*), '_contact', count(*) FILTER (WHERE contact IS NULL) FROM full_rows""",
+)
+def curated_lease_steps(spark, sf_dir):
+    """Rows behind each step of the lease job and those without the key it looks up, from the run that writes the table."""
+    steps = Steps()
+    sinks.write_files(_curated(spark, sf_dir, watch=steps.watch), scratch_dir(spark, "curated"))
+    return steps.frame(spark)
+
+
 def _clauses(spark, sf_dir):
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("TRI_ID_TX"),

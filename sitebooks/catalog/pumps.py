@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from sitebooks.catalog.registry import TX_MARKERS, TX_SQL, plain_ts, query, table, tx
+from sitebooks.operators.joins import overlap_join, tolerance_join
 from sitebooks.plans import matching, pumps, sizing
 
 # The same steps as SQL: pump set per grade, product class, then the overlap
@@ -59,7 +60,7 @@ _COUNTING = ("transactionStartTime", "transactionEndTime", "class_no", "reach")
 
 
 def _ongoing(spark, sf_dir, columns=sizing.INPUT):
-    """Counts with buckets as narrow as the busiest site of the data needs."""
+    """Counts of transactions open at each start."""
     rows = tx(spark, sf_dir)
     return pumps.ongoing_counts(_relevant(rows).select(*columns, *_COUNTING))
 
@@ -75,7 +76,8 @@ def _plain(df, *names):
 @query(
     "pump_sets",
     f"""WITH {_RELEVANT_SQL}
-        SELECT event_id, array_to_string(pumps, ',') AS relevant_pumps,
+        SELECT event_id, row_number() OVER (ORDER BY site, start_ts, event_id) AS txn_id,
+               array_to_string(pumps, ',') AS relevant_pumps,
                CAST(n_pumps AS INTEGER) AS n_pumps, flag, CAST(n_flag AS INTEGER) AS n_flag_pumps,
                CAST(combo_vol AS DOUBLE) AS quantity_sum, combo_txn AS txn_count,
                CAST(site_vol AS DOUBLE) AS site_vol, site_txn,
@@ -85,9 +87,10 @@ def _plain(df, *names):
         FROM rel""",
 )
 def pump_sets(spark, sf_dir):
-    """Every transaction with the pumps of its grade and all volume totals."""
-    out = _set_text(_relevant(tx(spark, sf_dir))).select(
-        "event_id", "relevant_pumps", F.col("number_of_relevant_pumps").alias("n_pumps"),
+    """Every transaction with its number, the pumps of its grade and all volume totals."""
+    rows = pumps.with_transaction_id(tx(spark, sf_dir), ["event_id"])
+    out = _set_text(_relevant(rows)).select(
+        "event_id", "txn_id", "relevant_pumps", F.col("number_of_relevant_pumps").alias("n_pumps"),
         F.col(pumps.FLAG).alias("flag"), F.col(pumps.FLAG_PUMPS).alias("n_flag_pumps"),
         "quantity_sum", "txn_count", "site_vol", "site_txn", "grade_vol", "grade_txn",
         F.col("relevant_pumps_vol").alias("set_vol"), F.col("relevant_pumps_txn").alias("set_txn"),
@@ -536,17 +539,60 @@ _YEARS = (2023, 2024)
 
 @query(
     "clean_transactions",
-    f"""WITH {TX_SQL}
-       SELECT event_id, site, pump, qty FROM tx WHERE year(start_ts) BETWEEN {_YEARS[0]} AND {_YEARS[1]}""",
+    f"""WITH {TX_SQL},
+       moved AS (SELECT *, CASE WHEN event_id % 5 = 0 THEN start_ts - INTERVAL 2 YEAR ELSE start_ts END AS began FROM tx)
+       SELECT event_id, site, pump, qty, CASE WHEN event_id % 3 = 0 THEN 'A' ELSE 'City' END AS city,
+              row_number() OVER (ORDER BY site, began, event_id) AS txn_id
+       FROM moved WHERE year(began) BETWEEN {_YEARS[0]} AND {_YEARS[1]}""",
 )
 def clean_transactions(spark, sf_dir):
-    """Every transaction arrives twice and is kept once; years outside the range go."""
+    """Copies that differ in other columns are kept once, years outside the range go, the rest is numbered."""
     rows = tx(spark, sf_dir)
+    start = F.col("transactionStartTime")
+    rows = rows.withColumn(
+        "transactionStartTime", F.when(F.col("event_id") % 5 == 0, F.add_months(start, -24).cast("timestamp")
+                                       + (start - F.date_trunc("day", start))).otherwise(start)
+    )
     empty = {c: F.lit(None).cast("string") for c in pumps.SAME_TRANSACTION if c not in rows.columns}
     rows = rows.withColumns({**empty, "transactionNumber": F.col("event_id").cast("string")})
-    return pumps.cleaned(rows.unionByName(rows), *_YEARS).select(
+    copies = rows.withColumn("City", F.when(F.col("event_id") % 3 == 0, "A").otherwise("Town"))
+    kept = pumps.cleaned(rows.unionByName(copies), *_YEARS)
+    return pumps.with_transaction_id(kept, ["event_id"]).select(
         "event_id",
         F.col("GlobalSiteId").alias("site"),
         F.col("pumpNumber").alias("pump"),
         F.col("SALES_QUANTITY").alias("qty"),
+        F.col("City").alias("city"),
+        "txn_id",
+    )
+
+
+@query(
+    "overlap_pairs",
+    f"""WITH {TX_SQL}
+        SELECT a.event_id, b.event_id AS other_event_id FROM tx a LEFT JOIN tx b
+          ON a.site = b.site AND b.start_ts < a.start_ts AND b.end_ts >= a.start_ts""",
+)
+def overlap_pairs(spark, sf_dir):
+    """Each transaction with those open when it begins; null where there is none."""
+    rows = tx(spark, sf_dir).select("event_id", "GlobalSiteId", "transactionStartTime", "transactionEndTime")
+    pairs = overlap_join(rows, rows, ["GlobalSiteId"], "transactionStartTime", "transactionEndTime")
+    return pairs.select("event_id", "other_event_id")
+
+
+@query(
+    "tolerance_pairs",
+    f"""WITH {TX_SQL}
+        SELECT a.event_id, b.event_id AS near_event_id FROM tx a JOIN tx b
+          ON a.site = b.site AND a.product = 'purchase' AND b.product = 'click'
+         AND b.start_ts BETWEEN a.start_ts - INTERVAL 15 MINUTE AND a.start_ts + INTERVAL 15 MINUTE""",
+)
+def tolerance_pairs(spark, sf_dir):
+    """Purchases with all clicks of the site within a quarter of an hour."""
+    rows = tx(spark, sf_dir).select("event_id", "GlobalSiteId", "productCode", "transactionStartTime")
+    clicks = rows.where("productCode = 'click'").select(
+        F.col("event_id").alias("near_event_id"), "GlobalSiteId", F.col("transactionStartTime").alias("near_at")
     )
+    return tolerance_join(
+        rows.where("productCode = 'purchase'"), clicks, ["GlobalSiteId"], "transactionStartTime", "near_at", 900
+    ).select("event_id", "near_event_id")

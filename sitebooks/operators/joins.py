@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitebooks.operators.intervals import open_counts
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on equal keys where null equals null; the left keys are kept."""
@@ -135,37 +137,75 @@ def tolerance_join(
     return probe.join(near, test, how).drop("_lb", "_rb", *names.values())
 
 
+#: Cells of this length are the leaves of the interval tree, and a node has this many children.
+CELL_SECONDS, CHILDREN = 60, 4
+
+
+def interval_nodes(start: Column, end: Column, cell_micros: int) -> Column:
+    """The tree nodes ``(level, node)`` that make up the cells from ``start`` to ``end`` (both in microseconds, included).
+
+    At each level the aligned nodes of the range that no node above holds, which
+    are fewer than ``CHILDREN`` at each end: so their number grows with the
+    logarithm of the length.  The nodes are disjoint.
+    """
+    lo, hi = F.floor(start / cell_micros).cast("long"), F.floor(end / cell_micros).cast("long")
+    none = F.array().cast("array<long>")
+    run = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(none)
+
+    def at(level: Column) -> Column:
+        size = F.pow(F.lit(float(CHILDREN)), level)
+        low, high = F.ceil(lo / size).cast("long"), (F.floor((hi + 1) / size) - 1).cast("long")
+        top, bottom = F.ceil(low / CHILDREN).cast("long"), (F.floor((high + 1) / CHILDREN) - 1).cast("long")
+        ends = F.concat(run(low, top * CHILDREN - 1), run((bottom + 1) * CHILDREN, high))
+        nodes = F.when(bottom < top, run(low, high)).otherwise(ends)
+        return F.transform(nodes, lambda n: F.struct(level.alias("level"), n.alias("node")))
+
+    highest = F.ceil(F.log(float(CHILDREN), (hi - lo + 1).cast("double"))).cast("int")
+    return F.flatten(F.transform(F.sequence(F.lit(0), highest), at))
+
+
 def overlap_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     start: str,
     end: str,
-    bucket_seconds: int = 3600,
+    cell_seconds: int = CELL_SECONDS,
     how: str = "left",
 ) -> DataFrame:
     """Pairs where the right interval is open when the left one starts.
 
     The test is ``right.start < left.start AND right.end >= left.start`` on
-    equal keys.  A right interval is copied into every bucket it covers and a
-    left row probes only the bucket of its start.  Right columns come back with
-    the prefix ``other_``.  Use it where the pairs themselves are wanted; to
-    count them use :func:`sitebooks.operators.intervals.open_counts`, whose cost
-    does not grow with the number of pairs.
+    equal keys; ``how`` is ``inner`` or ``left``.  Right columns come back with
+    the prefix ``other_``.
+
+    Time is a tree of aligned nodes.  A right interval is stored at the nodes
+    that make it up (:func:`interval_nodes`), a left row asks the nodes above
+    its start, of the levels in use, and each pair meets at one of them: a
+    thousand years cost a few dozen rows, and a hot key is spread over its
+    nodes.  Left rows without a pair are those that
+    :func:`sitebooks.operators.intervals.open_counts` counts nothing for.  Use
+    this where the pairs themselves are wanted; counting costs less.
     """
-    micros = bucket_seconds * 1_000_000
+    micros = cell_seconds * 1_000_000
     other = right.select(*[F.col(c).alias(f"other_{c}") for c in right.columns])
     o_start, o_end = F.col(f"other_{start}"), F.col(f"other_{end}")
-    other = other.where(o_start < o_end).withColumn(
-        "_rb",
-        F.explode(
-            F.sequence(
-                F.floor(F.unix_micros(o_start) / micros), F.floor(F.unix_micros(o_end) / micros)
-            )
-        ),
+    stored = other.where(o_start < o_end).withColumn(
+        "_at", F.explode(interval_nodes(F.unix_micros(o_start), F.unix_micros(o_end), micros))
+    ).withColumns({"_level": F.col("_at.level"), "_node": F.col("_at.node")}).drop("_at")
+    used = stored.select(F.array_sort(F.collect_set("_level")).alias("levels")).scalar()
+    cell = F.floor(F.unix_micros(F.col(start)) / micros)
+    probe = left.withColumn("_asked", F.explode(used)).withColumn(
+        "_asked_node", F.floor(cell / F.pow(F.lit(float(CHILDREN)), F.col("_asked"))).cast("long")
     )
-    probe = left.withColumn("_lb", F.floor(F.unix_micros(F.col(start)) / micros))
-    test = (F.col("_lb") == F.col("_rb")) & (o_start < F.col(start)) & (o_end >= F.col(start))
+    test = (F.col("_asked") == F.col("_level")) & (F.col("_asked_node") == F.col("_node"))
+    test = test & (o_start < F.col(start)) & (o_end >= F.col(start))
     for key in keys:
         test = test & (F.col(key) == F.col(f"other_{key}"))
-    return probe.join(other, test, how).drop("_lb", "_rb")
+    pairs = probe.join(stored, test).drop("_level", "_node", "_asked", "_asked_node")
+    if how == "inner":
+        return pairs
+    counted = open_counts(left, right.withColumn("_one", F.lit(1)), keys, start, start, end, {"_open": "_one"})
+    alone = counted.where("_open = 0").drop("_open")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields]
+    return pairs.unionByName(alone.select(*left.columns, *nothing))

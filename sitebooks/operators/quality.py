@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,38 @@ def watched(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
     return df.observe(seen, *metrics), seen
 
 
+class Steps:
+    """Counters of the steps of one job, gathered by the run that writes its result.
+
+    ``watch`` is handed to a job and called with a frame and the name of the
+    step behind it; :meth:`frame` gives one row per step once the result has
+    been computed, by one action and in full (a step is counted where it runs).
+    """
+
+    def __init__(self):
+        self.seen: list[tuple[str, str | None, Observation]] = []
+
+    def watch(self, df: DataFrame, step: str, key: str | None = None) -> DataFrame:
+        """Count rows, and those without ``key``, as they pass."""
+        tests = {"without_key": F.col(key).isNull()} if key else {}
+        df, seen = watched(df, **tests)
+        self.seen.append((step, key, seen))
+        return df
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """``step_no, step, rows, key, without_key`` in the order of the steps."""
+        rows = []
+        for i, (step, key, seen) in enumerate(self.seen):
+            got = seen.get
+            rows.append((i + 1, step, got["rows"], key, got.get("without_key")))
+        return spark.createDataFrame(rows, "step_no int, step string, rows long, key string, without_key long")
+
+
+def unwatched(df: DataFrame, step: str, key: str | None = None) -> DataFrame:
+    """The default of a job's ``watch``: nothing is counted."""
+    return df
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: number of rows and of nulls per column."""
     return df.agg(

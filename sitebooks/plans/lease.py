@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sitebooks.operators.filters import reject_blank
 from sitebooks.operators.joins import lookup_spread
 from sitebooks.operators.project import project
+from sitebooks.operators.quality import unwatched
 from sitebooks.operators.sets import union_all
 from sitebooks.operators.windows import latest_by
 
@@ -180,18 +181,22 @@ def curated_leases(
     companies: DataFrame,
     people: DataFrame,
     active_only: bool = False,
+    watch: Callable[..., DataFrame] = unwatched,
 ) -> DataFrame:
     """Newest version of each lease with its property, country and contacts.
 
     All four contact names show the first contact, given name and family name
-    without a separator, null when either part is missing.
+    without a separator, null when either part is missing.  ``watch`` counts
+    rows behind each step (:class:`sitebooks.operators.quality.Steps`).
     """
+    leases = watch(leases, "versions", "TRI_ID_TX")
     latest = latest_by(
         leases, ["TRI_ID_TX", "TRI_CONTROL_NUMBER_CN"], _newest_first(leases, "TRI_MODIFIED_DATE_SY")
     )
     if active_only:
         latest = latest.where(F.lower("TRI_STATUS_CL") == "active")
-    placed = resolve_property(latest, prop, building, land, space)
+    latest = watch(latest, "newest", "CST_PROPERTY_ID_TX")
+    placed = watch(resolve_property(latest, prop, building, land, space), "property", "CST_PROPERTY_ID_TX")
     countries = (
         reject_blank(companies, "COUNTRY").groupBy("COMP_CODE").agg(F.min("COUNTRY").alias("COUNTRY"))
     )
@@ -199,7 +204,8 @@ def curated_leases(
         F.min(F.concat("TRI_FIRST_NAME_TX", "TRI_LAST_NAME_TX")).alias("_contact")
     )
     joined = lookup_spread(placed, F.col("TRI_BUSINESS_UNIT_ORG_TX"), countries, "COMP_CODE")
-    joined = lookup_spread(joined, F.col("CST_PEOPLE_TX"), contacts, "TRI_USER_NAME_TX")
+    joined = watch(joined, "country", "COUNTRY")
+    joined = watch(lookup_spread(joined, F.col("CST_PEOPLE_TX"), contacts, "TRI_USER_NAME_TX"), "contact", "_contact")
     columns = {}
     for name, source in LEASE_NAMES.items():
         if name == "Site_Id":

@@ -27,6 +27,7 @@ from sitebooks.operators.intervals import (
     running_counts,
 )
 from sitebooks.operators.joins import null_safe_join
+from sitebooks.operators.numbering import numbered
 from sitebooks.operators.windows import dedupe
 
 SITE = ["PartitionKey", "GlobalSiteId", "SiteId"]
@@ -139,6 +140,11 @@ def cleaned(
     return dedupe(kept, list(columns), [c.asc_nulls_last() for c in rest] or [F.lit(0)])
 
 
+def with_transaction_id(tx: DataFrame, tie: Sequence[str], out: str = "txn_id") -> DataFrame:
+    """Add a gapless number over all transactions, ordered by site, start and ``tie``; see :func:`numbered`."""
+    return numbered(tx, out, ["SiteId"], "transactionStartTime", tie)
+
+
 def pump_summary(tx: DataFrame, site_master: DataFrame | None = None) -> DataFrame:
     """Volume and number of transactions per site, grade and pump."""
     out = tx.groupBy(

@@ -93,9 +93,12 @@ def create_table(
     spark.catalog.createTable(name, source=fmt, schema=schema, **options)
 
 
-def register_table(spark: SparkSession, name: str, location: str, fmt: str = "parquet") -> None:
-    """Register a table over existing data unless it is already there."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{location}'")
+def register_table(
+    spark: SparkSession, name: str, location: str, fmt: str = "parquet", options: Mapping[str, str] | None = None
+) -> None:
+    """Register a table over existing data unless it is already there; its schema is read from the data with ``options``."""
+    given = ", ".join(f"'{k}' '{v}'" for k, v in (options or {}).items())
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} {f'OPTIONS ({given})' if given else ''} LOCATION '{location}'")
 
 
 def guard_text(df: DataFrame, limit: int = MAX_TEXT) -> DataFrame:
