@@ -56,7 +56,7 @@ def _relevant(rows):
     return pumps.with_relevance(rows, pumps.grade_profiles(rows, TX_MARKERS))
 
 
-_COUNTING = ("transactionStartTime", "transactionEndTime", "class_no", "reach")
+_COUNTING = ("transactionStartTime", "transactionEndTime", "lanes", "asks")
 
 
 def _ongoing(spark, sf_dir, columns=sizing.INPUT):

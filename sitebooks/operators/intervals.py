@@ -179,6 +179,54 @@ def running_counts(
     )
 
 
+#: Kinds of intervals that one stream can tell apart.
+SLOTS = 32
+
+
+def slot_counts(
+    stream: DataFrame, keys: Sequence[str], slots: int = SLOTS, bucket_seconds: int = BUCKET_SECONDS
+) -> DataFrame:
+    """Answer questions about several kinds of intervals at once: a running vector of what is open.
+
+    The stream has the keys, ``_t``, and either ``_slot`` and ``_sign`` (a step of
+    the kind ``_slot``) or ``_row`` (a row asking just before the steps of its
+    instant).  The asking rows come back with ``_open``, the number open of each
+    kind.
+
+    The stream is exchanged once, by keys and time bucket, and read twice from
+    there: summed per bucket, and in order.  The running sum of the sums is what
+    is open when a bucket begins; it joins the bucket's rows where they are.
+    Only sums and asked buckets are exchanged for it.
+    """
+    cut = stream.withColumn("_b", _bucket(F.col("_t"), bucket_seconds)).repartition(*keys, "_b")
+    change = [F.when(F.col("_slot") == j, F.col("_sign")) for j in range(slots)]
+    # Every column of the stream is used in the sums, so that both readers ask for the same exchange.
+    sums = cut.groupBy(*keys, "_b").agg(
+        F.count("_row").alias("_asked"), F.min("_t").alias("_first"), *[F.coalesce(F.sum(c), F.lit(0)).alias(f"_{j}") for j, c in enumerate(change)]
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    names = {k: f"_at_{k}" for k in [*keys, "_b"]}
+    carry = (
+        sums.select(*[F.col(k).alias(n) for k, n in names.items()], "_asked", "_first", F.array(*[F.sum(f"_{j}").over(earlier) for j in range(slots)]).alias("_carry"))
+        .where((F.col("_asked") > 0) & F.col("_first").isNotNull() & F.exists("_carry", lambda n: n != 0))
+        .select(*names.values(), "_carry")
+    )
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(n) for k, n in names.items()])
+    so_far = (
+        Window.partitionBy(*keys, "_b")
+        .orderBy("_t", F.col("_row").isNull())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    zero = F.lit(0).cast("long")
+    running = [F.coalesce(F.sum(c).over(so_far), zero) + F.coalesce(F.col("_carry")[j], zero) for j, c in enumerate(change)]
+    return (
+        cut.join(carry, same, "left")
+        .select("_row", F.array(*running).alias("_open"))
+        .where("_row IS NOT NULL")
+        .select(F.inline("_row"), "_open")
+    )
+
+
 def open_counts(
     probes: DataFrame,
     intervals: DataFrame,

@@ -9,6 +9,7 @@ are carried along.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,9 +23,9 @@ from sitebooks.functions.codes import (
 from sitebooks.operators.aggregates import value_set
 from sitebooks.operators.intervals import (
     BUCKET_SECONDS,
-    interval_steps,
+    SLOTS,
     packed,
-    running_counts,
+    slot_counts,
 )
 from sitebooks.operators.joins import null_safe_join
 from sitebooks.operators.numbering import numbered
@@ -47,18 +48,27 @@ def grade_profiles(
     tx: DataFrame,
     markers: tuple[str, ...] = SPECIAL_PRODUCT_MARKERS,
     default: str = DEFAULT_PRODUCT_CLASS,
+    slots: int = SLOTS,
 ) -> DataFrame:
-    """One row per site, grade and pump: pump set, product class, volume totals, reach.
+    """One row per site, grade and pump: pump set, product class, volume totals, lanes.
 
     The transactions are aggregated once, to site and grade; everything else is
     derived from that small table, one site at a time.  Totals are given for the
     site, the product code, the pump set and the product class.
 
     A *class* is a distinct (pump set, product class) pair among the grades of a
-    global site, and ``class_no`` is the grade's own.  ``reach`` lists the
-    classes for which a transaction on this pump counts, one number each:
-    ``8 * class_no`` plus 4 if the pump is in the class's pump set (actual), 2
-    if the pump sets overlap (potential), 1 if the product class is the same.
+    global site; a *kind* is a pump of a class (or no pump).  A transaction
+    counts for a class as *actual* if its pump is in the class's pump set,
+    as *potential* if the pump sets overlap, as *combined* if the product class
+    is the same.  ``lanes`` says where a transaction on this pump is announced
+    (group and slot of :func:`slot_counts`), ``asks`` where it asks and which
+    slots count, as three bit sets:
+
+    * a site of up to ``slots`` kinds is one group with a slot per kind, so a
+      transaction is announced once, however many classes it counts for;
+    * of a site with more kinds, each class is a group, and the slot says as
+      which of the three (4, 2, 1 added up) it counts there.
+
     A pump that is null has a row of its own.
     """
     grades = (
@@ -91,21 +101,56 @@ def grade_profiles(
         "txn_count": F.sum("_txn").over(combo),
         "number_of_relevant_pumps": F.size("relevant_pumps"),
         FLAG_PUMPS: F.size(flag_set),
-        "class_no": F.array_position("_all", own).cast("int"),
+        "_class": F.array_position("_all", own).cast("int"),
     }
     bit = lambda test, worth: F.when(test, worth).otherwise(0)
-    reach = F.transform(
+    lane = lambda group, slot: F.struct(group.cast("int").alias("group"), slot.cast("int").alias("slot"))
+    # Kinds are numbered class by class: the pumps of its set in order, then no pump.
+    kinds = lambda classes: F.aggregate(classes, F.lit(0), lambda n, c: n + F.size(c["pumps"]) + 1)
+    base = lambda number: kinds(F.slice("_all", F.lit(1), number))  # noqa: E731  (kinds of the classes before)
+    one_group = kinds(F.col("_all")) <= slots
+    place_in_set = F.coalesce(F.array_position("relevant_pumps", F.col("pumpNumber")) - 1, F.size("relevant_pumps"))
+    code = F.transform(
         "_all",
-        lambda c, i: (i + 1) * 8
-        + bit(F.array_contains(c["pumps"], F.col("pumpNumber")), 4)
-        + bit(F.arrays_overlap(c["pumps"], F.col("relevant_pumps")), 2)
-        + bit(c["flag"] == F.col(FLAG), 1),
+        lambda c, i: F.struct(
+            (i + 1).alias("no"),
+            (
+                bit(F.array_contains(c["pumps"], F.col("pumpNumber")), 4)
+                + bit(F.arrays_overlap(c["pumps"], F.col("relevant_pumps")), 2)
+                + bit(c["flag"] == F.col(FLAG), 1)
+            ).alias("code"),
+        ),
+    )
+    apart = F.transform(F.filter(code, lambda c: c["code"] > 0), lambda c: lane(c["no"], c["code"]))
+    lanes = F.when(one_group, F.array(lane(F.lit(0), base(F.col("_class") - 1) + place_in_set))).otherwise(apart)
+
+    one = F.lit(1).cast("long")
+    shift = lambda bits, by: F.call_function("shiftleft", bits, by.cast("int"))
+    every = lambda c: shift(one, F.size(c["pumps"]) + 1) - 1
+    hit = lambda c: F.aggregate(
+        F.transform(c["pumps"], lambda p, k: F.when(F.array_contains("relevant_pumps", p), shift(one, k)).otherwise(0).cast("long")),
+        F.lit(0).cast("long"), lambda a, x: a + x,
     )
+    none = F.lit(0).cast("long")
+    tests = {
+        COUNTS[0]: (hit, 0b11110000),
+        COUNTS[1]: (lambda c: F.when(F.arrays_overlap(c["pumps"], F.col("relevant_pumps")), every(c)).otherwise(none), 0b11001100),
+        COUNTS[2]: (lambda c: F.when(c["flag"] == F.col(FLAG), every(c)).otherwise(none), 0b10101010),
+    }
+    masks = [
+        F.when(
+            one_group,
+            F.aggregate(F.transform("_all", lambda c, i: shift(test(c), base(i))), none, lambda a, x: a + x),
+        ).otherwise(F.lit(apart_bits).cast("long")).alias(name)
+        for name, (test, apart_bits) in tests.items()
+    ]
+    asks = F.struct(F.when(one_group, 0).otherwise(F.col("_class")).cast("int").alias("group"), *masks)
     return (
         grades.withColumns(out)
+        .withColumn("asks", asks)
         .withColumn("pumpNumber", F.explode(F.array_append("relevant_pumps", F.lit(None))))
-        .withColumn("reach", F.filter(reach, lambda code: code % 8 > 0))
-        .drop("_vol", "_txn", "_all")
+        .withColumn("lanes", lanes)
+        .drop("_vol", "_txn", "_all", "_class")
     )
 
 
@@ -121,7 +166,7 @@ def with_relevance(tx: DataFrame, profiles: DataFrame, mix_grades: bool = False)
         return null_safe_join(tx, profiles, key, "left")
     sets = ["relevant_pumps", "number_of_relevant_pumps"]
     per_product = [*SITE, "productCode"]
-    own = null_safe_join(tx, profiles.drop(*sets, "class_no", "reach"), key, "left")
+    own = null_safe_join(tx, profiles.drop(*sets, "asks", "lanes"), key, "left")
     by_product = profiles.select(*GRADE, *sets).distinct().drop("additionalProductInfo")
     return null_safe_join(own, by_product, per_product, "left")
 
@@ -163,7 +208,7 @@ def pump_summary(tx: DataFrame, site_master: DataFrame | None = None) -> DataFra
 
 
 def ongoing_counts(
-    rows: DataFrame, bucket_seconds: int = BUCKET_SECONDS, merge_equal: bool = False
+    rows: DataFrame, bucket_seconds: int = BUCKET_SECONDS, merge_equal: bool = False, slots: int = SLOTS
 ) -> DataFrame:
     """Add to every transaction how many others of its site were open when it began.
 
@@ -173,51 +218,41 @@ def ongoing_counts(
     (potential), of the same product class (combined).  A transaction without a
     start or a site is kept and told 0.
 
-    A transaction is announced to every class of its site that it counts for and
-    asks only in its own, so no two transactions are ever paired.  Announcements
-    and questions come from one pass over the rows, followed by one shuffle.
+    A transaction is announced once with its kind, and asks once: it reads the
+    running vector of open kinds and adds up those that its class counts (see
+    :func:`grade_profiles` for sites with very many kinds).  No two transactions
+    are ever paired, and the rows are exchanged once.
 
     ``merge_equal`` returns the counts per (site, start, end, pump, pump set)
     with those of indistinguishable transactions added up.
     """
     place = ["PartitionKey", "GlobalSiteId"]
     start, end = "transactionStartTime", "transactionEndTime"
-    code = F.col("_code")
     live = F.coalesce(
         (F.col(start) < F.col(end)) & F.col(place[0]).isNotNull() & F.col(place[1]).isNotNull(),
         F.lit(False),
     )
+    step = lambda group, at, slot, sign: F.struct(
+        group.cast("int").alias("_group"), F.col(at).cast("timestamp").alias("_t"), slot.cast("int").alias("_slot"), F.lit(sign).alias("_sign")
+    )
+    up = F.transform("lanes", lambda x: step(x["group"], start, x["slot"], 1))
+    down = F.transform("lanes", lambda x: step(x["group"], end, x["slot"], -1))
+    # A row without a profile still asks, and is told 0.
+    question = F.array(step(F.coalesce(F.col("asks.group"), F.lit(0)), start, F.lit(None), 0))
     told = rows.select(
         *place,
-        start,
-        end,
-        live.alias("_live"),
-        F.coalesce("class_no", F.lit(0)).alias("_own"),
-        packed(rows.drop("reach", "class_no")).alias("_row"),
-        # A row without a profile still asks, and is told 0.
-        F.explode(F.coalesce("reach", F.array(F.lit(0)))).alias("_code"),
-    ).withColumn("class_no", F.shiftright(code, 3))
-    asks = F.col("class_no") == F.col("_own")
-    question = F.struct(
-        F.col(start).alias("_t"), F.lit(0).alias("_kind"), F.lit(0).alias("_sign")
+        packed(rows.drop("lanes")).alias("_row"),
+        F.explode(F.when(live & F.col("lanes").isNotNull(), F.concat(question, up, down)).otherwise(question)).alias("_step"),
     )
-    steps = [*interval_steps(start, end, F.col("_live")), F.when(asks, question)]
-    sign = F.col("_step._sign")
-    stream = (
-        told.withColumn("_step", F.explode(F.array(*steps)))
-        .where("_step IS NOT NULL")
-        .select(
-            *place,
-            "class_no",
-            "_step._t",
-            "_step._kind",
-            (F.shiftright(code, 2).bitwiseAND(1) * sign).alias(COUNTS[0]),
-            (F.shiftright(code, 1).bitwiseAND(1) * sign).alias(COUNTS[1]),
-            (code.bitwiseAND(1) * sign).alias(COUNTS[2]),
-            F.when(F.col("_step._kind") == 0, F.col("_row")).alias("_row"),
-        )
+    stream = told.select(
+        *place, "_step.*", F.when(F.col("_step._slot").isNull(), F.col("_row")).alias("_row")
+    )
+    found = slot_counts(stream, [*place, "_group"], slots, bucket_seconds)
+    bits = lambda mask: reduce(
+        lambda a, b: a + b,
+        [F.when(F.getbit(mask, F.lit(j)) == 1, F.col("_open")[j]).otherwise(F.lit(0).cast("long")) for j in range(slots)],
     )
-    out = running_counts(stream, [*place, "class_no"], COUNTS, bucket_seconds)
+    out = found.withColumns({c: bits(F.coalesce(F.col(f"asks.{c}"), F.lit(0).cast("long"))) for c in COUNTS}).drop("asks", "_open")
     if not merge_equal:
         return out
     return out.groupBy(

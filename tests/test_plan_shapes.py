@@ -8,7 +8,7 @@ from sitebooks.catalog import QUERIES
 SCALARS = {
     "scalar_extremes", "surrogate_id", "retention_audit", "dq_null_counts", "dq_resolved_lookups",
     "dq_layer_counts", "dq_control_totals", "nbv_incremental", "tax_rate_load",
-    "high_watermark_filter", "extract_since_target", "latest_snapshot",
+    "high_watermark_filter", "extract_since_target", "latest_snapshot", "overlap_pairs",
 }
 
 
@@ -26,11 +26,13 @@ def test_latest_row_is_limited_before_the_shuffle(spark, sf_dir):
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
 
 
-def test_ongoing_counts_shuffle_the_rows_once(spark, sf_dir):
-    plan = QUERIES["ongoing_counts"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan
-    rows = [line for line in plan.splitlines() if "Exchange hashpartitioning(_b" in line]
-    assert len(rows) == 1  # the rows themselves; grade totals and the sums of buckets are small
+def test_ongoing_counts_read_twice_and_shuffle_the_rows_once(spark, sf_dir):
+    df = QUERIES["ongoing_counts"](spark, sf_dir)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") <= 2  # profiles and rows
+    rows = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
+    assert sorted("ReusedExchange" in line for line in rows) == [False, True]
 
 
 @pytest.mark.parametrize("name, scans", [("match_transactions", 3), ("branch_union_resolve", 5)])

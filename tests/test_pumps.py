@@ -27,8 +27,9 @@ def make(spark, records):
     return spark.createDataFrame([(*d[:9], Decimal(d[9]), *d[10:]) for d in data], TX)
 
 
-def counted(tx, **kwargs):
-    return pumps.ongoing_counts(pumps.with_relevance(tx, pumps.grade_profiles(tx, ("gas",))), **kwargs)
+def counted(tx, slots=pumps.SLOTS, **kwargs):
+    profiles = pumps.grade_profiles(tx, ("gas",), slots=slots)
+    return pumps.ongoing_counts(pumps.with_relevance(tx, profiles), slots=slots, **kwargs)
 
 
 def brute(records):
@@ -50,8 +51,8 @@ def brute(records):
     return out
 
 
-@pytest.mark.parametrize("bucket", [900, 43200])
-def test_counts_equal_brute_force_with_a_hot_site(spark, bucket):
+@pytest.mark.parametrize("bucket, slots", [(900, 32), (43200, 32), (900, 8), (600, 12)])  # fewer slots: sites by class
+def test_counts_equal_brute_force_with_a_hot_site(spark, bucket, slots):
     rng = random.Random(7)
     records = []
     for _ in range(250):
@@ -61,7 +62,7 @@ def test_counts_equal_brute_force_with_a_hot_site(spark, bucket):
             site="hot" if rng.random() < 0.5 else rng.choice("ab"), grade=grade, info=rng.choice([None, "x", "gas 1"]),
             pump=rng.choice({"95": [1, 2], "98": [2, 3], "D": [4], "G": [5, 6]}[grade]), s=s, e=s + rng.choice([-2, 0, 3, 40, 900]),
         ))
-    out = counted(make(spark, records), bucket_seconds=bucket)
+    out = counted(make(spark, records), slots, bucket_seconds=bucket)
     assert rows(out, "event_id", *pumps.COUNTS) == brute(records)
 
 
