@@ -31,6 +31,8 @@ TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:._-]*)(?=[\s/>])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][A-Za-z0-9:._-]*)(?=[\s/>])([^>]*)>""",
     re.S,
 )
+#: What may stand behind the last '>' and is no text.
+UNCLOSED = re.compile(r"<!--|<!\[CDATA\[")
 ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 RAW = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in ("script", "style", "textarea", "title", "xmp", "noscript", "iframe", "template")}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -86,8 +88,19 @@ class Page:
         self.spots: list[tuple[int, bool, bool, int, bool]] = []
         self.tree: dict = {}
         stack: list[tuple[str, str, int]] = []  # tag, label, spot
+        places: dict[str, list[int]] = {}  # where each tag is on the stack
         words: list[str] = []
-        at, end = 0, len(source)
+        at, end, last = 0, len(source), source.rfind(">")
+
+        def highest(tags) -> int:
+            """The place of the innermost open element with one of the tags, -1 if there is none."""
+            return max([places[t][-1] for t in tags if places.get(t)], default=-1)
+
+        def shut(place: int):
+            """End an element and all in it."""
+            for tag, _, _ in stack[place:]:
+                places[tag].pop()
+            del stack[place:]
 
         def flush():
             if words:
@@ -98,7 +111,10 @@ class Page:
                     self.blocks.append((slot, stack[-1][2] if stack else -1, text))
 
         while at < end:
-            m = TOKEN.search(source, at)
+            m = TOKEN.search(source, at) if at <= last else UNCLOSED.search(source, at)
+            if m and at > last:  # no tag can end any more, and an open comment takes the rest
+                words.append(source[at : m.start()])
+                break
             if m is None:
                 words.append(source[at:])
                 break
@@ -116,28 +132,14 @@ class Page:
                 continue
             flush()
             if close:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
-                        break
-                    if stack[i][0] in MAIN and tag in ("p", "li", "div", "span"):
-                        break
+                place = highest((tag,))
+                if place > (highest(MAIN) if tag in ("p", "li", "div", "span") else -1):
+                    shut(place)
                 continue
-            if tag in PARAGRAPH_ENDS:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == "p":
-                        del stack[i:]
-                        break
-                    if stack[i][0] in ("td", "th", "button", "object"):
-                        break
-            ended, bound = ENDS.get(tag), BOUND.get(tag, ())
-            if ended:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in bound:
-                        break
-                    if stack[i][0] in ended:
-                        del stack[i:]
-                        break
+            if tag in PARAGRAPH_ENDS and (place := highest(("p",))) > highest(("td", "th", "button", "object")):
+                shut(place)
+            if tag in ENDS and (place := highest(ENDS[tag])) > highest(BOUND.get(tag, ())):
+                shut(place)
             if tag in VOID:
                 continue
             spot = stack[-1][2] if stack else -1
@@ -163,13 +165,14 @@ class Page:
             if tag in NEVER or (tag == "header" and not (main or inside)):
                 mark = BARRED
             if tag in RAW:
-                shut = RAW[tag].search(source, at)
-                at = shut.end() if shut else end
+                over = RAW[tag].search(source, at)
+                at = over.end() if over else end
                 continue
             if main or mark:
                 barred = mark == BARRED or (spot >= 0 and self.spots[spot][4])
                 self.spots.append((spot, main, main or inside, mark, barred))
                 spot = len(self.spots) - 1
+            places.setdefault(tag, []).append(len(stack))
             stack.append((tag, label, spot))
             node = self.tree
             for s in stack[:DEPTH]:
@@ -200,17 +203,25 @@ class Page:
         for (_, spot, text), new in zip(self.blocks, varies):
             if self.barred(spot):
                 continue
-            n, beside = len(text), False
-            for s in self.around(spot):
-                own[s] += 0 if beside else n  # of an article, without what is beside it in there
-                whole[s] += n if new else 0
-                beside |= marks[s] > FORM
+            n = len(text)
             total += n if new else 0
-            plain += 0 if beside else n
+            if spot < 0:
+                plain += n
+            else:
+                own[spot] += n
+                whole[spot] += n if new else 0
+        for s in range(len(marks) - 1, -1, -1):  # an element comes behind the one around it
+            outer, n = self.spots[s][0], 0 if marks[s] > FORM else own[s]  # without what is beside an article in there
+            if outer < 0:
+                plain += n
+            else:
+                own[outer] += n
+                whole[outer] += whole[s]
         free: set[int] = set()
-        articles = [
-            (-sum(marks[o] > FORM for o in self.around(s)), own[s], -s) for s, spot in enumerate(self.spots) if spot[1] and own[s]
-        ]
+        above: list[int] = []
+        for s, spot in enumerate(self.spots):
+            above.append((above[spot[0]] if spot[0] >= 0 else 0) + (marks[s] > FORM))
+        articles = [(-above[s], own[s], -s) for s, spot in enumerate(self.spots) if spot[1] and own[s]]
         if articles:
             beside, size, s = max(articles)
             if not beside or size >= SMALL * plain:
@@ -247,24 +258,33 @@ def match(one: tuple, two: tuple, memo: dict) -> tuple[int, list]:
     key = (id(one), id(two))
     if key in memo:
         return memo[key][:2]
-    n, m = len(one), len(two)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    weight = {}
-    for i in range(n):
-        for j in range(m):
-            w = 1 + match(one[i][1], two[j][1], memo)[0] if one[i][0] == two[j][0] else 0
-            weight[i, j] = w
-            best[i + 1][j + 1] = max(best[i + 1][j], best[i][j + 1], best[i][j] + w)
-    pairs, i, j = [], n, m
-    while i and j:
-        if weight[i - 1, j - 1] and best[i][j] == best[i - 1][j - 1] + weight[i - 1, j - 1]:
-            i, j = i - 1, j - 1
-            pairs.append((i, j))
-        elif best[i][j] == best[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    memo[key] = (best[n][m], pairs[::-1], one, two)
+    # Siblings of a folded tree have different labels, so each has one partner at most: the
+    # largest matching in order is a heaviest rising sequence of partners' places.
+    place = {label: j for j, (label, _) in enumerate(two)}
+    found = [(i, place[label]) for i, (label, _) in enumerate(one) if label in place]
+    rank = {j: r for r, j in enumerate(sorted(j for _, j in found), 1)}
+    heavy = [(0, -1)] * (len(found) + 1)  # by rank, as a tree of prefix maxima: weight and last pair of the best sequence
+    before = []
+    for k, (i, j) in enumerate(found):
+        best, r = (0, -1), rank[j] - 1
+        while r:
+            best = max(best, heavy[r], key=lambda x: x[0])
+            r &= r - 1
+        before.append(best[1])
+        now, r = (best[0] + 1 + match(one[i][1], two[j][1], memo)[0], k), rank[j]
+        while r < len(heavy):
+            heavy[r] = max(heavy[r], now, key=lambda x: x[0])
+            r += r & -r
+    total, k, r = 0, -1, len(found)
+    while r:
+        if heavy[r][0] > total:
+            total, k = heavy[r]
+        r &= r - 1
+    pairs = []
+    while k >= 0:
+        pairs.append(found[k])
+        k = before[k]
+    memo[key] = (total, pairs[::-1], one, two)
     return memo[key][:2]
 
 

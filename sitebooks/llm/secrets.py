@@ -107,8 +107,9 @@ def novel_spans(text: str, taken: list[tuple[int, int, int]], least: float = NOV
 
     Every candidate that starts within reach of a sensitive word is measured,
     joined with what goes on with it; where that is too plain or partly
-    reported, its parts are.  A string that is there twice is measured as if
-    it were there once.
+    reported, its parts are, and of a part what stands behind its last
+    sensitive word.  A string that is there twice is measured as if it were
+    there once.
     """
     out: list[tuple[int, int, int]] = []
     seen: set[tuple[int, int]] = set()
@@ -130,21 +131,75 @@ def novel_spans(text: str, taken: list[tuple[int, int, int]], least: float = NOV
         around = text[max(0, start - SURROUND) : start].replace(own, "") + text[end : end + SURROUND].replace(own, "")
         return novelty()(around, BREAK.sub("", own)) >= least
 
-    for m in SENSITIVE.finditer(text):
-        reach = IDENTIFIER.match(text, m.end()).end() + REACH
-        if ARMOUR.match(text, m.end()):  # all of a key block
-            reach = max(reach, text.find("-----END", m.end()))
-        at = m.end()
+    def measured(start: int, end: int) -> bool:
+        if novel(start, end):
+            insort(out, (start, 3, end))
+            return True
+        return False
+
+    words = [m.end() for m in SENSITIVE.finditer(text)]
+    for a, reach in reaches(text, words):
+        at = a
         while c := CANDIDATE.search(text, at, reach + 20):
             if c.start() > reach:
                 break
             start, at = c.start(), JOINED.match(text, c.start()).end()
-            if novel(start, at):
-                insort(out, (start, 3, at))
+            if measured(start, at):
                 continue
             for part in CANDIDATE.finditer(text, start, at):
-                if novel(*part.span()):
-                    insort(out, (part.start(), 3, part.end()))
+                if not measured(*part.span()):
+                    last = bisect_left(words, part.end()) - 1  # sensitive words may be the plain part of it
+                    if last >= 0 and words[last] > part.start() and (rest := CANDIDATE.match(text, words[last], part.end())):
+                        measured(*rest.span())
+    return out
+
+
+def reaches(text: str, words: list[int]) -> list[tuple[int, int]]:
+    """Where candidates may start: from the ends of sensitive words on, as stretches in order and apart.
+
+    A word reaches ``REACH`` characters behind its identifier, and that of a key
+    block to the block's end.  Each identifier and each block end is looked for
+    once, so the time is linear in the text.
+    """
+    out: list[tuple[int, int]] = []
+    run = block = -1
+    for at in words:
+        if at > run:
+            run = IDENTIFIER.match(text, at).end()
+        reach = run + REACH
+        if ARMOUR.match(text, at):
+            if block < at:
+                block = text.find("-----END", at)
+                block = len(text) + 1 if block < 0 else block  # no end: none for the words to come either
+            if block <= len(text):
+                reach = max(reach, block)
+        if out and at <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], reach))
+        else:
+            out.append((at, reach))
+    return out
+
+
+def spans_of(texts: pa.Array, least: float = NOVEL) -> list[list[tuple[int, int, int]]]:
+    """Spans (start, kind number, end) of each text, in order; texts without any mark of a pattern are passed over by byte search."""
+    raw, offsets = buffers(texts)
+    runs = Words(texts, HEX_BYTES)
+    hexed = set(np.unique(runs.doc()[runs.end - runs.start >= SHORTEST["hex"]]).tolist())
+    data = raw.tobytes()
+    low = data.lower()
+    edges = offsets.tolist()
+    out = []
+    for i in range(len(texts)):
+        a, b = edges[i], edges[i + 1]
+        marked = any(low.find(m, a, b) >= 0 for m in MARKS)
+        if not (marked or i in hexed or data.find(b"AKIA", a, b) >= 0):
+            out.append([])
+            continue
+        t = texts[i].as_py()
+        spans = base_spans(t)
+        if marked:
+            spans += novel_spans(t, spans, least)
+        out.append(sorted(spans))
     return out
 
 
@@ -165,25 +220,7 @@ def scan(documents: DataFrame, text: str = "text", carry: list[str] | None = Non
 
     def start():
         def fn(texts):
-            raw, offsets = buffers(texts)
-            runs = Words(texts, HEX_BYTES)
-            wide = np.unique(runs.doc()[runs.end - runs.start >= SHORTEST["hex"]])
-            hexed = set(wide.tolist())
-            data = raw.tobytes()
-            low = data.lower()
-            edges = offsets.tolist()
-            out = []
-            for i in range(len(texts)):
-                a, b = edges[i], edges[i + 1]
-                marked = any(low.find(m, a, b) >= 0 for m in MARKS)
-                if not (marked or i in hexed or data.find(b"AKIA", a, b) >= 0):
-                    out.append([])
-                    continue
-                t = texts[i].as_py()
-                spans = base_spans(t)
-                if marked:
-                    spans += novel_spans(t, spans, least)
-                out.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(spans)])
+            out = [[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in spans] for spans in spans_of(texts, least)]
             return [pa.array(out, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))]
 
         return fn
@@ -214,19 +251,14 @@ def redacted(documents: DataFrame, text: str = "text", mark: str = "[secret]") -
     def start():
         def fn(texts):
             out = []
-            for t in texts.to_pylist():
-                if t:
-                    spans = base_spans(t)
-                    low = t.lower()
-                    if any(m.decode() in low for m in MARKS):
-                        spans += novel_spans(t, spans)
-                    at, parts = 0, []
-                    for s, _, e in sorted(spans):
-                        if s >= at:
-                            parts += [t[at:s], mark]
-                        at = max(at, e)
-                    t = "".join([*parts, t[at:]]) if spans else t
-                out.append(t)
+            for i, spans in enumerate(spans_of(texts)):
+                t = texts[i].as_py()
+                at, parts = 0, []
+                for a, _, b in spans:
+                    if a >= at:
+                        parts += [t[at:a], mark]
+                    at = max(at, b)
+                out.append("".join([*parts, t[at:]]) if spans else t)
             return [pa.array(out, pa.string())]
 
         return fn
