@@ -90,14 +90,8 @@ def monthly_budget(spark, sf_dir):
 
 def budget_lines(spark, sf_dir):
     """The wide budget with an ingestion date per line (the newest order)."""
-    newest = table(spark, sf_dir, "orders").groupBy(
-        F.col("o_orderpriority").alias("category"), F.col("o_orderstatus").alias("project")
-    ).agg(F.max("o_orderdate").alias("Ingestion_Revision_Date"))
-    return (
-        wide_months(spark, sf_dir)
-        .join(newest, ["category", "project"])
-        .withColumnsRenamed({"category": "Capex_Category_Type_Code", "project": "Project_Name"})
-    )
+    wide = wide_months(spark, sf_dir, F.max("o_orderdate").alias("Ingestion_Revision_Date"))
+    return wide.withColumnsRenamed({"category": "Capex_Category_Type_Code", "project": "Project_Name"})
 
 
 _RATES_SQL = """

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sitebooks.catalog.registry import query, table
+from sitebooks.catalog.registry import plain_ts, query, table
 from sitebooks.operators.quality import Steps
 from sitebooks.plans import lease, product_map
 from sitebooks.runtime import scratch_dir
 from sitebooks.sources import sinks
 
+_TIMES = [lease.LEASE_NAMES[n] for n in lease.LEASE_TIMESTAMPS if lease.LEASE_NAMES[n] != "TRI_MODIFIED_DATE_SY"]
+
 # Orders stand in for lease versions: the customer is the lease, the order date
-# the modification date; status F = expense, O = income, P = another type.
+# the modification date, the key's parity the control number; status F = expense,
+# O = income, P = another type.  Every other column holds its own name and the key.
 _LEASE_SQL = """
 v AS (
-  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC)
+  SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderkey % 2 ORDER BY o_orderdate DESC, o_orderkey DESC)
             AS rn FROM orders),
 ld AS (
   SELECT CAST(o_custkey AS VARCHAR) AS id, CAST(o_orderkey AS VARCHAR) AS ver,
@@ -22,7 +25,7 @@ ld AS (
               ELSE 'Sub Lease' END AS type,
          CASE WHEN o_orderpriority LIKE '1%' THEN 'PROP-' || CAST(o_orderkey AS VARCHAR) END AS prop,
          o_custkey % 40 AS loc, CAST(o_custkey % 25 AS VARCHAR) AS company,
-         CAST(o_custkey AS VARCHAR) AS person
+         CAST(o_custkey AS VARCHAR) AS person, CAST(o_orderkey % 2 AS VARCHAR) AS ctrl, o_orderdate AS od, o_orderkey AS okey
   FROM v WHERE rn = 1),
 lp AS (SELECT n_nationkey AS k, 'P' || n_name AS p FROM nation WHERE n_nationkey < 8),
 lb AS (SELECT n_nationkey AS k, 'B' || n_name AS p FROM nation WHERE n_nationkey BETWEEN 5 AND 15),
@@ -43,10 +46,9 @@ placed AS (
 
 def _leases(spark, sf_dir):
     od = table(spark, sf_dir, "orders")
-    text = F.lit(None).cast("string")
     used = {
         "TRI_ID_TX": F.col("o_custkey").cast("string"),
-        "TRI_CONTROL_NUMBER_CN": F.lit("1"),
+        "TRI_CONTROL_NUMBER_CN": (F.col("o_orderkey") % 2).cast("string"),
         # Order key as the sub-second part: the modification time has no ties.
         "TRI_MODIFIED_DATE_SY": F.timestamp_micros(
             F.unix_micros(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey")
@@ -64,10 +66,11 @@ def _leases(spark, sf_dir):
         "TRI_NAME_TX": F.col("o_orderkey").cast("string"),
         "TRI_STATUS_CL": F.lit("Active"),
     }
+    for i, source in enumerate(_TIMES):
+        used[source] = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(f" 0{i}:00:00"))
     rest = [s for s in lease.LEASE_NAMES.values() if s and s not in used and s != "COUNTRY"]
-    return od.select(
-        *[c.alias(n) for n, c in used.items()], *[text.alias(n) for n in dict.fromkeys(rest)]
-    )
+    filled = [F.concat(F.lit(f"{n}|"), F.col("o_orderkey").cast("string")).alias(n) for n in dict.fromkeys(rest)]
+    return od.select(*[c.alias(n) for n, c in used.items()], *filled)
 
 
 def _dimensions(spark, sf_dir):
@@ -119,24 +122,33 @@ def branch_union_resolve(spark, sf_dir):
     )
 
 
+_CONTACT_SQL = "CASE WHEN c.c_acctbal > 0 THEN c.c_mktsegment || c.c_name END"
+_LEASE_COLUMNS_SQL = {
+    "Lease_Name": "ver", "Site_Id": "substring(place, 6, 15)", "DCH_Validator_Email_Id": "person",
+    "Premise_Location_Id": "CAST(loc AS VARCHAR)", "Property_Id": "place", "Lease_Type_Code": "type",
+    "Lease_Status_Code": "'Active'", "Company_Code": "company", "Country_Code": "n.n_name", "Control_Number": "ctrl",
+    "Lease_Transaction_Id": "placed.id", "Source_Last_Modified_Date": "od + to_microseconds(okey)",
+    **{n: _CONTACT_SQL for n, source in lease.LEASE_NAMES.items() if source is None and n != "Site_Id"},
+    **{n: f"CAST(strftime(od, '%Y-%m-%d') || ' 0{_TIMES.index(s)}:00:00' AS TIMESTAMP)" for n, s in lease.LEASE_NAMES.items() if s in _TIMES},
+}
+_CURATED_SQL = ", ".join(
+    f"{_LEASE_COLUMNS_SQL.get(n, chr(39) + str(s) + '|' + chr(39) + ' || CAST(okey AS VARCHAR)')} AS {n}" for n, s in lease.LEASE_NAMES.items()
+)
+
+
 @query(
     "curated_leases",
     f"""WITH {_LEASE_SQL}
-        SELECT placed.id AS Lease_Transaction_Id, ver AS Lease_Name, type AS Lease_Type_Code,
-               place AS Property_Id, substring(place, 6, 15) AS Site_Id, company AS Company_Code,
-               n.n_name AS Country_Code,
-               CASE WHEN c.c_acctbal > 0 THEN c.c_mktsegment || c.c_name END AS DCH_Validator_Name,
-               CASE WHEN c.c_acctbal > 0 THEN c.c_mktsegment || c.c_name END AS Property_Manager_Name
+        SELECT {_CURATED_SQL}
         FROM placed
         LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) n
           ON placed.company = CAST(n.n_nationkey AS VARCHAR)
         LEFT JOIN customer c ON placed.person = CAST(c.c_custkey AS VARCHAR)""",
 )
 def curated_leases(spark, sf_dir):
-    return _curated(spark, sf_dir).select(
-        "Lease_Transaction_Id", "Lease_Name", "Lease_Type_Code", "Property_Id", "Site_Id",
-        "Company_Code", "Country_Code", "DCH_Validator_Name", "Property_Manager_Name",
-    )
+    """All columns of the curated table but its load time."""
+    out = _curated(spark, sf_dir).select(*lease.LEASE_NAMES)
+    return out.withColumns({n: plain_ts(F.col(n)) for n in lease.LEASE_TIMESTAMPS})
 
 
 @query(
@@ -148,11 +160,11 @@ def curated_leases(spark, sf_dir):
           LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) n ON placed.company = CAST(n.n_nationkey AS VARCHAR)
           LEFT JOIN customer c ON placed.person = CAST(c.c_custkey AS VARCHAR))
         SELECT 1 AS step_no, 'versions' AS step, count(*) AS rows, 'TRI_ID_TX' AS key,
-               count(*) FILTER (WHERE o_custkey IS NULL) AS without_key FROM orders
-        UNION ALL SELECT 2, 'newest', count(*), 'CST_PROPERTY_ID_TX', count(*) FILTER (WHERE prop IS NULL) FROM ld
-        UNION ALL SELECT 3, 'property', count(*), 'CST_PROPERTY_ID_TX', count(*) FILTER (WHERE place IS NULL) FROM placed
-        UNION ALL SELECT 4, 'country', count(*), 'COUNTRY', count(*) FILTER (WHERE country IS NULL) FROM full_rows
-        UNION ALL SELECT 5, 'contact', count(*), '_contact', count(*) FILTER (WHERE contact IS NULL) FROM full_rows""",
+               count(*) FILTER (WHERE o_custkey IS NULL) AS without_key, CAST(NULL AS BIGINT) AS unreadable FROM orders
+        UNION ALL SELECT 2, 'newest', count(*), 'CST_PROPERTY_ID_TX', count(*) FILTER (WHERE prop IS NULL), NULL FROM ld
+        UNION ALL SELECT 3, 'property', count(*), 'CST_PROPERTY_ID_TX', count(*) FILTER (WHERE place IS NULL), NULL FROM placed
+        UNION ALL SELECT 4, 'country', count(*), 'COUNTRY', count(*) FILTER (WHERE country IS NULL), NULL FROM full_rows
+        UNION ALL SELECT 5, 'contact', count(*), '_contact', count(*) FILTER (WHERE contact IS NULL), NULL FROM full_rows""",
 )
 def curated_lease_steps(spark, sf_dir):
     """Rows behind each step of the lease job and those without the key it looks up, from the run that writes the table."""
@@ -175,7 +187,6 @@ def _clauses(spark, sf_dir):
 
 def _rules(spark, sf_dir, names):
     li = table(spark, sf_dir, "lineitem")
-    text = F.lit(None).cast("string")
     used = {
         "TRI_CLAUSE_ID_TX": F.col("l_partkey").cast("string"),
         "TRI_SALES_CATEGORY_CL": F.col("l_returnflag"),
@@ -185,7 +196,22 @@ def _rules(spark, sf_dir, names):
         "TRI_MODIFIED_DATE_SY": F.col("l_shipdate"),
     }
     rest = [s for s in names.values() if s not in used and s not in ("Country_Code", "Company_Code")]
-    return li.select(*[c.alias(n) for n, c in used.items()], *[text.alias(n) for n in rest])
+    filled = [F.concat(F.lit(f"{n}|"), F.col("l_partkey").cast("string"), "l_returnflag").alias(n) for n in rest]
+    return li.select(*[c.alias(n) for n, c in used.items()], *filled)
+
+
+def _rules_sql(names, used, source):
+    """The columns of a rule table: those in ``used``, the others by name, part and flag as in ``_rules``."""
+    own = lambda s: f"'{s}|' || CAST({source}l_partkey AS VARCHAR) || {source}l_returnflag"
+    return ", ".join(f"{used.get(n, own(s))} AS {n}" for n, s in names.items())
+
+
+def _rule_keys(source):
+    return {
+        "Transaction_Id": f"CAST({source}l_orderkey AS VARCHAR)", "Lease_Clause_Legacy_Id": f"CAST({source}l_partkey AS VARCHAR)",
+        "Sales_Category": f"{source}l_returnflag", "Lease_Transaction_Id": f"CAST({source}l_suppkey AS VARCHAR)",
+        "Source_Last_Modified_Date": f"CAST({source}l_shipdate AS DATE)", "Company_Code": "owner.company", "Country_Code": "owner.country",
+    }
 
 
 _OWNER_SQL = f"""
@@ -203,11 +229,7 @@ owner AS (
           SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC,
                       CAST(l_partkey AS VARCHAR), l_returnflag, l_extendedprice,
                       CAST(l_suppkey AS VARCHAR)) AS rank_no FROM lineitem) WHERE rank_no = 1)
-        SELECT CAST(one.l_orderkey AS VARCHAR) AS Transaction_Id,
-               CAST(one.l_partkey AS VARCHAR) AS Lease_Clause_Legacy_Id,
-               one.l_returnflag AS Sales_Category, one.l_extendedprice AS Min_LC_Amount,
-               CAST(one.l_suppkey AS VARCHAR) AS Lease_Transaction_Id,
-               owner.company AS Company_Code, owner.country AS Country_Code
+        SELECT {_rules_sql(lease.QUANTITY_RULE_NAMES, {"Min_LC_Amount": "one.l_extendedprice", **_rule_keys("one.")}, "one.")}
         FROM one JOIN part ON one.l_partkey = p_partkey AND p_size < 20
         LEFT JOIN owner ON owner.id = CAST(one.l_suppkey AS VARCHAR)""",
 )
@@ -215,33 +237,22 @@ def quantity_rules(spark, sf_dir):
     """The newest version of each rule; equal dates are settled by the other columns."""
     rules = _rules(spark, sf_dir, lease.QUANTITY_RULE_NAMES)
     out = lease.quantity_rules(rules, _curated(spark, sf_dir), _clauses(spark, sf_dir))
-    return out.select(
-        "Transaction_Id", "Lease_Clause_Legacy_Id", "Sales_Category", "Min_LC_Amount",
-        "Lease_Transaction_Id", "Company_Code", "Country_Code",
-    )
+    out = out.select(*lease.QUANTITY_RULE_NAMES)
+    return out.withColumn("Source_Last_Modified_Date", F.to_date("Source_Last_Modified_Date"))
 
 
 @query(
     "value_rules",
     f"""WITH {_OWNER_SQL}
-        SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS Transaction_Id,
-               CAST(l_partkey AS VARCHAR) AS Lease_Clause_Legacy_Id,
-               l_returnflag AS Sales_Category, l_extendedprice AS Custom_Min_LC_Amount,
-               CAST(l_suppkey AS VARCHAR) AS Lease_Transaction_Id,
-               CAST(l_shipdate AS DATE) AS Source_Last_Modified_Date,
-               owner.company AS Company_Code, owner.country AS Country_Code
+        SELECT DISTINCT {_rules_sql(lease.VALUE_RULE_NAMES, {"Custom_Min_LC_Amount": "l_extendedprice", **_rule_keys("")}, "")}
         FROM lineitem JOIN part ON l_partkey = p_partkey AND p_size < 20
         LEFT JOIN owner ON owner.id = CAST(l_suppkey AS VARCHAR)""",
 )
 def value_rules(spark, sf_dir):
     rules = _rules(spark, sf_dir, lease.VALUE_RULE_NAMES)
     out = lease.value_rules(rules, _curated(spark, sf_dir), _clauses(spark, sf_dir))
-    return out.select(
-        "Transaction_Id", "Lease_Clause_Legacy_Id", "Sales_Category", "Custom_Min_LC_Amount",
-        "Lease_Transaction_Id",
-        F.to_date("Source_Last_Modified_Date").alias("Source_Last_Modified_Date"),
-        "Company_Code", "Country_Code",
-    )
+    out = out.select(*lease.VALUE_RULE_NAMES)
+    return out.withColumn("Source_Last_Modified_Date", F.to_date("Source_Last_Modified_Date"))
 
 
 @query(

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from sitebooks.catalog.registry import TX_MARKERS, TX_SQL, plain_ts, query, table, tx
 from sitebooks.operators.joins import overlap_join, tolerance_join
+from sitebooks.operators.quality import Steps
 from sitebooks.plans import matching, pumps, sizing
+from sitebooks.runtime import scratch_dir
+from sitebooks.sources import sinks
 
 # The same steps as SQL: pump set per grade, product class, then the overlap
 # self-join that the Spark job replaces by a sweep.
@@ -520,6 +523,26 @@ def match_transactions(spark, sf_dir):
     return _matched(rows, matching.reference_sales(_sales(spark, sf_dir)))
 
 
+@query(
+    "transaction_steps",
+    """WITH r AS (SELECT event_id, v, event_id % 11 = 0 AS bad FROM events
+                 CROSS JOIN (SELECT unnest([0, 1, 2])::BIGINT AS v) WHERE event_type <> 'purchase')
+       SELECT 1 AS step_no, 'keys' AS step, count(*) AS rows, 'RowKey' AS key, CAST(0 AS BIGINT) AS without_key,
+              count(*) FILTER (WHERE bad) AS unreadable FROM r
+       UNION ALL SELECT 2, 'sites', count(*), 'GlobalSiteId', count(*) FILTER (WHERE bad), NULL FROM r
+       UNION ALL SELECT 3, 'distinct', count(*), 'GlobalSiteId', count(*) FILTER (WHERE bad), NULL FROM r WHERE v < 2""",
+)
+def transaction_steps(spark, sf_dir):
+    """Rows behind each step of the transaction job, from the run that writes it; some pump numbers are no numbers."""
+    raw = _raw_transactions(spark, sf_dir)
+    odd = F.col("transactionNumber") % 11 == 0
+    raw = raw.withColumn("pumpNumber", F.when(odd, "pump one").otherwise(F.col("pumpNumber").cast("string")))
+    steps = Steps()
+    rows = matching.site_transactions(raw, _sites(spark, sf_dir), watch=steps.watch)
+    sinks.write_files(rows, scratch_dir(spark, "transactions"))
+    return steps.frame(spark)
+
+
 @query(
     "match_first_load",
     _match_sql(

@@ -146,8 +146,8 @@ p AS (SELECT o_orderpriority AS category, o_orderstatus AS project, {sums}
 )
 
 
-def wide_months(spark, sf_dir):
-    """Orders as a wide budget: one column per month, status P without values."""
+def wide_months(spark, sf_dir, *more):
+    """Orders as a wide budget: one column per month, status P without values, and ``more`` aggregates."""
     od = table(spark, sf_dir, "orders")
     month = F.month("o_orderdate")
     return od.groupBy(
@@ -160,7 +160,8 @@ def wide_months(spark, sf_dir):
             .cast("double")
             .alias(m)
             for i, m in enumerate(MONTHS, 1)
-        ]
+        ],
+        *more,
     )
 
 

@@ -8,6 +8,7 @@ and adaptive execution splits skewed partitions of shuffled joins.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,18 +63,25 @@ def coalesce_lookup(
     ``dims`` holds ``(dimension, df key, dim key, dim value)``.  Each dimension
     is reduced to one value per key before the join, so the lookup can never
     multiply rows; several values for one key resolve to the smallest.
+
+    Dimensions asked by one key are merged to a row per key and joined once.  A
+    row with a ``first`` value asks nothing, and rows that ask nothing are spread
+    over the tasks (:func:`lookup_spread`).
     """
-    candidates = [first]
-    for i, (dim, key, dim_key, value) in enumerate(dims):
-        side = (
-            dim.where(F.col(dim_key).isNotNull())
-            .groupBy(F.col(dim_key).alias(f"_k{i}"))
-            .agg(F.min(value).alias(f"_v{i}"))
-        )
-        df = df.join(side, df[key] == side[f"_k{i}"], "left")
-        candidates.append(F.col(f"_v{i}"))
-    df = df.withColumn(out, F.coalesce(*candidates))
-    return df.drop(*[f"_{kind}{i}" for i in range(len(dims)) for kind in "kv"])
+    by_key: dict[str, list[int]] = {}
+    for i, (_, key, _, _) in enumerate(dims):
+        by_key.setdefault(key, []).append(i)
+    values = [F.col(f"_v{i}") for i in range(len(dims))]
+    for key, numbers in by_key.items():
+        parts = []
+        for i in numbers:
+            dim, _, dim_key, value = dims[i]
+            empty = [(F.col(value) if j == i else F.lit(None)).alias(f"_v{j}") for j in numbers]
+            parts.append(dim.where(F.col(dim_key).isNotNull()).select(F.col(dim_key).alias("_k"), *empty))
+        side = reduce(DataFrame.unionByName, parts).groupBy("_k").agg(*[F.min(f"_v{j}").alias(f"_v{j}") for j in numbers])
+        df = lookup_spread(df, F.when(first.isNull(), F.col(key)), side, "_k")
+    df = df.withColumn(out, F.coalesce(first, *values))
+    return df.drop(*[f"_v{i}" for i in range(len(dims))])
 
 
 def lookup_spread(df: DataFrame, key: Column, dim: DataFrame, dim_key: str, tasks: int = 4096) -> DataFrame:

@@ -30,23 +30,27 @@ class Steps:
     def __init__(self):
         self.seen: list[tuple[str, str | None, Observation]] = []
 
-    def watch(self, df: DataFrame, step: str, key: str | None = None) -> DataFrame:
-        """Count rows, and those without ``key``, as they pass."""
+    def watch(self, df: DataFrame, step: str, key: str | None = None, unreadable: Column | None = None) -> DataFrame:
+        """Count rows, those without ``key`` and those that are ``unreadable``, as they pass."""
         tests = {"without_key": F.col(key).isNull()} if key else {}
+        if unreadable is not None:
+            tests["unreadable"] = unreadable
         df, seen = watched(df, **tests)
         self.seen.append((step, key, seen))
         return df
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        """``step_no, step, rows, key, without_key`` in the order of the steps."""
+        """``step_no, step, rows, key, without_key, unreadable`` in the order of the steps."""
         rows = []
         for i, (step, key, seen) in enumerate(self.seen):
             got = seen.get
-            rows.append((i + 1, step, got["rows"], key, got.get("without_key")))
-        return spark.createDataFrame(rows, "step_no int, step string, rows long, key string, without_key long")
+            rows.append((i + 1, step, got["rows"], key, got.get("without_key"), got.get("unreadable")))
+        return spark.createDataFrame(
+            rows, "step_no int, step string, rows long, key string, without_key long, unreadable long"
+        )
 
 
-def unwatched(df: DataFrame, step: str, key: str | None = None) -> DataFrame:
+def unwatched(df: DataFrame, step: str, key: str | None = None, unreadable: Column | None = None) -> DataFrame:
     """The default of a job's ``watch``: nothing is counted."""
     return df
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from sitebooks.functions.calendar import local_time
 from sitebooks.operators.filters import in_values
 from sitebooks.operators.intervals import BUCKET_SECONDS, match_nearest
 from sitebooks.operators.joins import lookup
+from sitebooks.operators.quality import unwatched
 from sitebooks.operators.windows import dedupe
 
 # Zone of the sites, first day of the first load, tolerance, the
@@ -47,6 +50,7 @@ def site_transactions(
     zone: str = ZONE,
     first_load: bool = False,
     first_day: dt.date = FIRST_DAY,
+    watch: Callable[..., DataFrame] = unwatched,
 ) -> DataFrame:
     """Distinct transactions in local time with their site attributes.
 
@@ -54,6 +58,10 @@ def site_transactions(
     fall away in the same step; rows that differ only in what the site table says
     are settled by these columns, so the survivor does not depend on the run.  On
     the first load only transactions ending on or after ``first_day`` count.
+
+    Device, product, pump, nozzle and transaction number are whole numbers; text
+    that is none becomes null.  ``watch`` counts the rows behind each step and
+    how many had such text (:class:`sitebooks.operators.quality.Steps`).
     """
     whole = ("deviceID", "productCode", "pumpNumber", "nozzleNumber", "transactionNumber")
     rows = tx.withColumns(
@@ -64,6 +72,8 @@ def site_transactions(
     )
     if first_load:
         rows = rows.where(F.col("transactionEndTime") >= F.lit(first_day))
+    unreadable = reduce(lambda a, b: a | b, [F.col(c).isNotNull() & F.col(c).try_cast("int").isNull() for c in whole])
+    rows = watch(rows, "keys", "RowKey", unreadable=unreadable)
     rows = rows.withColumns(
         {
             "RowKey": F.trim("RowKey"),
@@ -81,9 +91,10 @@ def site_transactions(
         SITE_COLUMNS,
         trim=True,
     )
+    rows = watch(rows, "sites", "GlobalSiteId")
     attributes = [c for c in SITE_COLUMNS.values() if c != "GlobalSiteId"]
     survivors = [F.col(c) for c in ("PartitionKey", "RowKey", "RequestDateTime", "GlobalSiteId", *attributes)]
-    rows = dedupe(rows, TRANSACTION_KEY, [c.asc_nulls_last() for c in survivors])
+    rows = watch(dedupe(rows, TRANSACTION_KEY, [c.asc_nulls_last() for c in survivors]), "distinct", "GlobalSiteId")
     return rows.withColumns(
         {
             "START_DATE": F.to_date("transactionEndTime"),

@@ -94,17 +94,18 @@ def read_period(
 ) -> DataFrame:
     """One period of the listed countries; countries without that period are skipped.
 
-    ``layout`` names the directory of a country's period below a root.  Only the directories of the period are listed and read.  A year-month path
+    ``layout`` names the directory of a country's period below a root.  Only the
+    directories of the period are listed, once per root, and read.  A year-month path
     without files for any country is an error unless ``schema`` is given, which
     then yields an empty frame.
     """
     roots = [roots] if isinstance(roots, str) else list(roots)
-    wanted = [
-        root.rstrip("/") + "/" + layout.format(country=country, year=year, month=month)
-        for root in roots
-        for country in countries
-    ]
-    paths = existing(spark, wanted)
+    place = lambda country: layout.format(country=country, year=year, month=month)
+    # One listing per root: the file service picks the countries that are there.
+    plain = [c for c in countries if not set(c) & set("{},*?[]\\")]
+    wanted = [place("{" + ",".join(plain) + "}") if len(plain) > 1 else place(c) for c in (plain[:1] or [])]
+    wanted += [place(c) for c in countries if c not in plain]
+    paths = existing(spark, [root.rstrip("/") + "/" + w for root in roots for w in wanted])
     if not paths:
         if schema is None:
             raise FileNotFoundError(f"no files of {year:04d}/{month:02d} under {roots}")

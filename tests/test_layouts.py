@@ -229,9 +229,9 @@ def test_a_repeated_batch_changes_nothing(spark):
 def test_steps_count_what_passes(spark):
     steps = Steps()
     df = steps.watch(spark.createDataFrame([(1, None), (2, "x")], "id int, k string"), "read", "k")
-    df = steps.watch(df.where("k IS NOT NULL"), "known")
+    df = steps.watch(df.where("k IS NOT NULL"), "known", unreadable=F.col("k") == "y")
     df.write.format("noop").mode("overwrite").save()
-    assert [tuple(r) for r in steps.frame(spark).collect()] == [(1, "read", 2, "k", 1), (2, "known", 1, None, None)]
+    assert [tuple(r) for r in steps.frame(spark).collect()] == [(1, "read", 2, "k", 1, None), (2, "known", 1, None, None, 0)]
 
 
 def test_schema_growth_is_read_with_merged_footers(spark, sf_dir):
