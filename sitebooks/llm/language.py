@@ -123,7 +123,9 @@ def predict(documents: DataFrame, model: Model, text: str = "text", carry: list[
     The language with the largest sum of log-probabilities wins, ties go to
     the first name.  Null, empty or letterless texts get ``und`` and 0.  Whole
     texts count; only the text is looked at.  The model, whose size is fixed by
-    buckets and languages, goes to every task.
+    buckets and languages, goes to every task.  Repeated rows are predicted each
+    alike; an empty table gives no rows; carried columns named like the two new
+    ones are replaced, others are left out.
     """
     sent = documents.sparkSession.sparkContext.broadcast(model)
     buckets, fields = len(model.table), [T.StructField("lang_pred", T.StringType(), False), T.StructField("score", T.DoubleType(), False)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -244,7 +244,8 @@ def groups(
     one node; links are found by BK-trees per shard (:func:`links`) and joined
     to components.  Null and empty texts have fingerprint 0 and are linked like
     any other; rows with a null id get a fingerprint and no component; repeated
-    rows get equal answers; an empty table gives no rows.
+    rows get equal answers; texts of any length are read whole, in bounded
+    pieces; an empty table gives no rows; other columns are ignored.
     """
     ids = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     prints = materialise(fingerprints(ids, n=n), "fingerprints")
@@ -260,10 +261,13 @@ def groups(
     return found.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def one_of_each(documents: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+def one_of_each(documents: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The document with the smallest id of each group of :func:`groups`; rows with a null id stay.
 
-    Repeated rows of one id count as copies: one of them stays.
+    Rows that repeat an id are one document: it goes if any of them is a near
+    copy of a smaller id, else the row with the smallest text stays (nulls
+    first; of equal texts the one whose other columns hash lowest).  Empty and
+    null texts are copies of each other; an empty table gives no rows.
     """
     gone = found.where("doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("__gone"))
     kept = documents.join(gone, F.col(doc_id) == F.col("__gone"), "left_anti")
@@ -272,4 +276,7 @@ def one_of_each(documents: DataFrame, found: DataFrame, doc_id: str = "doc_id")
     if twice.isEmpty():
         return kept
     single = kept.join(twice, F.col(doc_id) == F.col("__twice"), "left_anti")
-    return single.union(kept.join(twice, F.col(doc_id) == F.col("__twice"), "left_semi").dropDuplicates([doc_id]))
+    rest = [F.col(f.name) for f in documents.schema.fields if f.name not in (doc_id, text) and "map<" not in f.dataType.simpleString()]
+    first = Window.partitionBy(doc_id).orderBy(F.asc_nulls_first(text), F.xxhash64(*rest) if rest else F.lit(0))
+    several = kept.join(twice, F.col(doc_id) == F.col("__twice"), "left_semi").withColumn("__rn", F.row_number().over(first))
+    return single.union(several.where("__rn = 1").drop("__rn"))

@@ -110,8 +110,9 @@ def counts(
     piece counts to every task and are summed there.  All others are dealt by
     pre-token: the task that gets one counts its pieces once, joins the count
     to the documents' frequencies, and the products are summed by document.
-    Long pre-tokens are dealt to several tasks each, so that one in very many
-    documents does not pile up.
+    Long pre-tokens and those that begin with further spaces, which are in no
+    table, are dealt to several tasks each, so that one in very many documents
+    does not pile up.
     No list of ids of a text is made.
 
     Null and empty texts have 0 bytes and 0 tokens; special strings in a text
@@ -190,8 +191,9 @@ def counts(
         [T.StructField("row", T.LongType()), T.StructField("n", T.LongType()), T.StructField("keep", keep.dataType), T.StructField("n_bytes", T.LongType())]
     )
     parts = source.mapInArrow(split, schema)
-    # Long pre-tokens are in no table, so one that many documents share is dealt over SPREAD tasks.
-    salt = F.when(F.octet_length("token") > LONGEST, F.pmod(F.hash("row"), F.lit(SPREAD))).otherwise(0)
+    # One of these that many documents share is dealt over SPREAD tasks.
+    unlisted = (F.octet_length("token") > LONGEST) | F.col("token").startswith(" ")
+    salt = F.when(unlisted, F.pmod(F.hash("row"), F.lit(SPREAD))).otherwise(0)
     dealt = parts.repartition(F.when(F.col("token").isNull(), F.hash("row")).otherwise(F.hash("token", salt)))
     summed = (
         dealt.mapInArrow(join, joined_schema)

@@ -6,10 +6,11 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from sitebooks.llm import language, neighbours, pages, queries, secrets
+from sitebooks.llm import language, neighbours, pages, queries, secrets, simhash
 from sitebooks.llm.common import ready
 from tests.llm.test_text import closure, plain_contamination, plain_fingerprint
 
@@ -199,3 +200,14 @@ def test_stages_keep_columns_and_bear_odd_rows(spark, sf_dir):
             now = stage(spark, now, sf_dir)
             assert now.columns == docs.columns, name
         assert now.count() == (1 if table is docs else 0)
+        pieces = corpus_pipeline.STAGES[-1][1](spark, table, sf_dir)
+        assert {r["doc_id"] for r in pieces.collect()} == ({1, 2, None} if table is docs else set())
+
+
+def test_one_row_of_a_repeated_id_stays_by_order(spark):
+    rows = [(2, "b words of one text", "x"), (2, "a words of other text", "z"), (2, "a words of other text", "y"), (1, None, "x"), (3, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = simhash.groups(docs)
+    for frame in (docs, docs.orderBy(F.desc("source"))):
+        kept = {tuple(r) for r in simhash.one_of_each(frame.repartition(3), found).collect()}
+        assert {(r[0], r[1]) for r in kept} == {(1, None), (2, "a words of other text")} and len(kept) == 2
