@@ -210,9 +210,107 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(a, b) END AS prefix
          ELSE output END) AS restored_sha256
 FROM made"""
 
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN []
+                      WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))) END AS grams
+  FROM w),
+e AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS g FROM s),
+linked AS (
+  SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS common
+                    FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL)
+  WHERE 100 * common >= 90 * (nx + ny - common)),
+pairs AS (SELECT x, y FROM linked UNION SELECT y, x FROM linked),
+reach AS (
+  SELECT DISTINCT x AS doc_id, x AS other FROM pairs
+  UNION
+  SELECT reach.doc_id, pairs.y FROM reach JOIN pairs ON reach.other = pairs.x)
+SELECT s.doc_id, len(grams)::BIGINT AS n_shingles, coalesce(low, s.doc_id) AS component_id
+FROM s LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) r ON s.doc_id = r.doc_id"""
+
+
+def _repair_sql() -> str:
+    """Edits of conversations from their last row on: per state the cheapest rest, of equally cheap ones the least word.
+
+    States: 0 nothing yet, 1 behind a system row, 2 a user row, 3 an assistant row.
+    """
+    after = (2, 2, 3, 2)
+    best = lambda state: f"b.best[{state + 1}]"
+    item = lambda c, w, lines: f"{{'c': {c}, 'w': {w}, 'l': {lines}}}"
+
+    def edited(state: int) -> str:
+        to, role = after[state], "'user:'" if after[state] == 2 else "'assistant:'"
+        delete = item(f"2 + {best(state)}.c", f"'D' || {best(state)}.w", f"{best(state)}.l")
+        rerole = item(f"1 + cut + {best(to)}.c", f"'R' || {best(to)}.w", f"list_prepend({role} || text, {best(to)}.l)")
+        keep = {0: "initial IN ('s', 'u')", 1: "initial = 'u'", 2: "initial = 'a'", 3: "initial = 'u'"}[state]
+        kept = lambda t: item(f"cut + {best(t)}.c", f"'K' || {best(t)}.w", f"list_prepend(role || ':' || text, {best(t)}.l)")
+        goes = f"CASE initial WHEN 's' THEN {kept(1)} WHEN 'u' THEN {kept(2)} ELSE {kept(3)} END"
+        return f"CASE WHEN gone THEN {delete} WHEN {keep} THEN least({delete}, {rerole}, {goes}) ELSE least({delete}, {rerole}) END"
+
+    def inserted(state: int) -> str:
+        ways, to, lines = [f"e[{state + 1}]"], state, []
+        for k in range(1, 4):
+            to = after[to]
+            lines.append("'user:'" if to == 2 else "'assistant:'")
+            ways.append(item(f"{5 * k} + e[{to + 1}].c", f"'{'I' * k}' || e[{to + 1}].w", f"list_concat([{', '.join(lines)}], e[{to + 1}].l)"))
+        return f"least({', '.join(ways)})"
+
+    ends = [item("0::BIGINT", "''", "[]::VARCHAR[]"), item("10::BIGINT", "'II'", "['user:', 'assistant:']"),
+            item("5::BIGINT", "'I'", "['assistant:']"), item("0::BIGINT", "''", "[]::VARCHAR[]")]
+    return rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([i, 1, 2, 3, 4, 5, 6, 7, 8],
+           lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
+  FROM (SELECT range::BIGINT AS i FROM range(256))),
+c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(
+               hex(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')), '..'), lambda x: ('0x' || x)::BIGINT)),
+             lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295::BIGINT) % 20 AS luck
+  FROM conversations, crc),
+d AS (
+  SELECT conv_id, turn, CASE WHEN luck = 4 THEN 'user' ELSE role END AS role,
+         CASE luck WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT * FROM c UNION ALL SELECT * FROM c WHERE luck = 3) WHERE luck <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+f AS (
+  SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+         NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS twice,
+         regexp_extract(text, '([^ 	-
+])[ 	-
+]*\z', 1) NOT IN ('.', '!', '?') AS short
+  FROM o),
+r AS (SELECT *, blank OR twice AS gone, CASE WHEN short AND NOT blank AND NOT twice THEN 5 ELSE 0 END AS cut FROM f),
+n AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE twice AND NOT blank) AS duplicate,
+         count(*) FILTER (WHERE cut > 0) AS truncated,
+         count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id),
+b AS (
+  SELECT conv_id, n + 1 AS i, [{', '.join(ends)}] AS best FROM n
+  UNION ALL
+  SELECT conv_id, i, [{', '.join(inserted(s) for s in range(4))}] FROM (
+    SELECT b.conv_id, b.i - 1 AS i, [{', '.join(edited(s) for s in range(4))}] AS e
+    FROM b JOIN r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i - 1))
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best[1].c, 0) AS cost,
+       coalesce(best[1].w, '') AS audit, sha256(coalesce(array_to_string(best[1].l, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM a.conv_id AND b.i = 1"""
+
+
 ORACLE: dict[str, str] = {
     "op4_rendezvous_shards": SHARDS_SQL,
     "op7_substring_dedup": REPEATS_SQL,
     "op9_decontamination": CONTAMINATION_SQL,
     "op11_fill_in_middle": INFILL_SQL,
+    "op12_dialogue_repair": _repair_sql(),
+    "op13_jaccard_join": JACCARD_SQL,
 }
