@@ -36,8 +36,8 @@ def assign(
 
     ``slot`` numbers the rows of a shard from 0 without gaps: rows are numbered
     within ``pieces`` pieces of a shard (by a hash of the row), and pieces follow
-    each other by their counts, so no task holds a whole shard.  The counts are
-    shards x pieces rows, which bounds what is broadcast.  Texts do not travel.
+    each other by their counts, so no task holds a whole shard.  One exchange of
+    the rows serves counts and numbers, so claims are made once.  Texts do not travel.
 
     A null text counts as empty; a null key is hashed as an empty key; repeated
     rows share a shard, in slots of their own; an empty table gives no rows;
@@ -56,7 +56,7 @@ def assign(
     )
     # Another hash than the claims': the row itself, so that repeated keys spread as well.
     row = F.concat_ws(":", "__key", "size", "text_crc32")
-    piece = (F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("long") % pieces).cast("int")
+    piece = F.coalesce((F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("long") % pieces).cast("int"), F.lit(0))
     claims = [scored(F.col("__key"), i, w) for i, w in enumerate(weights)]
     best = F.greatest(*claims) if len(claims) > 1 else claims[0]
     rows = rows.select("*", best.alias("__best"), scored(F.col("__key"), len(weights), grown_weight).alias("__new"))
@@ -68,11 +68,14 @@ def assign(
         (-F.greatest("__best", "__new")["order"]).cast("int").alias("grown_shard"),
         piece.alias("piece"),
     )
-    counts = rows.groupBy("shard", "piece").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("shard").orderBy("piece")) - F.col("n")
-    first = counts.select(F.col("shard").alias("__shard"), F.col("piece").alias("__piece"), before.alias("__first"))
+    rows = rows.repartition("shard", "piece")
     inner = Window.partitionBy("shard", "piece").orderBy("doc_id", "size", "text_crc32")
     numbered = rows.withColumn("__row", F.row_number().over(inner) - 1)
-    joined = numbered.join(F.broadcast(first), (F.col("shard") == F.col("__shard")) & (F.col("piece") == F.col("__piece")))
+    # The counts ask for every column, and no key can be null, so that both uses read the same exchange.
+    last = F.max(F.struct("__row", "grown_shard"))["__row"]
+    counts = numbered.groupBy("shard", "piece").agg((last + 1).cast("long").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("shard").orderBy("piece")) - F.col("n")
+    first = counts.select(F.col("shard").alias("__shard"), F.col("piece").alias("__piece"), before.alias("__first"))
+    joined = numbered.join(first, (F.col("shard") == F.col("__shard")) & (F.col("piece") == F.col("__piece")))
     slot = (F.col("__first") + F.col("__row")).cast("long").alias("slot")
     return joined.select("doc_id", "size", "text_crc32", "shard", slot, "grown_shard")
