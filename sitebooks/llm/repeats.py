@@ -19,8 +19,8 @@ WINDOW = 13
 PERIOD, COVER = 7, (0, 1, 3)
 #: Words of an anchor: a window holds PERIOD anchors' starts, so each shared window shares an aligned anchor.
 ANCHOR = WINDOW - PERIOD + 1
-#: Bytes of text in a block of documents, and hashes meant for one bucket.
-BLOCK, BUCKET = 2 << 20, 1 << 20
+#: Bytes of text in a block of documents, hashes meant for one bucket, and bytes of a bucket's entries held before they are merged.
+BLOCK, BUCKET, HELD = 2 << 20, 1 << 20, 32 << 20
 
 LOW = (1 << 48) - 1
 BLOCKS = T.StructType(
@@ -112,29 +112,51 @@ def emit(bucket: np.ndarray, block: int, parts: list[np.ndarray]):
     )
 
 
-def by_bucket(rows: DataFrame, work, parts: int) -> DataFrame:
-    """Run ``work(blocks, *parts)`` on each bucket's entries; it gives rows (block, answer bytes)."""
+def by_bucket(rows: DataFrame, merge, entries, held: int = HELD) -> DataFrame:
+    """Rows ``(block, answer)``: what each bucket tells the blocks that sent entries to it.
+
+    A bucket is read as a stream.  ``entries(parts)`` gives the entries of some of
+    its rows as an array with a field ``block``; whenever ``held`` bytes of rows
+    have gathered, and at the end, ``merge(entries)`` gives the blocks to answer,
+    the answers, and the entries to go on with.  It goes on with one entry per
+    hash (and equal smallest ids), so a hash that every block sends costs no memory.
+    """
 
     def run(batches):
-        held: list[tuple] = []
+        bucket, parts, size, kept = None, [], 0, None
 
-        def done():
-            sizes = [len(r[2]) for r in held]
-            yield from work([r[1] for r in held], sizes, *[b"".join(r[2 + k] for r in held) for k in range(parts)])
+        def merged():
+            new = entries(parts)
+            return merge(new if kept is None else np.concatenate([kept, new]))
 
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if held and held[-1][0] != row[0]:
-                    yield from done()
-                    held = []
-                held.append(row)
-        if held:
-            yield from done()
+                if row[0] != bucket or size >= held:
+                    if parts:
+                        block, told, kept = merged()
+                        yield from answers(block, told)
+                    if row[0] != bucket:
+                        kept = None
+                    bucket, parts, size = row[0], [], 0
+                parts.append(row[1:])
+                size += sum(map(len, row[2:]))
+        if parts:
+            yield from answers(*merged()[:2])
 
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "block long, answer binary")
 
 
-def answers(block: np.ndarray, names: list[int], rows: np.ndarray):
+def sent(parts: list[tuple], kind: np.dtype, *fields: tuple[str, str]) -> np.ndarray:
+    """Entries of rows (block, bytes of each field)."""
+    sizes = [len(p[1]) // np.dtype(fields[0][1]).itemsize for p in parts]
+    out = np.zeros(sum(sizes), kind)
+    out["block"] = np.repeat([p[0] for p in parts], sizes)
+    for i, (name, form) in enumerate(fields):
+        out[name] = np.frombuffer(b"".join(p[1 + i] for p in parts), form)
+    return out
+
+
+def answers(block: np.ndarray, rows: np.ndarray):
     """Rows (block, bytes of its rows) from a block number per row."""
     order = np.argsort(block, kind="stable")
     block, rows = block[order], rows[order]
@@ -143,18 +165,48 @@ def answers(block: np.ndarray, names: list[int], rows: np.ndarray):
     for a in range(0, len(first), 1000):
         some = range(a, min(a + 1000, len(first)))
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([names[block[edges[i]]] for i in some], pa.int64()),
-                pa.array([rows[edges[i] : edges[i + 1]].tobytes() for i in some], pa.binary()),
-            ],
+            [pa.array(block[first[a : a + 1000]], pa.int64()), pa.array([rows[edges[i] : edges[i + 1]].tobytes() for i in some], pa.binary())],
             names=["block", "answer"],
         )
 
 
 FULL = np.dtype([("h", "<u8"), ("g", "<u4"), ("doc", "<i8")])
-
-
-def deduplicated(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+#: Entries of a bucket: an anchor's 6 bytes (``done``: its block has its answer), and a window with a block's smallest id.
+ANCHORS = np.dtype([("key", "V6"), ("block", "<i8"), ("done", "?")])
+WINDOWS = np.dtype([*FULL.descr, ("block", "<i8")])
+
+
+def wide(low: np.ndarray) -> np.ndarray:
+    """Numbers from their 6 low bytes."""
+    out = np.zeros((len(low), 8), np.uint8)
+    out[:, :6] = np.ascontiguousarray(low).view(np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
+def shared(rows: np.ndarray):
+    """Anchors that two blocks have, for each block without its answer; one entry per anchor stays."""
+    keys = wide(rows["key"])
+    order = np.argsort(keys, kind="stable")
+    keys, rows = keys[order], rows[order]
+    same = keys[1:] == keys[:-1]
+    twice = np.r_[False, same] | np.r_[same, False]
+    told = rows[twice & ~rows["done"]]
+    rows["done"] |= twice
+    return told["block"], told["key"], rows[np.r_[True, ~same]]
+
+
+def smaller(rows: np.ndarray):
+    """Windows of which another block has a smaller id, for each block; the entries with the smallest ids stay."""
+    rows = rows[np.lexsort((rows["doc"], rows["g"], rows["h"]))]
+    new = heads(rows)
+    low = rows["doc"][np.flatnonzero(new)][np.cumsum(new) - 1]
+    beaten = low < rows["doc"]
+    told = np.empty(int(beaten.sum()), FULL)
+    told["h"], told["g"], told["doc"] = rows["h"][beaten], rows["g"][beaten], low[beaten]
+    return rows["block"][beaten], told, rows[~beaten]
+
+
+def deduplicated(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", held: int = HELD) -> DataFrame:
     """``doc_id, n_words, n_removed, kept``: texts without passages that a smaller id has too.
 
     A word goes if a window of 13 words over it also starts in a document with
@@ -172,9 +224,10 @@ def deduplicated(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
        with smaller ids of other blocks.
     4. Each block compares its windows among themselves and with the answers.
 
-    However often a passage occurs, a block sends it once, so a hot passage
-    costs a bucket one entry per block.  The number of buckets follows the
-    amount of text.
+    However often a passage occurs, a block sends it once, and a bucket merges
+    what it has read whenever ``held`` bytes have gathered, so a passage that
+    all blocks have costs no memory.  The number of buckets follows the amount
+    of text.
 
     Null and empty texts have no words; rows with a null id keep all words and
     remove none elsewhere; repeated rows have the same id, so they remove
@@ -196,21 +249,12 @@ def deduplicated(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
                 low = np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :6])
                 yield from emit(keys >> np.uint64(64 - bits), batch.column(0)[i].as_py(), [low])
 
-    def shared(names, sizes, data):
-        size = np.array(sizes) // 6
-        wide = np.zeros((int(size.sum()), 8), np.uint8)
-        wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-        keys = wide.view(np.uint64).ravel()
-        block = np.repeat(np.arange(len(names)), size)
-        order = np.argsort(keys, kind="stable")
-        same = keys[order][1:] == keys[order][:-1]
-        some = order[np.r_[False, same] | np.r_[same, False]]
-        low = wide[some][:, :6]
-        yield from answers(block[some], names, np.ascontiguousarray(low))
-
     # The bucket of an anchor is not in the answer; a block finds it again in its own anchors.
     first = by_bucket(
-        table.select("block", "ids", "offsets", "data").mapInArrow(send_anchors, "bucket int, block long, p0 binary"), shared, 1
+        table.select("block", "ids", "offsets", "data").mapInArrow(send_anchors, "bucket int, block long, p0 binary"),
+        shared,
+        lambda parts: sent(parts, ANCHORS, ("key", "V6")),
+        held,
     )
     lists = lambda rows: rows.groupBy("block").agg(F.collect_list("answer").alias("answers")).withColumnRenamed("block", "to")
     base = table.select("block", "ids", "offsets", "data")
@@ -232,9 +276,7 @@ def deduplicated(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
                 twice = np.unique(k[1:][(k[1:] == k[:-1]) & (d[1:] != d[:-1])])
                 known = np.isin(keys, twice)
                 if told_here := batch.column(4)[i].as_py():
-                    wide = np.zeros((sum(map(len, told_here)) // 6, 8), np.uint8)
-                    wide[:, :6] = np.frombuffer(b"".join(told_here), np.uint8).reshape(-1, 6)
-                    known |= np.isin(low, wide.view(np.uint64).ravel())
+                    known |= np.isin(low, wide(np.frombuffer(b"".join(told_here), "V6")))
                 cover = np.zeros(len(h) + 1, np.int64)
                 hit = at[known]
                 np.add.at(cover, np.maximum(hit - (PERIOD - 1), words.of[:-1][doc[hit]]), 1)
@@ -251,21 +293,13 @@ def deduplicated(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
                 pair["h"], pair["g"] = rows["h"], rows["g"]
                 yield from emit(rows["h"] >> np.uint64(64 - bits), batch.column(0)[i].as_py(), [pair, rows["doc"].copy()])
 
-    def smaller(names, sizes, pairs, docs):
-        pair, doc = np.frombuffer(pairs, PAIR), np.frombuffer(docs, np.int64)
-        block = np.repeat(np.arange(len(names)), np.array(sizes) // PAIR.itemsize)
-        order = np.lexsort((doc, pair["g"], pair["h"]))
-        new = heads(pair[order])
-        low = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-        some = low < doc[order]
-        rows = np.empty(int(some.sum()), FULL)
-        at = order[some]
-        rows["h"], rows["g"], rows["doc"] = pair["h"][at], pair["g"][at], low[some]
-        yield from answers(block[at], names, rows)
-
-    second = by_bucket(
-        one.mapInArrow(send_windows, "bucket int, block long, p0 binary, p1 binary"), smaller, 2
-    )
+    def arrived(parts):
+        rows = sent([(p[0], p[2]) for p in parts], WINDOWS, ("doc", "<i8"))
+        pair = np.frombuffer(b"".join(p[1] for p in parts), PAIR)
+        rows["h"], rows["g"] = pair["h"], pair["g"]
+        return rows
+
+    second = by_bucket(one.mapInArrow(send_windows, "bucket int, block long, p0 binary, p1 binary"), smaller, arrived, held)
     two = base.join(lists(second), F.col("block") == F.col("to"), "left").select("block", "ids", "offsets", "data", "answers")
 
     def keep(batches):

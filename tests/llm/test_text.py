@@ -224,6 +224,29 @@ def plain_repeats(texts):
     return out
 
 
+@pytest.mark.parametrize("held", [1, 3, 7, 1000])
+def test_buckets_merge_a_hot_hash_in_any_order(held):
+    """Block b has id ids[b] and the same window; all but the holders of the smallest id are told, and once."""
+    rng = np.random.default_rng(held)
+    for ids in (rng.permutation(50), rng.integers(0, 4, 50), np.zeros(9, np.int64)):
+        rows = np.zeros(len(ids), repeats.WINDOWS)
+        rows["h"], rows["doc"], rows["block"] = 5, ids, np.arange(len(ids))
+        kept, told = rows[:0], []
+        for a in range(0, len(rows), held):
+            block, answer, kept = repeats.smaller(np.concatenate([kept, rows[a : a + held]]))
+            assert (answer["doc"] < ids[block]).all()
+            told += block.tolist()
+        assert sorted(told) == np.flatnonzero(ids > ids.min()).tolist()
+        marks = np.zeros(len(ids), repeats.ANCHORS)
+        marks["key"], marks["block"] = np.frombuffer(b"anchor" * len(ids), "V6"), np.arange(len(ids))
+        kept, told = marks[:0], []
+        for a in range(0, len(marks), held):
+            block, _, kept = repeats.shared(np.concatenate([kept, marks[a : a + held]]))
+            told += block.tolist()
+            assert len(kept) == 1
+        assert sorted(told) == list(range(len(ids)))
+
+
 def test_repeats_equal_brute_force(spark, texts, monkeypatch):
     rng = random.Random(5)
     passages = [" ".join(f"w{rng.randint(0, 400)}" for _ in range(rng.choice((12, 13, 14, 40)))) for _ in range(12)]
@@ -231,9 +254,9 @@ def test_repeats_equal_brute_force(spark, texts, monkeypatch):
     every = [*texts, *mixed, texts[3], texts[0], "a " * 60, "a " * 70]
     ids = [13 * i % 1013 for i in range(len(every))]
     want = plain_repeats(dict(zip(ids, every)))
-    for size in (repeats.BLOCK, 3000):
+    for size, held in ((repeats.BLOCK, repeats.HELD), (3000, repeats.HELD), (3000, 100)):
         monkeypatch.setattr(repeats, "BLOCK", size)
-        got = by_id(repeats.deduplicated(documents(spark, every, ids)), "n_words", "n_removed", "kept")
+        got = by_id(repeats.deduplicated(documents(spark, every, ids), held=held), "n_words", "n_removed", "kept")
         assert got == want
     null = repeats.deduplicated(documents(spark, ["a " * 20, "a " * 20], [None, 3])).collect()
     assert sorted((r["doc_id"] or 0, r["n_removed"]) for r in null) == [(0, 0), (3, 0)]
