@@ -99,13 +99,28 @@ def heads(rows: np.ndarray) -> np.ndarray:
     return np.r_[True, (rows["h"][1:] != rows["h"][:-1]) | (rows["g"][1:] != rows["g"][:-1])] if len(rows) else np.empty(0, bool)
 
 
-def emit(bucket: np.ndarray, block: int, parts: list[np.ndarray]):
-    """One row per bucket: the block and the bytes of each part's entries (all sorted by bucket)."""
+def packed(ids: np.ndarray) -> bytes:
+    """Ids as the smallest one and each one's distance from it, in four bytes if all fit, else in eight."""
+    low = ids.min()
+    apart = ids.view(np.uint64) - low.view(np.uint64)
+    return low.tobytes() + (apart.astype(np.uint32) if apart.max() < 1 << 32 else apart).tobytes()
+
+
+def unpacked(data: bytes, count: int) -> np.ndarray:
+    """The ids of :func:`packed`."""
+    low = np.frombuffer(data, np.uint64, 1)
+    apart = np.frombuffer(data, np.uint32 if len(data) == 8 + 4 * count else np.uint64, count, 8)
+    return (low + apart).view(np.int64)
+
+
+def emit(bucket: np.ndarray, block: int, parts: list[np.ndarray], last=np.ndarray.tobytes):
+    """One row per bucket: the block and the bytes of each part's entries (all sorted by bucket); ``last`` writes the last part's."""
     if not len(bucket):
         return
     first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
     edges = [*first.tolist(), len(bucket)]
-    columns = [pa.array([p[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()) for p in parts]
+    form = [np.ndarray.tobytes] * (len(parts) - 1) + [last]
+    columns = [pa.array([f(p[a:b]) for a, b in zip(edges, edges[1:])], pa.binary()) for f, p in zip(form, parts)]
     yield pa.RecordBatch.from_arrays(
         [pa.array(bucket[first].astype(np.int32)), pa.array(np.full(len(first), block), pa.int64()), *columns],
         names=["bucket", "block", *[f"p{i}" for i in range(len(parts))]],
@@ -146,16 +161,6 @@ def by_bucket(rows: DataFrame, merge, entries, held: int = HELD) -> DataFrame:
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "block long, answer binary")
 
 
-def sent(parts: list[tuple], kind: np.dtype, *fields: tuple[str, str]) -> np.ndarray:
-    """Entries of rows (block, bytes of each field)."""
-    sizes = [len(p[1]) // np.dtype(fields[0][1]).itemsize for p in parts]
-    out = np.zeros(sum(sizes), kind)
-    out["block"] = np.repeat([p[0] for p in parts], sizes)
-    for i, (name, form) in enumerate(fields):
-        out[name] = np.frombuffer(b"".join(p[1 + i] for p in parts), form)
-    return out
-
-
 def answers(block: np.ndarray, rows: np.ndarray):
     """Rows (block, bytes of its rows) from a block number per row."""
     order = np.argsort(block, kind="stable")
@@ -196,13 +201,16 @@ def shared(rows: np.ndarray):
 
 
 def smaller(rows: np.ndarray):
-    """Windows of which another block has a smaller id, for each block; the entries with the smallest ids stay."""
+    """Windows of which another block has a smaller id, for each block; the entries with the smallest ids stay.
+
+    A block sent its smallest id, so what it is told holds for all its documents.
+    """
     rows = rows[np.lexsort((rows["doc"], rows["g"], rows["h"]))]
     new = heads(rows)
     low = rows["doc"][np.flatnonzero(new)][np.cumsum(new) - 1]
     beaten = low < rows["doc"]
-    told = np.empty(int(beaten.sum()), FULL)
-    told["h"], told["g"], told["doc"] = rows["h"][beaten], rows["g"][beaten], low[beaten]
+    told = np.empty(int(beaten.sum()), PAIR)
+    told["h"], told["g"] = rows["h"][beaten], rows["g"][beaten]
     return rows["block"][beaten], told, rows[~beaten]
 
 
@@ -221,7 +229,7 @@ def deduplicated(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
        cover together, so every shared window holds a shared anchor.
     3. Windows around shared anchors are extended: hashed whole (96 bits) and
        sent, once per block and with the smallest id, to buckets, which answer
-       with smaller ids of other blocks.
+       if another block has a smaller id.
     4. Each block compares its windows among themselves and with the answers.
 
     However often a passage occurs, a block sends it once, and a bucket merges
@@ -249,11 +257,18 @@ def deduplicated(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
                 low = np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :6])
                 yield from emit(keys >> np.uint64(64 - bits), batch.column(0)[i].as_py(), [low])
 
+    def marks(parts):
+        sizes = [len(p[1]) // 6 for p in parts]
+        rows = np.zeros(sum(sizes), ANCHORS)
+        rows["key"] = np.frombuffer(b"".join(p[1] for p in parts), "V6")
+        rows["block"] = np.repeat([p[0] for p in parts], sizes)
+        return rows
+
     # The bucket of an anchor is not in the answer; a block finds it again in its own anchors.
     first = by_bucket(
         table.select("block", "ids", "offsets", "data").mapInArrow(send_anchors, "bucket int, block long, p0 binary"),
         shared,
-        lambda parts: sent(parts, ANCHORS, ("key", "V6")),
+        marks,
         held,
     )
     lists = lambda rows: rows.groupBy("block").agg(F.collect_list("answer").alias("answers")).withColumnRenamed("block", "to")
@@ -291,12 +306,14 @@ def deduplicated(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
                 rows = rows[heads(rows)]
                 pair = np.empty(len(rows), PAIR)
                 pair["h"], pair["g"] = rows["h"], rows["g"]
-                yield from emit(rows["h"] >> np.uint64(64 - bits), batch.column(0)[i].as_py(), [pair, rows["doc"].copy()])
+                yield from emit(rows["h"] >> np.uint64(64 - bits), batch.column(0)[i].as_py(), [pair, rows["doc"].copy()], packed)
 
     def arrived(parts):
-        rows = sent([(p[0], p[2]) for p in parts], WINDOWS, ("doc", "<i8"))
+        sizes = [len(p[1]) // PAIR.itemsize for p in parts]
+        rows = np.empty(sum(sizes), WINDOWS)
         pair = np.frombuffer(b"".join(p[1] for p in parts), PAIR)
-        rows["h"], rows["g"] = pair["h"], pair["g"]
+        rows["h"], rows["g"], rows["block"] = pair["h"], pair["g"], np.repeat([p[0] for p in parts], sizes)
+        rows["doc"] = np.concatenate([unpacked(p[2], n) for p, n in zip(parts, sizes)])
         return rows
 
     second = by_bucket(one.mapInArrow(send_windows, "bucket int, block long, p0 binary, p1 binary"), smaller, arrived, held)
@@ -311,7 +328,9 @@ def deduplicated(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
                 rows = np.empty(len(at), FULL)
                 found = digests(words, h, at)
                 rows["h"], rows["g"], rows["doc"] = found["h"], found["g"], ids[doc[at]]
-                told_here = np.frombuffer(b"".join(batch.column(4)[i].as_py() or []), FULL)
+                beaten = np.frombuffer(b"".join(batch.column(4)[i].as_py() or []), PAIR)
+                told_here = np.empty(len(beaten), FULL)
+                told_here["h"], told_here["g"], told_here["doc"] = beaten["h"], beaten["g"], NO_ID  # some smaller id: before all ids
                 # Only windows that occur twice in the block, or that an answer names, can go.
                 every = np.concatenate([rows["h"], told_here["h"]])
                 every.sort()
