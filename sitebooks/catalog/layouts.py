@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sitebooks.catalog.registry import TX_SQL, query, table, tx
+from sitebooks.operators.project import conform
+from sitebooks.operators.quality import Steps
 from sitebooks.runtime import scratch_dir
 from sitebooks.sources import files, layouts, sinks
 from sitebooks.streaming.run_log import ingest_logged, run_log, write_batch
@@ -201,3 +203,22 @@ def empty_results(spark, sf_dir):
                 outcome = "raised"
         told.append((outcome, frame.count()))
     return outcomes.unionByName(spark.createDataFrame(told, outcomes.schema))
+
+
+@query(
+    "lenient_load_steps",
+    """SELECT 1 AS step_no, 'lenient cast' AS step, count(*) AS rows, CAST(NULL AS VARCHAR) AS key, CAST(NULL AS BIGINT) AS without_key,
+              count(*) FILTER (WHERE o_orderkey % 3 = 0 OR o_orderkey % 5 = 0) AS unreadable FROM orders
+       UNION ALL
+       SELECT 2, 'text cut', count(*), NULL, NULL, count(*) FILTER (WHERE length(o_orderpriority) > 8) FROM orders""",
+)
+def lenient_load_steps(spark, sf_dir):
+    """What a lenient load loses: rows with values that turn to null, then rows with texts that are cut, from the run that writes it."""
+    od = table(spark, sf_dir, "orders")
+    odd = lambda n, c: F.when(F.col("o_orderkey") % n == 0, "no value").otherwise(F.col(c).cast("string"))
+    raw = od.select(odd(3, "o_custkey").alias("Customer"), odd(5, "o_totalprice").alias("Amount"), F.col("o_orderpriority").alias("Priority"))
+    steps = Steps()
+    wanted = StructType.fromDDL("customer long, amount decimal(18,2), priority string")
+    out = sinks.guard_text(conform(raw, wanted, lenient=True, watch=steps.watch), 8, watch=steps.watch)
+    sinks.write_files(out, scratch_dir(spark, "lenient"))
+    return steps.frame(spark)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sitebooks.operators.quality import unwatched
+
 
 def project(df: DataFrame, mapping: Mapping[str, str | Column]) -> DataFrame:
     """Select columns under new names: ``{target name: source name or expression}``."""
@@ -40,15 +42,34 @@ def drop_all(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.drop(*names)
 
 
+def unreadable(df: DataFrame, schema: StructType) -> Column:
+    """True for a row of which a value cannot be cast to its type in ``schema`` (columns by name)."""
+    have = {c.lower(): c for c in df.columns}
+    test = F.lit(False)
+    for field in schema.fields:
+        source = have.get(field.name.lower())
+        if source is not None and df.schema[source].dataType != field.dataType:
+            value = F.col(f"`{source}`")
+            test = test | (value.isNotNull() & value.try_cast(field.dataType).isNull())
+    return test
+
+
 def conform(
-    df: DataFrame, schema: StructType, optional: Sequence[str] = (), lenient: bool = False
+    df: DataFrame,
+    schema: StructType,
+    optional: Sequence[str] = (),
+    lenient: bool = False,
+    watch: Callable[..., DataFrame] = unwatched,
 ) -> DataFrame:
     """Columns of ``schema`` by name, in its order, cast to its types.
 
     A column may be missing only if it is named in ``optional``; it is then a
     typed null.  A value that cannot be cast fails the job, unless ``lenient``
-    turns it to null.
+    turns it to null; ``watch`` counts the rows this happens to
+    (:class:`sitebooks.operators.quality.Steps`).
     """
+    if lenient:
+        df = watch(df, "lenient cast", unreadable=unreadable(df, schema))
     may_lack = {name.lower() for name in optional}
     have = {c.lower(): c for c in df.columns}
     out = []

@@ -31,7 +31,7 @@ class Steps:
         self.seen: list[tuple[str, str | None, Observation]] = []
 
     def watch(self, df: DataFrame, step: str, key: str | None = None, unreadable: Column | None = None) -> DataFrame:
-        """Count rows, those without ``key`` and those that are ``unreadable``, as they pass."""
+        """Count rows, those without ``key`` and those that are ``unreadable`` (lose a value in the step), as they pass."""
         tests = {"without_key": F.col(key).isNull()} if key else {}
         if unreadable is not None:
             tests["unreadable"] = unreadable

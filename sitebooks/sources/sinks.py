@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
 from sitebooks.operators.project import conform, stamp
+from sitebooks.operators.quality import unwatched
 from sitebooks.sources.tables import published_watermark
 
 MAX_TEXT = 2000
@@ -101,9 +103,11 @@ def register_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} {f'OPTIONS ({given})' if given else ''} LOCATION '{location}'")
 
 
-def guard_text(df: DataFrame, limit: int = MAX_TEXT) -> DataFrame:
-    """Cut text columns to the width of the warehouse column."""
+def guard_text(df: DataFrame, limit: int = MAX_TEXT, watch: Callable[..., DataFrame] = unwatched) -> DataFrame:
+    """Cut text columns to the width of the warehouse column; ``watch`` counts the rows that lose text."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    longer = [F.coalesce(F.char_length(F.col(f"`{c}`")) > limit, F.lit(False)) for c in text]
+    df = watch(df, "text cut", unreadable=reduce(Column.__or__, longer, F.lit(False)))
     return df.withColumns({c: F.substring(F.col(f"`{c}`"), 1, limit) for c in text})
 
 
@@ -134,11 +138,12 @@ def write_warehouse(
     table: str,
     overwrite: bool = False,
     max_text: int | None = None,
+    watch: Callable[..., DataFrame] = unwatched,
     **extra: str,
 ) -> None:
-    """Append to or overwrite a warehouse table over JDBC."""
+    """Append to or overwrite a warehouse table over JDBC; ``watch`` counts the rows whose texts are cut."""
     if max_text is not None:
-        df = guard_text(df, max_text)
+        df = guard_text(df, max_text, watch)
     options = warehouse_write_options(df, url, table, overwrite, max_text, **extra)
     df.write.format("jdbc").mode("overwrite" if overwrite else "append").options(**options).save()
 

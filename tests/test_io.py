@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sitebooks.operators import quality
 from sitebooks.plans import feeds, site_info
 from sitebooks.runtime import materialise, scratch_dir
 from sitebooks.schemas import schema
@@ -119,6 +120,11 @@ def test_warehouse_options(spark):
     assert options["truncate"] == "true" and options["createTableColumnTypes"] == "`a` VARCHAR(2000)"
     assert "truncate" not in sinks.warehouse_write_options(df, "jdbc:x", "t", False, None)
     assert rows(sinks.guard_text(df).select(F.length("a"))) == [(2000,)]
+    steps = quality.Steps()
+    short = spark.createDataFrame([("abc", None, 1), (None, "abcd", 2), ("ab", "a", 3)], "a string, b string, n int")
+    cut = sinks.guard_text(short, 3, watch=steps.watch)
+    assert rows(cut) == [(None, "abc", 2), ("ab", "a", 3), ("abc", None, 1)]
+    assert rows(steps.frame(spark).select("rows", "unreadable")) == [(3, 1)]
 
 
 def test_publishable_and_gates(spark):

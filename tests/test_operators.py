@@ -20,6 +20,17 @@ def test_conform_casts_and_fills(spark):
         project.conform(df, target, optional=["missing"]).collect()
 
 
+def test_lenient_conform_counts_what_it_loses(spark):
+    df = spark.createDataFrame([("7", "1.5"), ("x", "y"), (None, "2"), ("8", "z")], "Code string, v string")
+    target = StructType.fromDDL("code int, v double, more string")
+    steps = quality.Steps()
+    out = project.conform(df, target, optional=["more"], lenient=True, watch=steps.watch)
+    assert len(out.collect()) == 4
+    assert rows(steps.frame(spark).select("step", "rows", "unreadable")) == [("lenient cast", 4, 2)]
+    assert rows(df.where(project.unreadable(df, StructType.fromDDL("v double, other int")))) == [("8", "z"), ("x", "y")]
+    assert df.where(project.unreadable(df, df.schema)).count() == 0
+
+
 def test_drop_all_refuses_a_bare_string(spark):
     df = spark.createDataFrame([(1, 2)], "a int, abc int")
     with pytest.raises(TypeError):
