@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,12 +44,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Scratch directories handed out by this process and not yet deleted.
+_IN_USE: list[str] = []
+
+
+@lru_cache(1)
+def _own_folder() -> str:
+    """The temporary folder of a local session without a shared one; it goes when the process ends."""
+    root = tempfile.mkdtemp(prefix="sitebooks-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory under the shared folder named by ``spark.checkpoint.dir``.
 
     Every executor must see the directory, so a cluster has to name a shared
     folder.  Only a ``local`` master, where driver and executors are one
-    process, falls back to the machine's own temporary folder.
+    process, falls back to one temporary folder of that process.  Directories
+    stay until :func:`scratch_space` or the caller deletes them.
     """
     root = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not root:
@@ -53,8 +70,28 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError(
                 "set spark.checkpoint.dir to a folder all executors share before running this job"
             )
-        root = tempfile.mkdtemp(prefix="sitebooks-")
-    return f"{root.rstrip('/')}/sitebooks/{label}-{uuid.uuid4().hex}"
+        root = _own_folder()
+    path = f"{root.rstrip('/')}/sitebooks/{label}-{uuid.uuid4().hex}"
+    _IN_USE.append(path)
+    return path
+
+
+@contextmanager
+def scratch_space(spark: SparkSession):
+    """Delete the scratch directories of the jobs run inside when the block ends, also by an error.
+
+    Write the results inside the block: frames that read a deleted directory
+    cannot be computed afterwards.  Blocks may be nested; each deletes its own.
+    """
+    mark = len(_IN_USE)
+    try:
+        yield
+    finally:
+        files = spark._jvm.org.apache.hadoop.fs
+        conf = spark._jsc.hadoopConfiguration()
+        while len(_IN_USE) > mark:
+            at = files.Path(_IN_USE.pop())
+            at.getFileSystem(conf).delete(at, True)
 
 
 def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from sitebooks.operators import quality
 from sitebooks.plans import feeds, site_info
-from sitebooks.runtime import materialise, scratch_dir
+from sitebooks.runtime import materialise, scratch_dir, scratch_space
 from sitebooks.schemas import schema
 from sitebooks.sources import files, sinks, tables
 from sitebooks.streaming.catch_up import ingest_new_files
@@ -20,6 +20,23 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
 
 
+def test_scratch_space_deletes_its_own_directories(spark, tmp_path):
+    before = materialise(spark.range(3), "kept")
+    with pytest.raises(ZeroDivisionError), scratch_space(spark):
+        made = materialise(before, "gone")
+        with scratch_space(spark):
+            inner = scratch_dir(spark, "inner")
+            sinks.write_files(made, inner)
+            assert files.path_exists(spark, inner)
+        assert not files.path_exists(spark, inner)
+        made.write.parquet(str(tmp_path / "result"))
+        gone = made.inputFiles()[0].rsplit("/", 1)[0]
+        assert files.path_exists(spark, gone)
+        1 / 0
+    assert not files.path_exists(spark, gone)
+    assert before.count() == spark.read.parquet(str(tmp_path / "result")).count() == 3
+
+
 def test_materialise_cuts_the_lineage(spark):
     df = materialise(spark.range(5).withColumn("v", F.col("id") * 2), "t")
     assert df.count() == 5 and "Range" not in df._jdf.queryExecution().toString()
