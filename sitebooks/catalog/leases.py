@@ -214,6 +214,9 @@ def _rule_keys(source):
     }
 
 
+# What rules read of the curated leases.
+_OWNER_COLUMNS = ("Lease_Transaction_Id", *lease.OWNER)
+
 _OWNER_SQL = f"""
 {_LEASE_SQL},
 owner AS (
@@ -236,7 +239,7 @@ owner AS (
 def quantity_rules(spark, sf_dir):
     """The newest version of each rule; equal dates are settled by the other columns."""
     rules = _rules(spark, sf_dir, lease.QUANTITY_RULE_NAMES)
-    out = lease.quantity_rules(rules, _curated(spark, sf_dir), _clauses(spark, sf_dir))
+    out = lease.quantity_rules(rules, _curated(spark, sf_dir, columns=_OWNER_COLUMNS), _clauses(spark, sf_dir))
     out = out.select(*lease.QUANTITY_RULE_NAMES)
     return out.withColumn("Source_Last_Modified_Date", F.to_date("Source_Last_Modified_Date"))
 
@@ -250,7 +253,7 @@ def quantity_rules(spark, sf_dir):
 )
 def value_rules(spark, sf_dir):
     rules = _rules(spark, sf_dir, lease.VALUE_RULE_NAMES)
-    out = lease.value_rules(rules, _curated(spark, sf_dir), _clauses(spark, sf_dir))
+    out = lease.value_rules(rules, _curated(spark, sf_dir, columns=_OWNER_COLUMNS), _clauses(spark, sf_dir))
     out = out.select(*lease.VALUE_RULE_NAMES)
     return out.withColumn("Source_Last_Modified_Date", F.to_date("Source_Last_Modified_Date"))
 

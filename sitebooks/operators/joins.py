@@ -84,14 +84,17 @@ def coalesce_lookup(
     return df.drop(*[f"_v{i}" for i in range(len(dims))])
 
 
-def lookup_spread(df: DataFrame, key: Column, dim: DataFrame, dim_key: str, tasks: int = 4096) -> DataFrame:
+def lookup_spread(
+    df: DataFrame, key: Column, dim: DataFrame, dim_key: str, tasks: int = 4096, spread: Sequence[str] = ()
+) -> DataFrame:
     """Left join to ``dim`` (unique in ``dim_key``) whose null keys are no hot key.
 
     Rows with a null ``key`` find nothing wherever they are, so a hash of the row
-    deals them over ``tasks`` places instead of one.  The dimension's other
-    columns are added.
+    deals them over ``tasks`` places instead of one.  ``spread`` names the columns
+    to hash where a few tell rows apart: hashing all of them makes every step
+    before carry all of them.  The dimension's other columns are added.
     """
-    plain = [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    plain = [F.col(c) for c in spread] or [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
     place = F.when(key.isNull(), F.pmod(F.xxhash64(*plain), F.lit(tasks)) + 1).otherwise(F.lit(0))
     left = df.withColumns({"_key": key, "_place": place})
     right = dim.withColumnRenamed(dim_key, "_dim_key").withColumn("_dim_place", F.lit(0).cast("long"))
@@ -99,6 +102,32 @@ def lookup_spread(df: DataFrame, key: Column, dim: DataFrame, dim_key: str, task
     return left.join(right, test, "left").drop("_key", "_place", "_dim_key", "_dim_place")
 
 
+#: Bits of the map that :func:`may_match` sends to all tasks (32 MB, whatever the data).
+MATCH_BITS = 1 << 28
+
+
+def may_match(df: DataFrame, keys: Sequence[str], wanted: DataFrame, bits: int = MATCH_BITS) -> DataFrame:
+    """Rows of ``df`` whose ``keys`` may occur in ``wanted``: all that do, and some others.
+
+    The keys (same names on both sides, null equals null) are hashed to one of
+    ``bits`` bits.  The bit map has a fixed size and is broadcast, so rows are
+    dropped where they are read, before anything exchanges or sorts them.  About
+    ``n / bits`` of the other rows stay for ``n`` keys wanted; an exact step must
+    follow.
+    """
+    bit = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(bits))
+    marks = (
+        wanted.select(F.bitmap_bucket_number(bit).alias("_part"), F.bitmap_bit_position(bit).alias("_bit"))
+        .repartition("_part")
+        .groupBy("_part")
+        .agg(F.bitmap_construct_agg("_bit").alias("_marks"))
+    )
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("_marks", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = df.join(F.broadcast(marks), F.bitmap_bucket_number(bit) == F.col("_part"))
+    return found.where(F.getbit(byte, (at % 8).cast("int")) == 1).drop("_part", "_marks")
+
+
 def map_values(
     df: DataFrame, column: str, pairs: DataFrame, key: str, value: str, out: str | None = None
 ) -> DataFrame:

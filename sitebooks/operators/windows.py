@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitebooks.operators.joins import null_safe_join
+from sitebooks.operators.joins import may_match, null_safe_join
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -21,6 +21,22 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def latest_wide(
+    df: DataFrame, keys: Sequence[str], newest: str, ties: Sequence[Column], seen: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> DataFrame:
+    """:func:`latest_by` for wide rows: largest ``newest`` first (nulls last), then ``ties``.
+
+    The newest value of each key is found from these columns alone; rows that
+    are older are dropped as they are read (:func:`may_match`), so only rows that
+    may win are exchanged, once, and sorted behind the exchange.  A group limit
+    in front of it would sort all rows, in as few tasks as the input has splits.
+    ``seen`` is given the frame that all rows pass, to observe it.
+    """
+    top = df.groupBy(*keys).agg(F.max(newest).alias(newest))
+    near = may_match(seen(df), [*keys, newest], top).repartition(*keys)
+    return latest_by(near, keys, [F.col(newest).desc_nulls_last(), *ties])
+
+
 def latest_with_ties(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """All rows that carry the newest ``ts`` of their key (null keys form one group).
 

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitebooks.operators.filters import reject_blank
-from sitebooks.operators.joins import lookup_spread
+from sitebooks.operators.joins import lookup_spread, may_match
 from sitebooks.operators.project import project
 from sitebooks.operators.quality import unwatched
 from sitebooks.operators.sets import union_all
-from sitebooks.operators.windows import latest_by
+from sitebooks.operators.windows import latest_by, latest_wide
 
 EXPENSE, INCOME = "Expense Lease", "Income Lease"
 ACTIVE = "Active"
@@ -121,9 +121,35 @@ VALUE_RULE_NAMES = {
 }
 
 
-def _newest_first(df: DataFrame, modified: str) -> list:
-    """Newest first; the remaining columns break ties in their order, so runs agree."""
-    return [F.col(modified).desc_nulls_last(), *[F.col(c) for c in df.columns if c != modified]]
+MODIFIED = "TRI_MODIFIED_DATE_SY"
+# Columns that tell lease rows apart; few, so that steps carry no others for them.
+LEASE_ROW = ("TRI_ID_TX", "TRI_CONTROL_NUMBER_CN", MODIFIED)
+
+
+# Columns by which property, country and contacts are found and rows are dropped.
+RESOLVED_BY = (
+    "TRI_LEASE_TYPE_CL", "CST_PROPERTY_ID_TX", "CST_PREMISE_LOCATION_ID", "TRI_BUSINESS_UNIT_ORG_TX",
+    "CST_PEOPLE_TX", "TRI_STATUS_CL",
+)
+# Columns that a rule takes from its lease.
+OWNER = ("Country_Code", "Company_Code")
+
+
+def _ties(df: DataFrame, wanted: Collection[str] | None = None) -> list:
+    """Columns that break ties between equally new rows in their order, so runs agree.
+
+    If only the ``wanted`` columns are read afterwards, the order may end behind
+    the last of them: rows that are equal up to there give the same.
+    """
+    names = [c for c in df.columns if c != MODIFIED]
+    if wanted is not None:
+        names = names[: max((i + 1 for i, c in enumerate(names) if c in wanted), default=0)]
+    return [F.col(c) for c in names]
+
+
+def _newest_first(df: DataFrame) -> list:
+    """Newest first; the remaining columns break ties."""
+    return [F.col(MODIFIED).desc_nulls_last(), *_ties(df)]
 
 
 def locations(prop: DataFrame, building: DataFrame, land: DataFrame, space: DataFrame) -> DataFrame:
@@ -161,7 +187,8 @@ def resolve_property(
     known = F.col("CST_PROPERTY_ID_TX")
     out = leases.where(known.isNotNull() | F.col("TRI_LEASE_TYPE_CL").isin(EXPENSE, INCOME))
     asked = F.when(known.isNull(), F.col("CST_PREMISE_LOCATION_ID"))
-    out = lookup_spread(out, asked, locations(prop, building, land, space), "_location")
+    spread = [c for c in LEASE_ROW if c in leases.columns]
+    out = lookup_spread(out, asked, locations(prop, building, land, space), "_location", spread=spread)
     resolved = F.when(
         F.col("TRI_LEASE_TYPE_CL") == EXPENSE, F.coalesce(known, "_property", "_building", "_land")
     ).when(
@@ -182,16 +209,23 @@ def curated_leases(
     people: DataFrame,
     active_only: bool = False,
     watch: Callable[..., DataFrame] = unwatched,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Newest version of each lease with its property, country and contacts.
 
     All four contact names show the first contact, given name and family name
     without a separator, null when either part is missing.  ``watch`` counts
     rows behind each step (:class:`sitebooks.operators.quality.Steps`).
+    ``columns`` names the curated columns the caller reads, if not all: the same
+    rows with these columns, found without carrying the others.
     """
-    leases = watch(leases, "versions", "TRI_ID_TX")
-    latest = latest_by(
-        leases, ["TRI_ID_TX", "TRI_CONTROL_NUMBER_CN"], _newest_first(leases, "TRI_MODIFIED_DATE_SY")
+    read = None
+    if columns is not None:
+        read = {*RESOLVED_BY, *[LEASE_NAMES[c] for c in columns if LEASE_NAMES[c]]}
+    # Every row passes one watched branch; the newest dates are read beside it.
+    latest = latest_wide(
+        leases, ["TRI_ID_TX", "TRI_CONTROL_NUMBER_CN"], MODIFIED, _ties(leases, read),
+        seen=lambda df: watch(df, "versions", "TRI_ID_TX"),
     )
     if active_only:
         latest = latest.where(F.lower("TRI_STATUS_CL") == "active")
@@ -203,30 +237,29 @@ def curated_leases(
     contacts = people.groupBy("TRI_USER_NAME_TX").agg(
         F.min(F.concat("TRI_FIRST_NAME_TX", "TRI_LAST_NAME_TX")).alias("_contact")
     )
-    joined = lookup_spread(placed, F.col("TRI_BUSINESS_UNIT_ORG_TX"), countries, "COMP_CODE")
+    joined = lookup_spread(placed, F.col("TRI_BUSINESS_UNIT_ORG_TX"), countries, "COMP_CODE", spread=LEASE_ROW)
     joined = watch(joined, "country", "COUNTRY")
-    joined = watch(lookup_spread(joined, F.col("CST_PEOPLE_TX"), contacts, "TRI_USER_NAME_TX"), "contact", "_contact")
-    columns = {}
+    joined = lookup_spread(joined, F.col("CST_PEOPLE_TX"), contacts, "TRI_USER_NAME_TX", spread=LEASE_ROW)
+    joined = watch(joined, "contact", "_contact")
+    out = {}
     for name, source in LEASE_NAMES.items():
         if name == "Site_Id":
-            columns[name] = F.substring("CST_PROPERTY_ID_TX", 6, 15)
+            out[name] = F.substring("CST_PROPERTY_ID_TX", 6, 15)
         elif source is None:
-            columns[name] = F.col("_contact")
+            out[name] = F.col("_contact")
         elif name in LEASE_TIMESTAMPS:
-            columns[name] = F.col(source).cast("timestamp")
+            out[name] = F.col(source).cast("timestamp")
         else:
-            columns[name] = F.col(source)
-    columns["Create_Date"] = F.current_timestamp()
-    return project(joined, columns)
+            out[name] = F.col(source)
+    out["Create_Date"] = F.current_timestamp()
+    if columns is not None:
+        out = {n: out[n] for n in columns}
+    return project(joined, out)
 
 
 def active_clauses(clauses: DataFrame, statuses: Sequence[str] = (ACTIVE,)) -> DataFrame:
     """Ids of clauses whose newest version has one of the statuses (exact case)."""
-    latest = latest_by(
-        clauses,
-        ["TRI_ID_TX", "TRI_CONTROL_NUMBER_CN"],
-        _newest_first(clauses, "TRI_MODIFIED_DATE_SY"),
-    )
+    latest = latest_by(clauses, ["TRI_ID_TX", "TRI_CONTROL_NUMBER_CN"], _newest_first(clauses))
     return (
         latest.where(F.col("TRI_STATUS_CL").isin(list(statuses)))
         .select(F.col("TRI_ID_TX").alias("_clause"))
@@ -246,18 +279,22 @@ def curated_rules(
 
     Quantity rules keep the newest row per rule id (``latest_only=True``), value
     rules keep all distinct rows.  Rules of unknown leases stay, without company
-    and country.
+    and country.  ``names`` holds the ids of rule, clause and lease and the owner's
+    columns.
     """
     if latest_only:
-        rules = latest_by(rules, ["TRI_ID_TX"], _newest_first(rules, "TRI_MODIFIED_DATE_SY"))
-    kept = rules.join(
-        active_clauses(clauses, statuses), F.col("TRI_CLAUSE_ID_TX") == F.col("_clause"), "left_semi"
-    )
-    owner = curated.select(
-        F.col("Lease_Transaction_Id").alias("_lease"), "Country_Code", "Company_Code"
-    ).distinct()
-    joined = kept.join(owner, kept.TRI_LEASE_ID_TX == owner["_lease"], "left")
-    return project(joined, names).distinct().withColumn("Create_Date", F.current_timestamp())
+        rules = latest_wide(rules, ["TRI_ID_TX"], MODIFIED, _ties(rules))
+    active = active_clauses(clauses, statuses)
+    near = may_match(rules, ["TRI_CLAUSE_ID_TX"], active.withColumnRenamed("_clause", "TRI_CLAUSE_ID_TX"))
+    kept = near.join(active, F.col("TRI_CLAUSE_ID_TX") == F.col("_clause"), "left_semi")
+    # Copies go before the owner is joined: both sides are then distinct, and so are their
+    # pairs.  Newest rows are distinct already, one per id.
+    kept = project(kept, {n: c for n, c in names.items() if n not in OWNER})
+    if not latest_only:  # dealt first: combining before the exchange would hold all rows of a split
+        kept = kept.repartition(*kept.columns).distinct()
+    owner = curated.select(F.col("Lease_Transaction_Id").alias("_lease"), *OWNER).distinct()
+    joined = kept.join(owner, F.col("Lease_Transaction_Id") == F.col("_lease"), "left")
+    return joined.select(*names).withColumn("Create_Date", F.current_timestamp())
 
 
 def quantity_rules(rules, curated, clauses, statuses: Sequence[str] = (ACTIVE,)) -> DataFrame:

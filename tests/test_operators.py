@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -192,3 +193,22 @@ def test_watched_counts_come_with_the_job(spark):
 def test_job_status(spark):
     df = spark.createDataFrame([("Success: 5",), ("boom",), (None,)], "m string")
     assert rows(quality.job_status(df, "m"), "status") == [("failed",), ("failed",), ("success",)]
+
+
+def test_may_match_keeps_all_that_match(spark):
+    df = spark.range(2000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("x").alias("t"))
+    wanted = df.where("k IS NULL OR k % 100 = 0").union(df.where("k = 7"))
+    left = [r[0] for r in joins.may_match(df, ["k", "t"], wanted).collect()]
+    assert {None, 7, *range(100, 2000, 100)} <= set(left) and len(left) == len(set(left)) < 40
+    crowded = [r[0] for r in joins.may_match(df, ["k", "t"], wanted, bits=64).collect()]
+    assert {None, 7, *range(100, 2000, 100)} <= set(crowded)
+    assert joins.may_match(df, ["k", "t"], wanted.limit(0)).count() == 0
+
+
+def test_latest_wide_equals_latest_by(spark):
+    rng = random.Random(3)
+    data = [(rng.choice([None, 1, 2, 3]), rng.choice([None, "a"]), rng.choice([None, 1, 2, 5]), rng.choice("xyz")) for _ in range(300)] + [(9, "a", None, "z"), (9, "a", None, "y")]
+    df = spark.createDataFrame(data, "k int, c string, d int, tag string")
+    ties = [F.col("tag"), F.col("c")]
+    expected = windows.latest_by(df, ["k", "c"], [F.col("d").desc_nulls_last(), *ties])
+    assert rows(windows.latest_wide(df, ["k", "c"], "d", ties)) == rows(expected)

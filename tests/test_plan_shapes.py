@@ -1,5 +1,7 @@
 """No query may pair rows blindly, gather its data in one task or run Python per row."""
 
+import re
+
 import pytest
 
 from sitebooks.catalog import QUERIES
@@ -45,3 +47,21 @@ def test_inputs_are_read_once(spark, sf_dir, name, scans):
 def test_dates_reach_the_scan(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert any("date" in line.split("PushedFilters:")[1].split("]")[0] for line in plan.splitlines() if "PushedFilters:" in line)
+
+
+@pytest.mark.parametrize("name", ["branch_union_resolve", "quantity_rules", "value_rules"])
+def test_lease_columns_nobody_reads_are_not_carried(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "TRI_ID_TX" in plan and "CST_BRAND_TX|" not in plan
+
+
+@pytest.mark.parametrize("name, keys", [("curated_leases", "TRI_ID_TX, TRI_CONTROL_NUMBER_CN"), ("quantity_rules", "TRI_ID_TX")])
+def test_wide_rows_are_not_sorted_before_their_exchange(spark, sf_dir, name, keys):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    wide = re.search(rf"hashpartitioning\({re.sub('[A-Z_]+', lambda m: m[0] + '#[0-9]+', keys)}, \d+\), REPARTITION_BY_COL.*?FileScan", plan, re.S)
+    assert wide and "Sort [" not in wide[0] and "BroadcastHashJoin" in wide[0]
+
+
+def test_copies_of_rules_are_dealt_before_they_are_combined(spark, sf_dir):
+    plan = QUERIES["value_rules"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(Lease_Clause_Legacy_Id#\d+[^)]*\), REPARTITION_BY_COL", plan)

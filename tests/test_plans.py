@@ -278,3 +278,28 @@ def test_transactions_parse(spark):
     assert len(out.columns) == 17
     assert rows(out, "RowKey", "pumpNumber", "quantity") == [("1", 1, 2.5), ("1", 2, None)]
     assert site_info.transactions(out) is out
+
+
+def test_some_lease_columns_give_the_same_rows(spark):
+    leases = _leases(spark, [
+        dict(TRI_ID_TX="1", TRI_MODIFIED_DATE_SY=day, TRI_LEASE_TYPE_CL=kind, CST_PROPERTY_ID_TX=place, TRI_BUSINESS_UNIT_ORG_TX=unit, CST_PEOPLE_TX="p", TRI_NAME_TX=name)
+        for day, kind, place, unit, name in [("2024", "Expense Lease", "b", "C2", "n2"), ("2024", "Expense Lease", "b", "C1", "n3"), (None, "Expense Lease", "a", "C1", "n1")]
+    ] + [dict(TRI_LEASE_TYPE_CL="Income Lease", CST_BRAND_TX=b) for b in "cab"])
+    places = [spark.createDataFrame([("p", "x")], f"TRI_CONTROL_NUMBER_CN string, {value} string") for value in ("TRI_ID_TX", *["TRI_PROPERTY_ID"] * 3)]
+    companies = spark.createDataFrame([("C1", "NL"), ("C2", "DE")], "COMP_CODE string, COUNTRY string")
+    people = spark.createDataFrame([("p", "Ada", "L")], "TRI_USER_NAME_TX string, TRI_FIRST_NAME_TX string, TRI_LAST_NAME_TX string")
+    out = lease.curated_leases(leases, *places, companies, people)
+    for columns in (["Country_Code", "Lease_Transaction_Id", "Company_Code"], ["Lease_Name", "PA_Validator_Name"], ["Brand_Name"]):
+        some = lease.curated_leases(leases, *places, companies, people, columns=columns)
+        assert some.columns == columns and rows(some) == rows(out, *columns)
+
+
+def test_value_rules_keep_one_of_each_copy(spark):
+    names = [c for c in lease.VALUE_RULE_NAMES.values() if c not in lease.OWNER]
+    rule = lambda **v: tuple(v.get(c) for c in names)
+    one = rule(TRI_ID_TX="r", TRI_CLAUSE_ID_TX="c", TRI_LEASE_ID_TX="1")
+    rules = spark.createDataFrame([one, one, rule(TRI_ID_TX="r", TRI_CLAUSE_ID_TX="c"), rule(TRI_ID_TX="r"), rule(TRI_ID_TX="r", TRI_CLAUSE_ID_TX="no")], ", ".join(f"{c} string" for c in names))
+    curated = spark.createDataFrame([("1", "NL", "C1"), ("1", "NL", "C1"), ("1", "DE", "C2"), (None, "FR", "C3")], "Lease_Transaction_Id string, Country_Code string, Company_Code string")
+    clauses = spark.createDataFrame([("c", "x", "Active", 2), (None, "x", "Active", 2), ("no", "x", "Retired", 2)], "TRI_ID_TX string, TRI_CONTROL_NUMBER_CN string, TRI_STATUS_CL string, TRI_MODIFIED_DATE_SY int")
+    got = lease.value_rules(rules, curated, clauses)
+    assert rows(got, "Lease_Transaction_Id", "Country_Code") == [(None, None), ("1", "DE"), ("1", "NL")]
