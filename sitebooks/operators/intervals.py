@@ -181,10 +181,12 @@ def running_counts(
 
 #: Kinds of intervals that one stream can tell apart.
 SLOTS = 32
+#: Width of a time bucket of :func:`slot_counts`; like the other it only balances work.
+SLOT_SECONDS = 6 * 3600
 
 
 def slot_counts(
-    stream: DataFrame, keys: Sequence[str], slots: int = SLOTS, bucket_seconds: int = BUCKET_SECONDS
+    stream: DataFrame, keys: Sequence[str], slots: int = SLOTS, bucket_seconds: int = SLOT_SECONDS
 ) -> DataFrame:
     """Answer questions about several kinds of intervals at once: a running vector of what is open.
 
@@ -196,7 +198,8 @@ def slot_counts(
     The stream is exchanged once, by keys and time bucket, and read twice from
     there: summed per bucket, and in order.  The running sum of the sums is what
     is open when a bucket begins; it joins the bucket's rows where they are.
-    Only sums and asked buckets are exchanged for it.
+    Only sums and asked buckets are exchanged for it.  A sum is a vector, so a
+    bucket must hold many steps: most sites have a few in a quarter of an hour.
     """
     cut = stream.withColumn("_b", _bucket(F.col("_t"), bucket_seconds)).repartition(*keys, "_b")
     change = [F.when(F.col("_slot") == j, F.col("_sign")) for j in range(slots)]
@@ -214,17 +217,17 @@ def slot_counts(
     same = reduce(lambda a, b: a & b, [F.col(k) == F.col(n) for k, n in names.items()])
     so_far = (
         Window.partitionBy(*keys, "_b")
-        .orderBy("_t", F.col("_row").isNull())
+        .orderBy("_t", "_after")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     zero = F.lit(0).cast("long")
-    running = [F.coalesce(F.sum(c).over(so_far), zero) + F.coalesce(F.col("_carry")[j], zero) for j, c in enumerate(change)]
-    return (
-        cut.join(carry, same, "left")
-        .select("_row", F.array(*running).alias("_open"))
-        .where("_row IS NOT NULL")
-        .select(F.inline("_row"), "_open")
-    )
+    # Sorted before the window's inputs, a column per slot, are computed; the window keeps this order.
+    in_order = cut.withColumn("_after", F.col("_row").isNull()).sortWithinPartitions(*keys, "_b", "_t", "_after")
+    running = [F.coalesce(F.sum(c).over(so_far), zero) for c in change]
+    # The carry joins behind the window, in its order: before it, the sort would hold it with every row.
+    asked = in_order.select(*keys, "_b", "_row", F.array(*running).alias("_run")).where("_row IS NOT NULL")
+    total = [F.col("_run")[j] + F.coalesce(F.col("_carry")[j], zero) for j in range(slots)]
+    return asked.join(carry, same, "left").select(F.inline("_row"), F.array(*total).alias("_open"))
 
 
 def open_counts(

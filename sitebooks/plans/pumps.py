@@ -22,7 +22,7 @@ from sitebooks.functions.codes import (
 )
 from sitebooks.operators.aggregates import value_set
 from sitebooks.operators.intervals import (
-    BUCKET_SECONDS,
+    SLOT_SECONDS,
     SLOTS,
     packed,
     slot_counts,
@@ -208,7 +208,7 @@ def pump_summary(tx: DataFrame, site_master: DataFrame | None = None) -> DataFra
 
 
 def ongoing_counts(
-    rows: DataFrame, bucket_seconds: int = BUCKET_SECONDS, merge_equal: bool = False, slots: int = SLOTS
+    rows: DataFrame, bucket_seconds: int = SLOT_SECONDS, merge_equal: bool = False, slots: int = SLOTS
 ) -> DataFrame:
     """Add to every transaction how many others of its site were open when it began.
 

@@ -65,3 +65,12 @@ def test_wide_rows_are_not_sorted_before_their_exchange(spark, sf_dir, name, key
 def test_copies_of_rules_are_dealt_before_they_are_combined(spark, sf_dir):
     plan = QUERIES["value_rules"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\(Lease_Clause_Legacy_Id#\d+[^)]*\), REPARTITION_BY_COL", plan)
+
+
+def test_ongoing_counts_sort_neither_slots_nor_carries(spark, sf_dir):
+    plan = QUERIES["ongoing_counts"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    window = plan[plan.index("Window [sum(_w"):]
+    window = window[: window.index("REPARTITION_BY_COL")]
+    # read upwards: exchanged, sorted, then a column per slot; the carries are joined above
+    assert window.count("Sort [") == 1 and window.index("CASE WHEN (_slot") < window.index("Sort [")
+    assert "_carry" not in window and "_carry#" in plan[: plan.index("Window [sum(_w")]
